@@ -35,10 +35,22 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, PRODUCT_CSV)
 
 
+def land(df: DataFrame, path: str) -> DataFrame:
+    """Write a typed CSV scan (with its corrupt-record column) to Parquet and
+    read it back.  Spark refuses plans over a raw CSV scan that only need
+    the corrupt-record column (e.g. counting rejects), so both the accepted
+    and the rejected side are taken from the landed copy."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def csv_rejects(df: DataFrame) -> DataFrame:
-    """Rows the CSV reader could not type, with their raw text."""
+    """Rows the CSV reader could not type: raw text, reason, and the fields
+    that did parse.  Use on a :func:`land`-ed scan."""
+    fields = [c for c in df.columns if c != CORRUPT]
     return (df.where(F.col(CORRUPT).isNotNull())
-            .select(F.col(CORRUPT).alias("raw"), F.lit("bad_csv_row").alias("reject_reason")))
+            .select(F.col(CORRUPT).alias("raw"), F.lit("bad_csv_row").alias("reject_reason"),
+                    *fields))
 
 
 def accepted(df: DataFrame) -> DataFrame:

@@ -1,0 +1,67 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from salesloom.functions import (cents_avg_round2, day_type, field_position, half_year,
+                                 pct_change_label, prev_label, season)
+
+
+def one(spark, col, schema, row):
+    return spark.createDataFrame([row], schema).select(col.alias("x")).first().x
+
+
+def test_weekend_is_friday_and_saturday(spark):
+    days = {dt.date(2019, 1, 4): "Weekend",   # Friday
+            dt.date(2019, 1, 5): "Weekend",   # Saturday
+            dt.date(2019, 1, 6): "Weekday",   # Sunday
+            dt.date(2019, 1, 7): "Weekday"}   # Monday
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = {r.d: r.t for r in df.select("d", day_type("d").alias("t")).collect()}
+    assert got == days
+
+
+def test_seasons_and_halves(spark):
+    df = spark.createDataFrame([(m,) for m in range(1, 13)] + [(None,)], "m int")
+    got = {r.m: r.s for r in df.select("m", season("m").alias("s")).collect()}
+    assert got[12] == got[1] == got[2] == "Winter" and got[3] == "Spring" and got[6] == "Summer"
+    assert got[9] == "Fall" and got[None] is None
+    q = spark.createDataFrame([(i,) for i in range(1, 5)], "q int")
+    assert [r.h for r in q.select(half_year("q").alias("h")).orderBy("q").collect()] == ["H1", "H1", "H2", "H2"]
+
+
+def test_field_position(spark):
+    df = spark.createDataFrame([("Fall",), ("Nope",), (None,)], "s string")
+    got = {r.s: r.p for r in df.select("s", field_position("s", ["Spring", "Summer", "Fall"]).alias("p")).collect()}
+    assert got == {"Fall": 3, "Nope": 0, None: 0}
+
+
+def test_growth_labels(spark):
+    schema = "c decimal(20,2), p decimal(20,2)"
+    cases = [((Decimal("110.00"), None), "-"),
+             ((Decimal("110.00"), Decimal("100.00")), "10.00%"),
+             ((Decimal("90.00"), Decimal("100.00")), "-10.00%"),
+             ((Decimal("1.00"), Decimal("3.00")), "-66.67%"),
+             ((Decimal("2.00"), Decimal("3.00")), "-33.33%"),
+             ((Decimal("100.01"), Decimal("100.00")), "0.01%"),
+             ((Decimal("100.00"), Decimal("100.00")), "0.00%"),
+             ((Decimal("5.00"), Decimal("0.00")), None)]          # division by zero
+    for (c, p), want in cases:
+        assert one(spark, pct_change_label("c", "p"), schema, (c, p)) == want, (c, p)
+    assert one(spark, prev_label("p"), schema, (Decimal("1"), Decimal("12.30"))) == "12.30"
+    assert one(spark, prev_label("p"), schema, (Decimal("1"), None)) == "-"
+
+
+def test_growth_rounds_the_six_decimal_quotient(spark):
+    # 1/8 = 0.125 exactly -> 12.50%; 1/16 = 0.0625 -> 6.25%; 2/3 -> 0.666667 -> 66.67%
+    schema = "c decimal(20,2), p decimal(20,2)"
+    assert one(spark, pct_change_label("c", "p"), schema, (Decimal("9.00"), Decimal("8.00"))) == "12.50%"
+    assert one(spark, pct_change_label("c", "p"), schema, (Decimal("17.00"), Decimal("16.00"))) == "6.25%"
+    assert one(spark, pct_change_label("c", "p"), schema, (Decimal("5.00"), Decimal("3.00"))) == "66.67%"
+
+
+def test_average_round2(spark):
+    schema = "s decimal(20,2), n long"
+    assert one(spark, cents_avg_round2("s", "n"), schema, (Decimal("10.00"), 3)) == Decimal("3.33")
+    assert one(spark, cents_avg_round2("s", "n"), schema, (Decimal("0.05"), 2)) == Decimal("0.03")
+    assert one(spark, cents_avg_round2("s", "n"), schema, (Decimal("20.00"), 3)) == Decimal("6.67")
