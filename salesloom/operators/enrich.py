@@ -54,20 +54,27 @@ def product_master(staging: DataFrame, suppliers: DataFrame, stores: DataFrame,
                       F.lit(True).alias("_product_ok"))
 
 
+PASS_THROUGH = ("orderTS", "raw", "time_ok")
+
+
 def enrich_transactions(parsed: DataFrame, staging: DataFrame, suppliers: DataFrame,
                         stores: DataFrame, customers: DataFrame, rows: dict | None = None,
                         max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact columns + ``arrival`` + ``reject_reason`` for accepted parsed rows.
+    """Fact columns + ``arrival`` + ``reject_reason`` for every parsed row.
 
     ``parsed`` needs orderID, productID, quantityOrdered, customerID,
-    orderTS (or orderDate), timeID and optionally arrival; rows already
-    rejected by the parser (non-null ``reject_reason``) are skipped.
+    orderTS (or orderDate), timeID and optionally arrival.  A row the parser
+    already rejected keeps its parse reason; ``orderTS``, ``raw`` and
+    ``time_ok`` are carried through when present, so one written ledger
+    holds the fact rows, the rejects and the time candidates.
     Batch or streaming input; the masters are static DataFrames.
     """
     rows = rows or {}
     t = parsed
+    prior = F.col("reject_reason") if "reject_reason" in t.columns else F.lit(None).cast("string")
+    t = t.withColumn("_prior_reason", prior)
     if "reject_reason" in t.columns:
-        t = t.where(F.col("reject_reason").isNull()).drop("reject_reason")
+        t = t.drop("reject_reason")
     if "orderDate" not in t.columns:
         t = t.withColumn("orderDate", F.to_date("orderTS"))
     if "arrival" not in t.columns:
@@ -78,20 +85,25 @@ def enrich_transactions(parsed: DataFrame, staging: DataFrame, suppliers: DataFr
                  rows.get("customer"), max_broadcast_rows)
     amount = (F.col("quantityOrdered") * F.coalesce(F.col("productPrice"), F.lit(0).cast(MONEY)))
     total = amount.try_cast(MONEY)
-    reason = (F.when(F.col("_product_ok").isNull(), F.lit(REASONS[0]))
+    reason = (F.when(F.col("_prior_reason").isNotNull(), F.col("_prior_reason"))
+              .when(F.col("_product_ok").isNull(), F.lit(REASONS[0]))
               .when(~F.col("_supplier_ok"), F.lit(REASONS[1]))
               .when(~F.col("_store_ok"), F.lit(REASONS[2]))
               .when(F.col("_customer_ok").isNull(), F.lit(REASONS[3]))
               .when(total.isNull() & amount.isNotNull(), F.lit(REASONS[4])))
+    extra = [c for c in PASS_THROUGH if c in t.columns]
     return t.select("orderID", "productID", "customerID", "supplierID", "storeID",
                     "orderDate", "timeID", "quantityOrdered", total.alias("totalSale"),
-                    "arrival", reason.alias("reject_reason"))
+                    "arrival", *extra, reason.alias("reject_reason"))
 
 
 def accepted_facts(enriched: DataFrame) -> DataFrame:
-    return enriched.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    extra = [c for c in PASS_THROUGH if c in enriched.columns]
+    return enriched.where(F.col("reject_reason").isNull()).drop("reject_reason", *extra)
 
 
 def fact_rejects(enriched: DataFrame) -> DataFrame:
     """The quarantine side of :func:`enrich_transactions`."""
-    return enriched.where(F.col("reject_reason").isNotNull()).select(*FACT_COLUMNS, "reject_reason")
+    raw = [F.col("raw")] if "raw" in enriched.columns else []
+    return (enriched.where(F.col("reject_reason").isNotNull())
+            .select(*FACT_COLUMNS, *raw, "reject_reason"))

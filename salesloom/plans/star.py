@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from salesloom.operators.dims import dim_product, dim_store, dim_supplier, dim_time
 from salesloom.operators.enrich import accepted_facts, enrich_transactions, fact_rejects
 from salesloom.operators.fact import collapse_fact
+from salesloom.operators.joins import join_dim
 from salesloom.operators.quality import load_metrics
 from salesloom.session import shared_dir
 from salesloom.sources.tables import (customers_from_tables, product_staging_from_tables,
@@ -57,19 +58,30 @@ class Star:
 
 
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The whole warehouse load as lazy DataFrames over the provided tables."""
+    """The whole warehouse load as lazy DataFrames over the provided tables
+    (no writes; for small inputs and tests).  See :func:`write_warehouse`."""
     staging = product_staging_from_tables(spark, sf_dir)
     customers = customers_from_tables(spark, sf_dir)
     suppliers, stores = dim_supplier(staging), dim_store(staging)
-    txn = transactions_from_tables(spark, sf_dir)
-    time = dim_time(txn.select("timeID", "orderTS", "arrival"))
-    enriched = enrich_transactions(txn, staging, suppliers, stores, customers)
+    enriched = enrich_transactions(_typed_transactions(spark, sf_dir), staging, suppliers,
+                                   stores, customers)
+    time = dim_time(time_input(enriched))
     fact = collapse_fact(accepted_facts(enriched))
     return Star(fact=fact, time=time, product=dim_product(staging), supplier=suppliers,
                 store=stores, customer=customers, staging=staging,
                 extra={"fact_rejects": fact_rejects(enriched)})
 
 
+def _typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = transactions_from_tables(spark, sf_dir)
+    return t.withColumn("time_ok", F.col("timeID").isNotNull() & F.col("orderTS").isNotNull())
+
+
+def time_input(ledger: DataFrame) -> DataFrame:
+    """Time-dimension candidates held in a ledger of enriched rows."""
+    return ledger.where(F.col("time_ok")).select("timeID", "orderTS", "arrival")
+
+
 def _code_hash() -> str:
     h = hashlib.sha1()
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -95,22 +107,42 @@ def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_dir(spark)}/warehouse/{_input_key(sf_dir)}"
 
 
-def write_star(star: Star, path: str) -> None:
-    """Write every table (overwrite: a rerun after a failure is safe), then
-    the manifest last, so a readable manifest means a complete warehouse."""
-    time = star.time
-    fact = star.fact.join(time.select("timeID", F.col("Year").alias(PART_YEAR)), "timeID", "left")
-    fact.write.mode("overwrite").partitionBy(PART_YEAR).parquet(f"{path}/fact")
-    for name in DIMS:
-        df = getattr(star, name)
-        if df is not None:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
-    for name, df in star.extra.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-    spark = star.fact.sparkSession
+def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Load the warehouse from the provided tables into ``path``.
+
+    Order: product staging; product/supplier/store/customer dimensions from
+    the written staging; every transaction enriched once into ``ledger``
+    (accepted rows and rejects together); then time dimension, fact and
+    rejects from the written ledger.  Each step reads what the previous one
+    wrote, so nothing is computed twice and a failed step is rerun from the
+    last written table.  Every write is an overwrite, and the manifest is
+    written last: a readable manifest means a complete warehouse.
+    """
+    def put(df: DataFrame, name: str, **kw) -> DataFrame:
+        w = df.write.mode("overwrite")
+        if kw.get("partition"):
+            w = w.partitionBy(kw["partition"])
+        w.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    staging = put(product_staging_from_tables(spark, sf_dir), "staging")
+    dims = {"product": put(dim_product(staging), "product"),
+            "supplier": put(dim_supplier(staging), "supplier"),
+            "store": put(dim_store(staging), "store"),
+            "customer": put(customers_from_tables(spark, sf_dir), "customer")}
+    rows = {n: d.count() for n, d in dims.items()}   # Parquet footers: a cheap count
+    enriched = enrich_transactions(_typed_transactions(spark, sf_dir), staging,
+                                   dims["supplier"], dims["store"], dims["customer"], rows)
+    ledger = put(enriched, "ledger")
+    time = put(dim_time(time_input(ledger)), "time")
+    fact = collapse_fact(accepted_facts(ledger))
+    year = time.select("timeID", F.col("Year").alias(PART_YEAR))
+    fact = join_dim(fact, year, "timeID", "left", time.count())
+    put(fact, "fact", partition=PART_YEAR)
+    put(fact_rejects(ledger), "fact_rejects")
     written = {n: spark.read.parquet(f"{path}/{n}")
-               for n in ("fact", *DIMS, *star.extra) if n == "fact" or n in star.extra
-               or getattr(star, n) is not None}
+               for n in ("fact", "time", "product", "supplier", "store", "customer", "staging",
+                         "fact_rejects")}
     load_metrics(written).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
 
 
@@ -141,7 +173,7 @@ def load_warehouse(spark: SparkSession, sf_dir: str, path: str | None = None,
         except AnalysisException:
             star = None
     if star is None:
-        write_star(build_star(spark, sf_dir), path)
+        write_warehouse(spark, sf_dir, path)
         star = read_star(spark, path)
     _cache[key] = star
     return star

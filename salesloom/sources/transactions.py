@@ -55,6 +55,9 @@ def _strip_header(lines: DataFrame, header: str | None) -> DataFrame:
 def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) -> DataFrame:
     """Typed transactions plus ``raw`` and ``reject_reason`` (NULL = accepted).
 
+    ``time_ok`` marks rows that may feed the time dimension (seven fields, a
+    valid timeID and timestamp), whatever the other fields hold.
+
     ``lines`` has the text in ``value``; an ``arrival`` column, when present,
     is carried through (it orders rows for first-arrival rules).
     """
@@ -77,12 +80,13 @@ def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) ->
         F.when(arity_ok, ts).alias("orderTS"),
         F.col("value").alias("raw"),
         *keep,
+        (arity_ok & ints["timeID"].isNotNull() & ts.isNotNull()).alias("time_ok"),
         reason.alias("reject_reason"),
     )
     return out.select("orderID", "productID", "quantityOrdered", "customerID",
                       F.to_date("orderTS").alias("orderDate"),
                       F.date_format("orderTS", "HH:mm:ss").alias("orderTime"),
-                      "timeID", "orderTS", "raw", *keep, "reject_reason")
+                      "timeID", "orderTS", "raw", *keep, "time_ok", "reject_reason")
 
 
 def txn_rejects(parsed: DataFrame) -> DataFrame:

@@ -4,12 +4,12 @@ Design (no MERGE-capable table format is assumed):
 
 * the source is a text file stream (``maxFilesPerTrigger`` throttles it);
 * every micro-batch is parsed, enriched against the static dimensions
-  (re-read each batch, so dimension updates are seen) and written to
-  ``ledger/batch_id=N``, with rejects to ``rejects_parse/batch_id=N`` and
-  ``rejects_enrich/batch_id=N`` and time candidates to
-  ``time_candidates/batch_id=N``.  Each folder is written with overwrite,
-  so a batch that is replayed after a failure replaces its own output:
-  with the checkpoint this makes the sink exactly-once;
+  (re-read each batch, so dimension updates are seen) and written, in one
+  write, to ``ledger/batch_id=N``: accepted rows, rejects with their
+  reason and raw text, and the time-dimension candidates all live there.
+  The folder is written with overwrite, so a batch that is replayed after
+  a failure replaces its own output: with the checkpoint this makes the
+  sink exactly-once;
 * the fact is :func:`collapse_fact` over the ledger.  Sums commute, so late
   or out-of-order batches need no watermark; the first-arrival columns use
   ``arrival = (batch_id, file, position in file)``.
@@ -22,10 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.operators.dims import dim_time
-from salesloom.operators.enrich import accepted_facts, enrich_transactions, fact_rejects
+from salesloom.operators.enrich import accepted_facts, enrich_transactions
 from salesloom.operators.fact import collapse_fact
-from salesloom.sources.transactions import (DEFAULT_HEADER, parse_transactions, time_candidates,
-                                            txn_rejects)
+from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
 
 
 def _dims_reader(spark: SparkSession, dims_path: str):
@@ -55,21 +54,11 @@ def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path:
         b = batch.withColumn("arrival", F.struct(F.lit(batch_id).cast("bigint").alias("batch"),
                                                  F.col("_file").alias("file"),
                                                  F.monotonically_increasing_id().alias("pos")))
-        b = b.drop("_file").persist()
-        try:
-            d = read_dims()
-            parsed = parse_transactions(b, header)
-            enriched = enrich_transactions(parsed, d["staging"], d["supplier"], d["store"],
-                                           d["customer"])
-            part = f"batch_id={batch_id}"
-            accepted_facts(enriched).write.mode("overwrite").parquet(f"{out_path}/ledger/{part}")
-            txn_rejects(parsed).write.mode("overwrite").parquet(f"{out_path}/rejects_parse/{part}")
-            fact_rejects(enriched).write.mode("overwrite").parquet(
-                f"{out_path}/rejects_enrich/{part}")
-            time_candidates(b, header).write.mode("overwrite").parquet(
-                f"{out_path}/time_candidates/{part}")
-        finally:
-            b.unpersist()
+        d = read_dims()
+        parsed = parse_transactions(b.drop("_file"), header)
+        enriched = enrich_transactions(parsed, d["staging"], d["supplier"], d["store"],
+                                       d["customer"])
+        enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
 
     w = (lines.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
@@ -84,10 +73,17 @@ def read_ledger(spark: SparkSession, out_path: str) -> DataFrame:
 
 def streamed_fact(spark: SparkSession, out_path: str) -> DataFrame:
     """The fact table as of the batches committed so far."""
-    return collapse_fact(read_ledger(spark, out_path))
+    return collapse_fact(accepted_facts(read_ledger(spark, out_path)))
+
+
+def streamed_rejects(spark: SparkSession, out_path: str) -> DataFrame:
+    """Every quarantined line with its reason (parse or enrichment)."""
+    return read_ledger(spark, out_path).where(F.col("reject_reason").isNotNull()).select(
+        "raw", "reject_reason", "batch_id")
 
 
 def streamed_time_dim(spark: SparkSession, out_path: str) -> DataFrame:
-    """Time dimension from all committed batches (first parseable arrival)."""
-    # arrival already starts with the batch id
-    return dim_time(spark.read.parquet(f"{out_path}/time_candidates"))
+    """Time dimension from all committed batches (first parseable arrival;
+    arrival starts with the batch id)."""
+    led = read_ledger(spark, out_path)
+    return dim_time(led.where(F.col("time_ok")).select("timeID", "orderTS", "arrival"))
