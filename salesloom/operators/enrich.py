@@ -26,6 +26,11 @@ REASONS = ("product_not_found", "invalid_supplier", "invalid_store",
            "customer_not_found", "amount_overflow")
 
 
+def customer_keys(customers: DataFrame) -> DataFrame:
+    """Distinct customer ids with the ``_customer_ok`` marker."""
+    return _keys(customers, "customerID", "_customer_ok")
+
+
 def _keys(df: DataFrame, key: str, flag: str) -> DataFrame:
     """Distinct non-null keys with a TRUE marker (never duplicates a row)."""
     return df.where(F.col(key).isNotNull()).select(key).distinct().withColumn(flag, F.lit(True))
@@ -70,6 +75,17 @@ def enrich_transactions(parsed: DataFrame, staging: DataFrame, suppliers: DataFr
     Batch or streaming input; the masters are static DataFrames.
     """
     rows = rows or {}
+    return enrich_with_masters(parsed, product_master(staging, suppliers, stores, rows),
+                               customer_keys(customers), rows, max_broadcast_rows)
+
+
+def enrich_with_masters(parsed: DataFrame, master: DataFrame, cust_keys: DataFrame,
+                        rows: dict | None = None,
+                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """:func:`enrich_transactions` against prepared lookups: a
+    :func:`product_master` and :func:`customer_keys` (e.g. written once by
+    the warehouse load and read by every stream micro-batch)."""
+    rows = rows or {}
     t = parsed
     prior = F.col("reject_reason") if "reject_reason" in t.columns else F.lit(None).cast("string")
     t = t.withColumn("_prior_reason", prior)
@@ -79,10 +95,8 @@ def enrich_transactions(parsed: DataFrame, staging: DataFrame, suppliers: DataFr
         t = t.withColumn("orderDate", F.to_date("orderTS"))
     if "arrival" not in t.columns:
         t = t.withColumn("arrival", F.struct(F.col("orderTS").alias("ts")))
-    pm = product_master(staging, suppliers, stores, rows)
-    t = join_dim(t, pm, "productID", "left", rows.get("product"), max_broadcast_rows)
-    t = join_dim(t, _keys(customers, "customerID", "_customer_ok"), "customerID", "left",
-                 rows.get("customer"), max_broadcast_rows)
+    t = join_dim(t, master, "productID", "left", rows.get("product"), max_broadcast_rows)
+    t = join_dim(t, cust_keys, "customerID", "left", rows.get("customer"), max_broadcast_rows)
     amount = (F.col("quantityOrdered") * F.coalesce(F.col("productPrice"), F.lit(0).cast(MONEY)))
     total = amount.try_cast(MONEY)
     reason = (F.when(F.col("_prior_reason").isNotNull(), F.col("_prior_reason"))

@@ -62,15 +62,16 @@ def q_collapse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.withColumn("totalSale", F.col("totalSale").cast("double"))
 
 
-def q_stream_fact(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+def q_stream_fact(spark: SparkSession, sf_dir: str, files: int = 32,
+                  files_per_trigger: int = 8) -> DataFrame:
     """Writes the transactions as ``files`` text files into a fresh folder of
-    the shared dir, streams them one file per trigger through the loader,
-    and returns the fact collapsed from the ledger."""
+    the shared dir, streams them ``files_per_trigger`` files per micro-batch
+    through the loader, and returns the fact collapsed from the ledger."""
     load_warehouse(spark, sf_dir)
     run = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     transaction_lines(spark, sf_dir).select("value").repartition(files).write.text(f"{run}/input")
     q = stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out",
-                    f"{run}/checkpoint", max_files=1)
+                    f"{run}/checkpoint", max_files=files_per_trigger)
     q.awaitTermination()
     return streamed_fact(spark, f"{run}/out").withColumn("totalSale",
                                                          F.col("totalSale").cast("double"))

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.operators.dims import dim_product, dim_store, dim_supplier, dim_time
-from salesloom.operators.enrich import accepted_facts, enrich_transactions, fact_rejects
+from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_transactions,
+                                       enrich_with_masters, fact_rejects, product_master)
 from salesloom.operators.fact import collapse_fact
 from salesloom.operators.joins import join_dim
 from salesloom.operators.quality import load_metrics
@@ -131,8 +132,9 @@ def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
             "store": put(dim_store(staging), "store"),
             "customer": put(customers_from_tables(spark, sf_dir), "customer")}
     rows = {n: d.count() for n, d in dims.items()}   # Parquet footers: a cheap count
-    enriched = enrich_transactions(_typed_transactions(spark, sf_dir), staging,
-                                   dims["supplier"], dims["store"], dims["customer"], rows)
+    master = put(product_master(staging, dims["supplier"], dims["store"], rows), "product_master")
+    ckeys = put(customer_keys(dims["customer"]), "customer_keys")
+    enriched = enrich_with_masters(_typed_transactions(spark, sf_dir), master, ckeys, rows)
     ledger = put(enriched, "ledger")
     time = put(dim_time(time_input(ledger)), "time")
     fact = collapse_fact(accepted_facts(ledger))

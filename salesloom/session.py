@@ -29,7 +29,9 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
     """Build (or reuse) a session with the settings the library assumes."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         # local runs: let AQE keep small shuffles spread over the cores
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k"))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

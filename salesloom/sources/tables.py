@@ -32,8 +32,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions: orderID, productID, quantityOrdered, customerID,
     orderTS, timeID, arrival (the accepted shape of ``parse_transactions``)."""
+    # Hash-partition the lines by order key: the exchange a sort-merge join
+    # with orders needs at scale anyway; it also spreads input that arrives
+    # in few splits, when orders is small enough to be broadcast.
     li = _t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
+    ).repartition("l_orderkey")
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     d = F.to_date("o_orderdate")

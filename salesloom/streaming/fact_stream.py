@@ -22,16 +22,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.operators.dims import dim_time
-from salesloom.operators.enrich import accepted_facts, enrich_transactions
+from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_with_masters,
+                                       product_master)
 from salesloom.operators.fact import collapse_fact
 from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
 
 
-def _dims_reader(spark: SparkSession, dims_path: str):
+MASTERS = ("product_master", "customer_keys")
+
+
+def write_masters(staging: DataFrame, suppliers: DataFrame, stores: DataFrame,
+                  customers: DataFrame, path: str) -> None:
+    """Write the two lookups the loader reads (the warehouse load writes
+    the same two tables)."""
+    product_master(staging, suppliers, stores).write.mode("overwrite").parquet(
+        f"{path}/product_master")
+    customer_keys(customers).write.mode("overwrite").parquet(f"{path}/customer_keys")
+
+
+def _masters_reader(spark: SparkSession, dims_path: str):
     def read():
-        t = {n: spark.read.parquet(f"{dims_path}/{n}")
-             for n in ("staging", "supplier", "store", "customer")}
-        return t
+        return {n: spark.read.parquet(f"{dims_path}/{n}") for n in MASTERS}
     return read
 
 
@@ -40,24 +51,24 @@ def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path:
                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the loader; returns the running :class:`StreamingQuery`.
 
-    ``dims_path`` is a written warehouse (``staging``, ``supplier``,
-    ``store``, ``customer`` folders).  With ``available_now`` the query
+    ``dims_path`` holds the ``product_master`` and ``customer_keys`` lookups
+    (a written warehouse, or :func:`write_masters`); they are re-read for
+    every micro-batch, so a reloaded master is picked up by the next batch.  With ``available_now`` the query
     drains the files present and stops (the reference's "stop when idle");
     otherwise it runs on ``processing_time`` triggers.
     """
     lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
              .load(input_path)
              .select("value", F.col("_metadata.file_path").alias("_file")))
-    read_dims = _dims_reader(spark, dims_path)
+    read_masters = _masters_reader(spark, dims_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("arrival", F.struct(F.lit(batch_id).cast("bigint").alias("batch"),
                                                  F.col("_file").alias("file"),
                                                  F.monotonically_increasing_id().alias("pos")))
-        d = read_dims()
+        m = read_masters()
         parsed = parse_transactions(b.drop("_file"), header)
-        enriched = enrich_transactions(parsed, d["staging"], d["supplier"], d["store"],
-                                       d["customer"])
+        enriched = enrich_with_masters(parsed, m["product_master"], m["customer_keys"])
         enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
 
     w = (lines.writeStream.foreachBatch(write_batch)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from salesloom.operators.enrich import accepted_facts, enrich_transactions
 from salesloom.operators.fact import collapse_fact
 from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
-from salesloom.streaming import stream_fact, streamed_fact, streamed_rejects, streamed_time_dim
+from salesloom.streaming import (stream_fact, streamed_fact, streamed_rejects, streamed_time_dim,
+                                 write_masters)
 
 
 def write_dims(spark, path):
@@ -30,6 +31,8 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, tmp_dir):
     rnd.shuffle(lines)
     dims, inp = f"{tmp_dir}/dims", f"{tmp_dir}/in"
     write_dims(spark, dims)
+    d = {n: spark.read.parquet(f"{dims}/{n}") for n in ("staging", "supplier", "store", "customer")}
+    write_masters(d["staging"], d["supplier"], d["store"], d["customer"], dims)
     os.makedirs(inp)
     for i in range(4):
         with open(f"{inp}/part-{i}.csv", "w") as f:
@@ -39,7 +42,6 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, tmp_dir):
     streamed = sorted(tuple(r) for r in streamed_fact(spark, out).drop("orderDate", "timeID").collect())
 
     batch_lines = spark.createDataFrame([(x,) for x in lines], "value string")
-    d = {n: spark.read.parquet(f"{dims}/{n}") for n in ("staging", "supplier", "store", "customer")}
     e = enrich_transactions(parse_transactions(batch_lines), d["staging"], d["supplier"], d["store"], d["customer"])
     batch = sorted(tuple(r) for r in collapse_fact(accepted_facts(e)).drop("orderDate", "timeID").collect())
     assert streamed == batch
