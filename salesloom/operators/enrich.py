@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.joins import BROADCAST_MAX_ROWS, join_dim
+from salesloom.operators.joins import join_dim
 from salesloom.schemas import FACT_COLUMNS, MONEY
 
 REASONS = ("product_not_found", "invalid_supplier", "invalid_store",
@@ -64,7 +64,7 @@ PASS_THROUGH = ("orderTS", "raw", "time_ok")
 
 def enrich_transactions(parsed: DataFrame, staging: DataFrame, suppliers: DataFrame,
                         stores: DataFrame, customers: DataFrame, rows: dict | None = None,
-                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        max_broadcast_rows: int | None = None) -> DataFrame:
     """Fact columns + ``arrival`` + ``reject_reason`` for every parsed row.
 
     ``parsed`` needs orderID, productID, quantityOrdered, customerID,
@@ -81,7 +81,7 @@ def enrich_transactions(parsed: DataFrame, staging: DataFrame, suppliers: DataFr
 
 def enrich_with_masters(parsed: DataFrame, master: DataFrame, cust_keys: DataFrame,
                         rows: dict | None = None,
-                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        max_broadcast_rows: int | None = None) -> DataFrame:
     """:func:`enrich_transactions` against prepared lookups: a
     :func:`product_master` and :func:`customer_keys` (e.g. written once by
     the warehouse load and read by every stream micro-batch)."""

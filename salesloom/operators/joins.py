@@ -11,18 +11,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_ROWS = 1_000_000
+CONF_KEY = "salesloom.broadcastMaxRows"   # session setting overriding the default
 
 
-def broadcastable(rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return rows is not None and rows <= max_rows
+def broadcast_limit(spark: SparkSession | None = None) -> int:
+    """Row bound for a dimension broadcast: the session's
+    ``salesloom.broadcastMaxRows`` when set, else 1,000,000."""
+    if spark is None:
+        spark = SparkSession.getActiveSession()
+    v = spark.conf.get(CONF_KEY, None) if spark is not None else None
+    return int(v) if v not in (None, "") else BROADCAST_MAX_ROWS
+
+
+def broadcastable(rows: int | None, max_rows: int | None = None) -> bool:
+    limit = broadcast_limit() if max_rows is None else max_rows
+    return rows is not None and rows <= limit
 
 
 def join_dim(left: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-             rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``left.join(dim, on, how)``; ``dim`` is broadcast iff ``rows <= max_rows``."""
+             rows: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """``left.join(dim, on, how)``; ``dim`` is broadcast iff ``rows`` is known
+    and within the bound (``max_rows`` or the session setting)."""
     right = F.broadcast(dim) if broadcastable(rows, max_rows) else dim
     return left.join(right, on, how)
