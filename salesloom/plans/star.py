@@ -28,8 +28,10 @@ from salesloom.operators.fact import collapse_fact
 from salesloom.operators.joins import join_dim
 from salesloom.operators.quality import load_metrics
 from salesloom.session import shared_dir
+from salesloom.sources.seeds import accepted, csv_rejects, land, read_customers, read_products
 from salesloom.sources.tables import (customers_from_tables, product_staging_from_tables,
                                       transactions_from_tables)
+from salesloom.sources.transactions import parse_transactions, read_transaction_lines
 
 PART_YEAR = "part_year"
 DIMS = ("time", "product", "supplier", "store", "customer", "staging")
@@ -108,16 +110,24 @@ def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_dir(spark)}/warehouse/{_input_key(sf_dir)}"
 
 
-def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Load the warehouse from the provided tables into ``path``.
+def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_in: DataFrame,
+                         transactions: DataFrame, path: str,
+                         extra: dict[str, DataFrame] | None = None) -> None:
+    """Load a warehouse into ``path`` from its three inputs.
+
+    ``staging_in``: the denormalised product rows; ``customers_in``: the
+    customer rows; ``transactions``: typed or parsed transactions (see
+    :func:`~salesloom.operators.enrich.enrich_transactions`; rows the parser
+    rejected are kept in the ledger with their reason).
 
     Order: product staging; product/supplier/store/customer dimensions from
-    the written staging; every transaction enriched once into ``ledger``
-    (accepted rows and rejects together); then time dimension, fact and
-    rejects from the written ledger.  Each step reads what the previous one
-    wrote, so nothing is computed twice and a failed step is rerun from the
-    last written table.  Every write is an overwrite, and the manifest is
-    written last: a readable manifest means a complete warehouse.
+    the written staging; product master and customer keys; every
+    transaction enriched once into ``ledger`` (accepted rows and rejects
+    together); then time dimension, fact and rejects from the written
+    ledger.  Each step reads what the previous one wrote, so nothing is
+    computed twice and a failed step reruns from the last written table.
+    Every write is an overwrite, and the manifest is written last: a
+    readable manifest means a complete warehouse.
     """
     def put(df: DataFrame, name: str, **kw) -> DataFrame:
         w = df.write.mode("overwrite")
@@ -126,28 +136,62 @@ def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
         w.parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
-    staging = put(product_staging_from_tables(spark, sf_dir), "staging")
+    staging = put(staging_in, "staging")
     dims = {"product": put(dim_product(staging), "product"),
             "supplier": put(dim_supplier(staging), "supplier"),
             "store": put(dim_store(staging), "store"),
-            "customer": put(customers_from_tables(spark, sf_dir), "customer")}
+            "customer": put(customers_in, "customer")}
     rows = {n: d.count() for n, d in dims.items()}   # Parquet footers: a cheap count
     master = put(product_master(staging, dims["supplier"], dims["store"], rows), "product_master")
     ckeys = put(customer_keys(dims["customer"]), "customer_keys")
-    enriched = enrich_with_masters(_typed_transactions(spark, sf_dir), master, ckeys, rows)
-    ledger = put(enriched, "ledger")
+    ledger = put(enrich_with_masters(transactions, master, ckeys, rows), "ledger")
     time = put(dim_time(time_input(ledger)), "time")
     fact = collapse_fact(accepted_facts(ledger))
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
     fact = join_dim(fact, year, "timeID", "left", time.count())
     put(fact, "fact", partition=PART_YEAR)
     put(fact_rejects(ledger), "fact_rejects")
+    for name, df in (extra or {}).items():
+        put(df, name)
     written = {n: spark.read.parquet(f"{path}/{n}")
                for n in ("fact", "time", "product", "supplier", "store", "customer", "staging",
-                         "fact_rejects")}
+                         "fact_rejects", *(extra or {}))}
     load_metrics(written).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
 
 
+def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Load the warehouse from the provided tables (see ``sources.tables``)."""
+    write_warehouse_from(spark, product_staging_from_tables(spark, sf_dir),
+                         customers_from_tables(spark, sf_dir),
+                         _typed_transactions(spark, sf_dir), path)
+
+
+def load_files_warehouse(spark: SparkSession, customers_csv: str, products_csv: str,
+                         transactions_path: str, path: str) -> Star:
+    """The file-based load: seed CSVs for customers and products, and a
+    transaction text file (or folder).  CSV rows that do not type are kept
+    in ``customer_rejects`` / ``product_rejects``; transaction lines that do
+    not parse or match are in ``fact_rejects`` with their reason."""
+    customers = land(read_customers(spark, customers_csv), f"{path}/landing/customers")
+    products = land(read_products(spark, products_csv), f"{path}/landing/products")
+    parsed = parse_transactions(read_transaction_lines(spark, transactions_path))
+    write_warehouse_from(spark, accepted(products), accepted(customers), parsed, path,
+                         extra={"customer_rejects": csv_rejects(customers),
+                                "product_rejects": csv_rejects(products)})
+    return read_star(spark, path)
+
+
+def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The dimension tables of a written warehouse, with the columns the
+    loader looks up (customer 3, product 3, supplier 2, store 2, staging 7)."""
+    cols = {"customer": ["customerID", "customerName", "gender"],
+            "product": ["productID", "productName", "productPrice"],
+            "supplier": ["supplierID", "supplierName"], "store": ["storeID", "storeName"],
+            "staging": ["productID", "productName", "productPrice", "supplierID", "supplierName",
+                        "storeID", "storeName"]}
+    return {n: spark.read.parquet(f"{path}/{n}").select(*c) for n, c in cols.items()}
+
+
 def read_star(spark: SparkSession, path: str) -> Star:
     """A :class:`Star` over a written warehouse (raises if incomplete)."""
     manifest = spark.read.parquet(f"{path}/manifest")

@@ -51,3 +51,9 @@ def test_broadcast_only_for_checked_dimensions(spark, star):
     plan = buf.getvalue()
     assert star.rows["product"] <= 1_000_000
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_rewrites_agree(spark, star):
+    a = Q.q8_half_year_sales(star)
+    b = Q.q8_half_year_sales_union(star)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
