@@ -1,7 +1,7 @@
 """Structured Streaming loader of the sales fact."""
 
-from salesloom.streaming.fact_stream import (read_ledger, stream_fact, streamed_fact,
+from salesloom.streaming.fact_stream import (live_fact_totals, read_ledger, stream_fact, streamed_fact,
                                               streamed_rejects, streamed_time_dim, write_masters)
 
-__all__ = ["read_ledger", "stream_fact", "streamed_fact", "streamed_rejects", "streamed_time_dim",
+__all__ = ["live_fact_totals", "read_ledger", "stream_fact", "streamed_fact", "streamed_rejects", "streamed_time_dim",
            "write_masters"]

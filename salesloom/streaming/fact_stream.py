@@ -98,3 +98,25 @@ def streamed_time_dim(spark: SparkSession, out_path: str) -> DataFrame:
     arrival starts with the batch id)."""
     led = read_ledger(spark, out_path)
     return dim_time(led.where(F.col("time_ok")).select("timeID", "orderTS", "arrival"))
+
+
+def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_files: int = 1,
+                     header: str | None = DEFAULT_HEADER) -> DataFrame:
+    """Streaming additive totals per fact key, for an ``update``-mode sink.
+
+    The live-serving alternative to the ledger: Spark keeps one state row per
+    (orderID, productID, customerID) and emits the changed totals each
+    trigger.  The state has no time bound (keys never expire, as in the
+    upsert table it replaces), so it grows with the number of distinct keys;
+    the ledger path is the one to use for the full history.  First-arrival
+    columns order rows by (file modification time, file path, orderTS).
+    """
+    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
+             .load(input_path)
+             .select("value", F.struct(F.col("_metadata.file_modification_time").alias("t"),
+                                       F.col("_metadata.file_path").alias("f")).alias("arrival")))
+    m = {n: spark.read.parquet(f"{dims_path}/{n}") for n in MASTERS}
+    parsed = parse_transactions(lines, header)
+    parsed = parsed.withColumn("arrival", F.struct(F.col("arrival").alias("src"), "orderTS"))
+    enriched = enrich_with_masters(parsed, m["product_master"], m["customer_keys"])
+    return collapse_fact(accepted_facts(enriched))

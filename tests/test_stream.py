@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from salesloom.operators.enrich import accepted_facts, enrich_transactions
 from salesloom.operators.fact import collapse_fact
 from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
-from salesloom.streaming import (stream_fact, streamed_fact, streamed_rejects, streamed_time_dim,
+from salesloom.streaming import (live_fact_totals, stream_fact, streamed_fact, streamed_rejects, streamed_time_dim,
                                  write_masters)
 
 
@@ -54,3 +54,15 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, tmp_dir):
     stream_fact(spark, inp, dims, out, ck, max_files=1).awaitTermination()
     again = sorted(tuple(r) for r in streamed_fact(spark, out).drop("orderDate", "timeID").collect())
     assert again == streamed
+
+    # live totals in update mode agree with the ledger's fact
+    live = (live_fact_totals(spark, inp, dims, max_files=2).writeStream.outputMode("update")
+            .format("memory").queryName("live_totals")
+            .option("checkpointLocation", f"{tmp_dir}/ck_live").trigger(availableNow=True).start())
+    live.awaitTermination()
+    latest = spark.sql("select * from live_totals")
+    from pyspark.sql import Window
+    w = Window.partitionBy("orderID", "productID", "customerID").orderBy(F.desc("quantityOrdered"))
+    final = latest.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    got = sorted(tuple(r) for r in final.drop("orderDate", "timeID").collect())
+    assert got == streamed
