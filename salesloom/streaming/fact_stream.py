@@ -17,6 +17,7 @@ Design (no MERGE-capable table format is assumed):
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +26,7 @@ from salesloom.operators.dims import dim_time
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_with_masters,
                                        product_master)
 from salesloom.operators.fact import collapse_fact
+from salesloom.operators.joins import broadcastable
 from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
 
 
@@ -46,6 +48,45 @@ def _masters_reader(spark: SparkSession, dims_path: str):
     return read
 
 
+def _manifest_rows(spark: SparkSession, dims_path: str) -> dict:
+    """Row counts recorded by the warehouse load ({} when there is none)."""
+    try:
+        m = spark.read.parquet(f"{dims_path}/manifest")
+    except AnalysisException:
+        return {}
+    return {r["source"]: int(r["rows"]) for r in m.collect()}   # a handful of rows
+
+
+def batch_masters(parsed: DataFrame, masters: dict, rows: dict) -> tuple[DataFrame, DataFrame, dict]:
+    """Lookups for one micro-batch, never shuffling a big master.
+
+    A master whose recorded size is within the broadcast bound is broadcast
+    whole.  Otherwise the batch's distinct keys are counted (one aggregate
+    for both keys); when they are within the bound they are broadcast into
+    a semi join that cuts the master down to the batch's keys while it is
+    scanned, and the cut master (at most that many rows) is broadcast.
+    Only when the batch itself holds more keys than the bound does the
+    join stay a shuffle join.
+    """
+    master, ckeys = masters["product_master"], masters["customer_keys"]
+    out = {"product": rows.get("product"), "customer": rows.get("customer")}
+    need = [k for k in ("product", "customer") if not broadcastable(out[k])]
+    if not need:
+        return master, ckeys, out
+    cols = {"product": "productID", "customer": "customerID"}
+    got = parsed.agg(*[F.countDistinct(cols[k]).alias(k) for k in need]).first()
+    for k in need:
+        n = int(got[k])
+        if broadcastable(n):
+            keys = parsed.where(F.col(cols[k]).isNotNull()).select(cols[k]).distinct()
+            if k == "product":
+                master = master.join(F.broadcast(keys), cols[k], "left_semi")
+            else:
+                ckeys = ckeys.join(F.broadcast(keys), cols[k], "left_semi")
+            out[k] = n
+    return master, ckeys, out
+
+
 def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path: str,
                 checkpoint: str, max_files: int = 1, header: str | None = DEFAULT_HEADER,
                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
@@ -66,10 +107,15 @@ def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path:
         b = batch.withColumn("arrival", F.struct(F.lit(batch_id).cast("bigint").alias("batch"),
                                                  F.col("_file").alias("file"),
                                                  F.monotonically_increasing_id().alias("pos")))
-        m = read_masters()
-        parsed = parse_transactions(b.drop("_file"), header)
-        enriched = enrich_with_masters(parsed, m["product_master"], m["customer_keys"])
-        enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
+        b = b.drop("_file").persist()
+        try:
+            parsed = parse_transactions(b, header)
+            master, ckeys, rows = batch_masters(parsed, read_masters(),
+                                                _manifest_rows(spark, dims_path))
+            enriched = enrich_with_masters(parsed, master, ckeys, rows)
+            enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
+        finally:
+            b.unpersist()
 
     w = (lines.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
