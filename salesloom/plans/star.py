@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -35,6 +36,7 @@ from salesloom.sources.transactions import parse_transactions, read_transaction_
 
 PART_YEAR = "part_year"
 DIMS = ("time", "product", "supplier", "store", "customer", "staging")
+LOOKUPS = ("product_master", "customer_keys")
 
 
 @dataclass
@@ -126,15 +128,21 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     together); then time dimension, fact and rejects from the written
     ledger.  Each step reads what the previous one wrote, so nothing is
     computed twice and a failed step reruns from the last written table.
-    Every write is an overwrite, and the manifest is written last: a
-    readable manifest means a complete warehouse.
+
+    Every build writes into a fresh ``build-<id>`` folder and the manifest
+    (``path/manifest``, row counts + build folder) is written last: readers
+    follow the manifest, so a build that dies halfway leaves the previous
+    complete warehouse in place, and a readable manifest always names a
+    complete build.
     """
+    build = f"{path}/build-{uuid.uuid4().hex[:12]}"
+
     def put(df: DataFrame, name: str, **kw) -> DataFrame:
         w = df.write.mode("overwrite")
         if kw.get("partition"):
             w = w.partitionBy(kw["partition"])
-        w.parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
+        w.parquet(f"{build}/{name}")
+        return spark.read.parquet(f"{build}/{name}")
 
     staging = put(staging_in, "staging")
     dims = {"product": put(dim_product(staging), "product"),
@@ -153,10 +161,11 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     put(fact_rejects(ledger), "fact_rejects")
     for name, df in (extra or {}).items():
         put(df, name)
-    written = {n: spark.read.parquet(f"{path}/{n}")
-               for n in ("fact", "time", "product", "supplier", "store", "customer", "staging",
-                         "fact_rejects", *(extra or {}))}
-    load_metrics(written).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+    names = ("fact", "time", "product", "supplier", "store", "customer", "staging",
+             "fact_rejects", "product_master", "customer_keys", *(extra or {}))
+    written = {n: spark.read.parquet(f"{build}/{n}") for n in names}
+    (load_metrics(written).withColumn("build", F.lit(build)).coalesce(1)
+     .write.mode("overwrite").parquet(f"{path}/manifest"))
 
 
 def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -181,25 +190,31 @@ def load_files_warehouse(spark: SparkSession, customers_csv: str, products_csv:
     return read_star(spark, path)
 
 
+def read_manifest(spark: SparkSession, path: str) -> tuple[dict[str, int], str]:
+    """Row counts per table and the build folder of a written warehouse."""
+    rows = spark.read.parquet(f"{path}/manifest").collect()    # one row per table
+    return {r["source"]: int(r["rows"]) for r in rows}, rows[0]["build"]
+
+
 def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The dimension tables of a written warehouse, with the columns the
     loader looks up (customer 3, product 3, supplier 2, store 2, staging 7)."""
+    _, build = read_manifest(spark, path)
     cols = {"customer": ["customerID", "customerName", "gender"],
             "product": ["productID", "productName", "productPrice"],
             "supplier": ["supplierID", "supplierName"], "store": ["storeID", "storeName"],
             "staging": ["productID", "productName", "productPrice", "supplierID", "supplierName",
                         "storeID", "storeName"]}
-    return {n: spark.read.parquet(f"{path}/{n}").select(*c) for n, c in cols.items()}
+    return {n: spark.read.parquet(f"{build}/{n}").select(*c) for n, c in cols.items()}
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
     """A :class:`Star` over a written warehouse (raises if incomplete)."""
-    manifest = spark.read.parquet(f"{path}/manifest")
-    rows = {r["source"]: int(r["rows"]) for r in manifest.collect()}   # a handful of rows
-    t = {n: spark.read.parquet(f"{path}/{n}") for n in rows}
+    rows, build = read_manifest(spark, path)
+    t = {n: spark.read.parquet(f"{build}/{n}") for n in rows}
     return Star(fact=t["fact"], time=t["time"], product=t["product"], supplier=t["supplier"],
                 store=t["store"], customer=t["customer"], staging=t.get("staging"), rows=rows,
-                extra={n: t[n] for n in rows if n not in ("fact", *DIMS)})
+                extra={n: t[n] for n in rows if n not in ("fact", *DIMS, *LOOKUPS)})
 
 
 _cache: dict[tuple[str, str], Star] = {}

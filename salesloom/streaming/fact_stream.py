@@ -42,19 +42,16 @@ def write_masters(staging: DataFrame, suppliers: DataFrame, stores: DataFrame,
     customer_keys(customers).write.mode("overwrite").parquet(f"{path}/customer_keys")
 
 
-def _masters_reader(spark: SparkSession, dims_path: str):
-    def read():
-        return {n: spark.read.parquet(f"{dims_path}/{n}") for n in MASTERS}
-    return read
-
-
-def _manifest_rows(spark: SparkSession, dims_path: str) -> dict:
-    """Row counts recorded by the warehouse load ({} when there is none)."""
+def _read_masters(spark: SparkSession, dims_path: str) -> tuple[dict, dict]:
+    """The two lookups and their row counts.  A written warehouse is read
+    through its manifest (current build, recorded counts); a folder made by
+    :func:`write_masters` has no counts."""
     try:
-        m = spark.read.parquet(f"{dims_path}/manifest")
+        m = spark.read.parquet(f"{dims_path}/manifest").collect()   # one row per table
+        rows, base = {r["source"]: int(r["rows"]) for r in m}, m[0]["build"]
     except AnalysisException:
-        return {}
-    return {r["source"]: int(r["rows"]) for r in m.collect()}   # a handful of rows
+        rows, base = {}, dims_path
+    return {n: spark.read.parquet(f"{base}/{n}") for n in MASTERS}, rows
 
 
 def batch_masters(parsed: DataFrame, masters: dict, rows: dict) -> tuple[DataFrame, DataFrame, dict]:
@@ -101,7 +98,6 @@ def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path:
     lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
              .load(input_path)
              .select("value", F.col("_metadata.file_path").alias("_file")))
-    read_masters = _masters_reader(spark, dims_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("arrival", F.struct(F.lit(batch_id).cast("bigint").alias("batch"),
@@ -110,8 +106,8 @@ def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path:
         b = b.drop("_file").persist()
         try:
             parsed = parse_transactions(b, header)
-            master, ckeys, rows = batch_masters(parsed, read_masters(),
-                                                _manifest_rows(spark, dims_path))
+            masters, counts = _read_masters(spark, dims_path)
+            master, ckeys, rows = batch_masters(parsed, masters, counts)
             enriched = enrich_with_masters(parsed, master, ckeys, rows)
             enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
         finally:
@@ -161,7 +157,7 @@ def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_f
              .load(input_path)
              .select("value", F.struct(F.col("_metadata.file_modification_time").alias("t"),
                                        F.col("_metadata.file_path").alias("f")).alias("arrival")))
-    m = {n: spark.read.parquet(f"{dims_path}/{n}") for n in MASTERS}
+    m, _ = _read_masters(spark, dims_path)
     parsed = parse_transactions(lines, header)
     parsed = parsed.withColumn("arrival", F.struct(F.col("arrival").alias("src"), "orderTS"))
     enriched = enrich_with_masters(parsed, m["product_master"], m["customer_keys"])
