@@ -196,6 +196,15 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[dict[str, int], str]:
     return {r["source"]: int(r["rows"]) for r in rows}, rows[0]["build"]
 
 
+def _locations(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of each table: the build, unless the manifest names another
+    location for it (a star that reuses another warehouse's dimensions)."""
+    m = spark.read.parquet(f"{path}/manifest")
+    has_loc = "location" in m.columns
+    return {r["source"]: (r["location"] if has_loc and r["location"] else r["build"])
+            for r in m.collect()}                               # one row per table
+
+
 def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The dimension tables of a written warehouse, with the columns the
     loader looks up (customer 3, product 3, supplier 2, store 2, staging 7)."""
@@ -210,8 +219,8 @@ def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def read_star(spark: SparkSession, path: str) -> Star:
     """A :class:`Star` over a written warehouse (raises if incomplete)."""
-    rows, build = read_manifest(spark, path)
-    t = {n: spark.read.parquet(f"{build}/{n}") for n in rows}
+    rows, _ = read_manifest(spark, path)
+    t = {n: spark.read.parquet(f"{loc}/{n}") for n, loc in _locations(spark, path).items()}
     return Star(fact=t["fact"], time=t["time"], product=t["product"], supplier=t["supplier"],
                 store=t["store"], customer=t["customer"], staging=t.get("staging"), rows=rows,
                 extra={n: t[n] for n in rows if n not in ("fact", *DIMS, *LOOKUPS)})

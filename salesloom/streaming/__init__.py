@@ -1,7 +1,9 @@
 """Structured Streaming loader of the sales fact."""
 
 from salesloom.streaming.fact_stream import (live_fact_totals, read_ledger, stream_fact, streamed_fact,
-                                              streamed_rejects, streamed_time_dim, write_masters)
+                                              streamed_rejects, streamed_star, streamed_time_dim,
+                                              write_masters)
 
-__all__ = ["live_fact_totals", "read_ledger", "stream_fact", "streamed_fact", "streamed_rejects", "streamed_time_dim",
+__all__ = ["live_fact_totals", "read_ledger", "stream_fact", "streamed_fact", "streamed_rejects", "streamed_star",
+           "streamed_time_dim",
            "write_masters"]

@@ -17,6 +17,8 @@ Design (no MERGE-capable table format is assumed):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,3 +164,36 @@ def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_f
     parsed = parsed.withColumn("arrival", F.struct(F.col("arrival").alias("src"), "orderTS"))
     enriched = enrich_with_masters(parsed, m["product_master"], m["customer_keys"])
     return collapse_fact(accepted_facts(enriched))
+
+
+def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str) -> "Star":
+    """A queryable star whose fact and time dimension come from the stream.
+
+    The dimensions are the warehouse's; the fact (collapsed ledger, with its
+    year partition) and the time dimension are written as a new warehouse
+    build under ``path``, so every query of the catalogue runs on the
+    stream-loaded data exactly as on a batch-loaded warehouse.
+    """
+    from salesloom.operators.joins import join_dim
+    from salesloom.operators.quality import load_metrics
+    from salesloom.plans.star import PART_YEAR, read_manifest, read_star
+
+    _, base = read_manifest(spark, warehouse)
+    build = f"{path}/build-{uuid.uuid4().hex[:12]}"
+    time = streamed_time_dim(spark, out_path)
+    time.write.mode("overwrite").parquet(f"{build}/time")
+    time = spark.read.parquet(f"{build}/time")
+    fact = streamed_fact(spark, out_path)
+    year = time.select("timeID", F.col("Year").alias(PART_YEAR))
+    fact = join_dim(fact, year, "timeID", "left", time.count())
+    fact.write.mode("overwrite").partitionBy(PART_YEAR).parquet(f"{build}/fact")
+    tables = {"fact": spark.read.parquet(f"{build}/fact"), "time": time}
+    tables.update({n: spark.read.parquet(f"{base}/{n}")
+                   for n in ("product", "supplier", "store", "customer", "staging")})
+    metrics = load_metrics(tables)
+    # the dimensions stay in the warehouse build: record where each table lives
+    (metrics.withColumn("build", F.lit(build))
+     .withColumn("location", F.when(F.col("source").isin("fact", "time"), F.lit(build))
+                 .otherwise(F.lit(base)))
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest"))
+    return read_star(spark, path)

@@ -74,3 +74,17 @@ def test_large_scale_plan_shapes_give_the_same_rows(spark, star):
                Q.q6_product_affinity, Q.q6_affinity_same_visit):
         a, b = fn(star), fn(big)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_queries_on_the_stream_loaded_star(spark, star, tmp_path):
+    from salesloom.plans.star import warehouse_path
+    from salesloom.sources.tables import transaction_lines
+    from salesloom.streaming import stream_fact, streamed_star
+    run = str(tmp_path)
+    transaction_lines(spark, SF_SMALL).select("value").repartition(3).write.text(f"{run}/in")
+    wh = warehouse_path(spark, SF_SMALL)
+    stream_fact(spark, f"{run}/in", wh, f"{run}/out", f"{run}/ck", max_files=1).awaitTermination()
+    s2 = streamed_star(spark, wh, f"{run}/out", f"{run}/star")
+    for fn in (Q.q10_store_quarterly_sales, Q.q7_revenue_rollup, lambda s: Q.q2_store_quarter_growth(s, 1998)):
+        a, b = fn(star), fn(s2)
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
