@@ -43,13 +43,14 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for written tables and stream checkpoints.
 
-    Reads ``spark.checkpoint.dir`` from the session.  When it is unset and
+    Reads ``spark.checkpoint.dir`` from the session (or the checkpoint dir
+    set on its SparkContext).  When neither is set and
     the master is local, a private folder is created once per application
     and registered as the checkpoint dir; on a cluster an unset value is an
     error, because a machine-local folder would not survive executor loss.
     """
     conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None)
+    d = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d.rstrip("/")
     app = spark.sparkContext.applicationId
