@@ -21,12 +21,19 @@ from salesloom.schemas import FACT_COLUMNS, MONEY
 FACT_KEY = ["orderID", "productID", "customerID"]
 
 
-def collapse_fact(rows: DataFrame) -> DataFrame:
-    """Sales_FactTable rows from enriched rows or from a ledger of them."""
+def collapse_fact(rows: DataFrame, extra_keys: list | None = None) -> DataFrame:
+    """Sales_FactTable rows from enriched rows or from a ledger of them.
+
+    ``extra_keys`` (Columns) are added to the grouping and kept in the
+    output, e.g. an event-time window for a watermarked streaming state.
+    """
     first = F.min_by(F.struct("supplierID", "storeID", "orderDate", "timeID"), F.col("arrival"))
-    agg = (rows.groupBy(*FACT_KEY)
+    extra = list(extra_keys or [])
+    agg = (rows.groupBy(*FACT_KEY, *extra)
            .agg(first.alias("_first"),
                 F.sum("quantityOrdered").cast("int").alias("quantityOrdered"),
                 F.sum("totalSale").cast(MONEY).alias("totalSale")))
+    kept = [c for c in agg.columns if c not in FACT_KEY and c not in
+            ("_first", "quantityOrdered", "totalSale")]
     return agg.select(*FACT_KEY, "_first.supplierID", "_first.storeID", "_first.orderDate",
-                      "_first.timeID", "quantityOrdered", "totalSale").select(*FACT_COLUMNS)
+                      "_first.timeID", "quantityOrdered", "totalSale", *kept)

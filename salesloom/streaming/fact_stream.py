@@ -145,7 +145,8 @@ def streamed_time_dim(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_files: int = 1,
-                     header: str | None = DEFAULT_HEADER) -> DataFrame:
+                     header: str | None = DEFAULT_HEADER, watermark: str | None = None,
+                     state_window: str = "1 day") -> DataFrame:
     """Streaming additive totals per fact key, for an ``update``-mode sink.
 
     The live-serving alternative to the ledger: Spark keeps one state row per
@@ -154,6 +155,12 @@ def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_f
     upsert table it replaces), so it grows with the number of distinct keys;
     the ledger path is the one to use for the full history.  First-arrival
     columns order rows by (file modification time, file path, orderTS).
+
+    With ``watermark`` (off by default) the state is kept per key and
+    ``state_window`` of order time (a ``window`` output column) and dropped
+    once the window is older than the watermark; rows arriving later than
+    that are ignored.  This bounds the state, at the price of the late-row
+    rule of the source (late rows are always added).
     """
     lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
              .load(input_path)
@@ -163,7 +170,10 @@ def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_f
     parsed = parse_transactions(lines, header)
     parsed = parsed.withColumn("arrival", F.struct(F.col("arrival").alias("src"), "orderTS"))
     enriched = enrich_with_masters(parsed, m["product_master"], m["customer_keys"])
-    return collapse_fact(accepted_facts(enriched))
+    if watermark is None:
+        return collapse_fact(accepted_facts(enriched))
+    acc = enriched.where(F.col("reject_reason").isNull()).withWatermark("orderTS", watermark)
+    return collapse_fact(acc, [F.window("orderTS", state_window)])
 
 
 def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str) -> "Star":

@@ -87,3 +87,19 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
             os.remove(f)
     stream_fact(spark, inp, dims, out, ck, max_files=1).awaitTermination()
     assert sorted(tuple(r) for r in streamed_fact(spark, out).collect()) == before
+
+
+def test_live_totals_with_watermark(spark, tmp_dir):
+    dims, inp = f"{tmp_dir}/dims", f"{tmp_dir}/in"
+    write_dims(spark, dims)
+    d = {n: spark.read.parquet(f"{dims}/{n}") for n in ("staging", "supplier", "store", "customer")}
+    write_masters(d["staging"], d["supplier"], d["store"], d["customer"], dims)
+    os.makedirs(inp)
+    with open(f"{inp}/a.csv", "w") as f:
+        f.write("1,1,2,50,1/5/2019,1:00 PM,1\n1,1,3,50,1/5/2019,2:00 PM,1\n")
+    q = (live_fact_totals(spark, inp, dims, watermark="1 day").writeStream.outputMode("update")
+         .format("memory").queryName("live_wm").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("select quantityOrdered, window from live_wm").collect()
+    assert [r.quantityOrdered for r in rows] == [5] and rows[0].window is not None
