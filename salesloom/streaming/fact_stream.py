@@ -86,20 +86,27 @@ def batch_masters(parsed: DataFrame, masters: dict, rows: dict) -> tuple[DataFra
     return master, ckeys, out
 
 
-def stream_fact(spark: SparkSession, input_path: str, dims_path: str, out_path: str,
+def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str, out_path: str,
                 checkpoint: str, max_files: int = 1, header: str | None = DEFAULT_HEADER,
                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the loader; returns the running :class:`StreamingQuery`.
 
+    ``input_path`` is a folder of transaction text files (read as a file
+    stream, ``max_files`` per trigger) or an already built streaming
+    DataFrame of lines with a ``value`` column (its source decides the
+    throttle; arrival is then (batch, position)).
     ``dims_path`` holds the ``product_master`` and ``customer_keys`` lookups
     (a written warehouse, or :func:`write_masters`); they are re-read for
     every micro-batch, so a reloaded master is picked up by the next batch.  With ``available_now`` the query
     drains the files present and stops (the reference's "stop when idle");
     otherwise it runs on ``processing_time`` triggers.
     """
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
-             .load(input_path)
-             .select("value", F.col("_metadata.file_path").alias("_file")))
+    if isinstance(input_path, DataFrame):
+        lines = input_path.select("value", F.lit("").alias("_file"))
+    else:
+        lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
+                 .load(input_path)
+                 .select("value", F.col("_metadata.file_path").alias("_file")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("arrival", F.struct(F.lit(batch_id).cast("bigint").alias("batch"),

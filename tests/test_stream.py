@@ -103,3 +103,18 @@ def test_live_totals_with_watermark(spark, tmp_dir):
     q.awaitTermination()
     rows = spark.sql("select quantityOrdered, window from live_wm").collect()
     assert [r.quantityOrdered for r in rows] == [5] and rows[0].window is not None
+
+
+def test_stream_from_a_lines_dataframe(spark, tmp_dir):
+    dims, inp = f"{tmp_dir}/dims", f"{tmp_dir}/in"
+    write_dims(spark, dims)
+    d = {n: spark.read.parquet(f"{dims}/{n}") for n in ("staging", "supplier", "store", "customer")}
+    write_masters(d["staging"], d["supplier"], d["store"], d["customer"], dims)
+    os.makedirs(inp)
+    with open(f"{inp}/a.csv", "w") as f:
+        f.write("1,1,2,50,1/5/2019,1:00 PM,1\n1,1,3,50,1/5/2019,2:00 PM,1\n2,2,1,51,1/6/2019,1:00 PM,2\n")
+    lines = spark.readStream.format("text").load(inp)
+    stream_fact(spark, lines, dims, f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination()
+    got = {r.orderID: (r.quantityOrdered, float(r.totalSale))
+           for r in streamed_fact(spark, f"{tmp_dir}/out").collect()}
+    assert got == {1: (5, 50.0), 2: (1, 2.5)}
