@@ -37,6 +37,13 @@ from salesloom.sources.transactions import parse_transactions, read_transaction_
 PART_YEAR = "part_year"
 DIMS = ("time", "product", "supplier", "store", "customer", "staging")
 LOOKUPS = ("product_master", "customer_keys")
+# The fact and the product dimension are bucketed on this key (same bucket
+# count), so product-level queries join and aggregate without shuffling the
+# fact.  Bucket count: the session setting salesloom.factBuckets, else
+# spark.sql.shuffle.partitions at load time.
+BUCKET_KEY = "productID"
+BUCKETS_CONF = "salesloom.factBuckets"
+BUCKETED = ("fact", "product")
 
 
 @dataclass
@@ -136,6 +143,8 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     complete build.
     """
     build = f"{path}/build-{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get(BUCKETS_CONF, None)
+                  or spark.conf.get("spark.sql.shuffle.partitions"))
 
     def put(df: DataFrame, name: str, **kw) -> DataFrame:
         w = df.write.mode("overwrite")
@@ -144,8 +153,22 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
         w.parquet(f"{build}/{name}")
         return spark.read.parquet(f"{build}/{name}")
 
+    def put_bucketed(df: DataFrame, name: str, partition: str | None = None,
+                     sort: bool = False) -> DataFrame:
+        # one task per bucket, so each task writes one file per partition
+        w = (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite")
+             .option("path", f"{build}/{name}"))
+        if partition:
+            w = w.partitionBy(partition)
+        w = w.bucketBy(buckets, BUCKET_KEY)
+        if sort:
+            w = w.sortBy(BUCKET_KEY)
+        table = _table_name(build, name)
+        w.saveAsTable(table)
+        return spark.table(table)
+
     staging = put(staging_in, "staging")
-    dims = {"product": put(dim_product(staging), "product"),
+    dims = {"product": put_bucketed(dim_product(staging), "product", sort=True),
             "supplier": put(dim_supplier(staging), "supplier"),
             "store": put(dim_store(staging), "store"),
             "customer": put(customers_in, "customer")}
@@ -157,14 +180,16 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     fact = collapse_fact(accepted_facts(ledger))
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
     fact = join_dim(fact, year, "timeID", "left", time.count())
-    put(fact, "fact", partition=PART_YEAR)
+    put_bucketed(fact, "fact", partition=PART_YEAR)
     put(fact_rejects(ledger), "fact_rejects")
     for name, df in (extra or {}).items():
         put(df, name)
     names = ("fact", "time", "product", "supplier", "store", "customer", "staging",
              "fact_rejects", "product_master", "customer_keys", *(extra or {}))
     written = {n: spark.read.parquet(f"{build}/{n}") for n in names}
-    (load_metrics(written).withColumn("build", F.lit(build)).coalesce(1)
+    spec = F.when(F.col("source").isin(*BUCKETED), F.lit(f"{BUCKET_KEY}:{buckets}"))
+    (load_metrics(written).withColumn("build", F.lit(build))
+     .withColumn("bucket_spec", spec).coalesce(1)
      .write.mode("overwrite").parquet(f"{path}/manifest"))
 
 
@@ -196,13 +221,41 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[dict[str, int], str]:
     return {r["source"]: int(r["rows"]) for r in rows}, rows[0]["build"]
 
 
-def _locations(spark: SparkSession, path: str) -> dict[str, str]:
-    """Folder of each table: the build, unless the manifest names another
-    location for it (a star that reuses another warehouse's dimensions)."""
+def _table_name(build: str, name: str) -> str:
+    return "salesloom_" + os.path.basename(build).replace("-", "_") + "_" + name
+
+
+def _open_table(spark: SparkSession, loc: str, name: str, spec: str | None) -> DataFrame:
+    """A written table; bucketed ones are read through the session catalog
+    (re-registered over their folder in a new session) so that Spark knows
+    their bucketing, the rest by path."""
+    if not spec:
+        return spark.read.parquet(f"{loc}/{name}")
+    table = _table_name(loc, name)
+    if not spark.catalog.tableExists(table):
+        key, n = spec.split(":")
+        schema = spark.read.parquet(f"{loc}/{name}").schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        part = f"PARTITIONED BY ({PART_YEAR})" if PART_YEAR in schema.fieldNames() else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet {part} "
+                  f"CLUSTERED BY ({key}) INTO {n} BUCKETS LOCATION '{loc}/{name}'")
+        if part:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table)
+
+
+def _tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Every table of a written warehouse.  A table lives in the build folder
+    unless the manifest names another location (a star that reuses another
+    warehouse's dimensions)."""
     m = spark.read.parquet(f"{path}/manifest")
-    has_loc = "location" in m.columns
-    return {r["source"]: (r["location"] if has_loc and r["location"] else r["build"])
-            for r in m.collect()}                               # one row per table
+    cols = m.columns
+    out = {}
+    for r in m.collect():                                       # one row per table
+        loc = r["location"] if "location" in cols and r["location"] else r["build"]
+        spec = r["bucket_spec"] if "bucket_spec" in cols else None
+        out[r["source"]] = _open_table(spark, loc, r["source"], spec)
+    return out
 
 
 def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -220,7 +273,7 @@ def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 def read_star(spark: SparkSession, path: str) -> Star:
     """A :class:`Star` over a written warehouse (raises if incomplete)."""
     rows, _ = read_manifest(spark, path)
-    t = {n: spark.read.parquet(f"{loc}/{n}") for n, loc in _locations(spark, path).items()}
+    t = _tables(spark, path)
     return Star(fact=t["fact"], time=t["time"], product=t["product"], supplier=t["supplier"],
                 store=t["store"], customer=t["customer"], staging=t.get("staging"), rows=rows,
                 extra={n: t[n] for n in rows if n not in ("fact", *DIMS, *LOOKUPS)})

@@ -209,8 +209,15 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
                    for n in ("product", "supplier", "store", "customer", "staging")})
     metrics = load_metrics(tables)
     # the dimensions stay in the warehouse build: record where each table lives
+    specs = {r["source"]: r["bucket_spec"]
+             for r in spark.read.parquet(f"{warehouse}/manifest").collect()
+             if "bucket_spec" in r.asDict()}                     # one row per table
+    spec = F.lit(None).cast("string")
+    if specs.get("product"):
+        spec = F.when(F.col("source") == "product", F.lit(specs["product"])).otherwise(spec)
     (metrics.withColumn("build", F.lit(build))
      .withColumn("location", F.when(F.col("source").isin("fact", "time"), F.lit(build))
                  .otherwise(F.lit(base)))
+     .withColumn("bucket_spec", spec)
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest"))
     return read_star(spark, path)
