@@ -4,9 +4,11 @@
 tables: product staging -> product/supplier/store dimensions, transactions
 -> time dimension, transactions -> enrichment (with quarantine) ->
 additive collapse -> fact.  ``load_warehouse`` writes every table as
-Parquet into the shared folder (the fact partitioned by the year of its
-time row, for partition pruning), records row counts in a manifest, and
-returns a :class:`Star` over the written tables.  Queries then read the
+Parquet into a fresh build folder under the shared folder (the fact
+partitioned by the year of its time row, for partition pruning; fact and
+product bucketed on productID and registered in the session catalog, for
+co-located product joins), records row counts in a manifest written last,
+and returns a :class:`Star` over the written tables.  Queries then read the
 written tables, and dimension joins use the recorded counts to decide on a
 broadcast.
 """
