@@ -88,3 +88,11 @@ def test_queries_on_the_stream_loaded_star(spark, star, tmp_path):
     for fn in (Q.q10_store_quarterly_sales, Q.q7_revenue_rollup, lambda s: Q.q2_store_quarter_growth(s, 1998)):
         a, b = fn(star), fn(s2)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_store_year_totals_agree(spark, star):
+    q10 = (Q.q10_store_quarterly_sales(star).groupBy("Store", "Year")
+           .agg(F.round(F.sum("TotalSales"), 2).alias("t")))
+    q7 = (Q.q7_revenue_rollup(star).where("GroupingLevel = 0").groupBy("Store", "Year")
+          .agg(F.round(F.sum("TotalRevenue"), 2).alias("t")))
+    assert q10.count() > 0 and q10.exceptAll(q7).count() == 0 and q7.exceptAll(q10).count() == 0
