@@ -24,7 +24,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.operators.dims import dim_product, dim_store, dim_supplier, dim_time
+from salesloom.operators.dims import (dim_product, dim_store, dim_supplier, dim_time,
+                                     merge_time_dim)
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_transactions,
                                        enrich_with_masters, fact_rejects, product_master)
 from salesloom.operators.fact import collapse_fact
@@ -121,6 +122,54 @@ def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_dir(spark)}/warehouse/{_input_key(sf_dir)}"
 
 
+def _new_build(path: str) -> str:
+    return f"{path}/build-{uuid.uuid4().hex[:12]}"
+
+
+def _bucket_count(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _put(spark: SparkSession, build: str, df: DataFrame, name: str,
+         partition: str | None = None) -> DataFrame:
+    w = df.write.mode("overwrite")
+    if partition:
+        w = w.partitionBy(partition)
+    w.parquet(f"{build}/{name}")
+    return spark.read.parquet(f"{build}/{name}")
+
+
+def _put_bucketed(spark: SparkSession, build: str, df: DataFrame, name: str, buckets: int,
+                  partition: str | None = None, sort: bool = False) -> DataFrame:
+    # one task per bucket, so each task writes one file per partition
+    w = (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite")
+         .option("path", f"{build}/{name}"))
+    if partition:
+        w = w.partitionBy(partition)
+    w = w.bucketBy(buckets, BUCKET_KEY)
+    if sort:
+        w = w.sortBy(BUCKET_KEY)
+    table = _table_name(build, name)
+    w.saveAsTable(table)
+    return spark.table(table)
+
+
+def _write_manifest(spark: SparkSession, path: str, build: str, locations: dict[str, str],
+                    specs: dict[str, str]) -> None:
+    """Row counts of every table, where it lives and how it is bucketed;
+    written last, over the previous manifest."""
+    counted = {n: spark.read.parquet(f"{loc}/{n}") for n, loc in locations.items()}  # footers
+    loc_col = F.lit(None).cast("string")
+    spec_col = F.lit(None).cast("string")
+    for n, loc in locations.items():
+        loc_col = F.when(F.col("source") == n, F.lit(loc)).otherwise(loc_col)
+    for n, sp in specs.items():
+        spec_col = F.when(F.col("source") == n, F.lit(sp)).otherwise(spec_col)
+    (load_metrics(counted).withColumn("build", F.lit(build))
+     .withColumn("location", loc_col).withColumn("bucket_spec", spec_col)
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest"))
+
+
 def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_in: DataFrame,
                          transactions: DataFrame, path: str,
                          extra: dict[str, DataFrame] | None = None) -> None:
@@ -144,30 +193,15 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     complete warehouse in place, and a readable manifest always names a
     complete build.
     """
-    build = f"{path}/build-{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get(BUCKETS_CONF, None)
-                  or spark.conf.get("spark.sql.shuffle.partitions"))
+    build = _new_build(path)
+    buckets = _bucket_count(spark)
 
     def put(df: DataFrame, name: str, **kw) -> DataFrame:
-        w = df.write.mode("overwrite")
-        if kw.get("partition"):
-            w = w.partitionBy(kw["partition"])
-        w.parquet(f"{build}/{name}")
-        return spark.read.parquet(f"{build}/{name}")
+        return _put(spark, build, df, name, kw.get("partition"))
 
     def put_bucketed(df: DataFrame, name: str, partition: str | None = None,
                      sort: bool = False) -> DataFrame:
-        # one task per bucket, so each task writes one file per partition
-        w = (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite")
-             .option("path", f"{build}/{name}"))
-        if partition:
-            w = w.partitionBy(partition)
-        w = w.bucketBy(buckets, BUCKET_KEY)
-        if sort:
-            w = w.sortBy(BUCKET_KEY)
-        table = _table_name(build, name)
-        w.saveAsTable(table)
-        return spark.table(table)
+        return _put_bucketed(spark, build, df, name, buckets, partition, sort)
 
     staging = put(staging_in, "staging")
     dims = {"product": put_bucketed(dim_product(staging), "product", sort=True),
@@ -188,11 +222,8 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
         put(df, name)
     names = ("fact", "time", "product", "supplier", "store", "customer", "staging",
              "fact_rejects", "product_master", "customer_keys", *(extra or {}))
-    written = {n: spark.read.parquet(f"{build}/{n}") for n in names}
-    spec = F.when(F.col("source").isin(*BUCKETED), F.lit(f"{BUCKET_KEY}:{buckets}"))
-    (load_metrics(written).withColumn("build", F.lit(build))
-     .withColumn("bucket_spec", spec).coalesce(1)
-     .write.mode("overwrite").parquet(f"{path}/manifest"))
+    _write_manifest(spark, path, build, {n: build for n in names},
+                    {n: f"{BUCKET_KEY}:{buckets}" for n in BUCKETED})
 
 
 def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -217,12 +248,62 @@ def load_files_warehouse(spark: SparkSession, customers_csv: str, products_csv:
     return read_star(spark, path)
 
 
+def append_transactions(spark: SparkSession, path: str, transactions: DataFrame) -> Star:
+    """Add transactions to a written warehouse: another run of the loader.
+
+    The new rows are enriched against the warehouse's current masters (with
+    quarantine); the time dimension gains the timeIDs it did not have
+    (insert-if-absent: stored rows win); the fact becomes the additive
+    collapse of the stored fact and the new rows, where stored rows count as
+    arriving first, so they keep their first-arrival columns.  The fact,
+    time dimension and rejects are written to a new build (the fact is
+    rewritten: plain Parquet has no MERGE); the dimensions and masters stay
+    where they are, and the new manifest points to both.
+    """
+    rows, _ = read_manifest(spark, path)
+    locs = table_locations(spark, path)
+    t = _tables(spark, path)
+    build = _new_build(path)
+    buckets = _bucket_count(spark)
+    ledger = _put(spark, build, enrich_with_masters(transactions, t["product_master"],
+                                                    t["customer_keys"], rows), "ledger")
+    time = _put(spark, build, merge_time_dim(t["time"], dim_time(time_input(ledger))), "time")
+    kind = ledger.schema["arrival"].dataType
+    stored = (t["fact"].drop(PART_YEAR)
+              .withColumn("arrival", F.struct(F.lit(0).alias("load"),
+                                              F.lit(None).cast(kind).alias("a"))))
+    new = (accepted_facts(ledger)
+           .withColumn("arrival", F.struct(F.lit(1).alias("load"), F.col("arrival").alias("a"))))
+    fact = collapse_fact(stored.unionByName(new.select(*stored.columns)))
+    year = time.select("timeID", F.col("Year").alias(PART_YEAR))
+    fact = join_dim(fact, year, "timeID", "left", time.count())
+    _put_bucketed(spark, build, fact, "fact", buckets, PART_YEAR)
+    rejects = t["fact_rejects"].unionByName(fact_rejects(ledger), allowMissingColumns=True)
+    _put(spark, build, rejects, "fact_rejects")
+    locs.update({"fact": build, "time": build, "fact_rejects": build})
+    specs = {r["source"]: r["bucket_spec"]
+             for r in spark.read.parquet(f"{path}/manifest").collect()   # one row per table
+             if r["bucket_spec"]}
+    specs["fact"] = f"{BUCKET_KEY}:{buckets}"
+    _write_manifest(spark, path, build, locs, specs)
+    return read_star(spark, path)
+
+
 def read_manifest(spark: SparkSession, path: str) -> tuple[dict[str, int], str]:
     """Row counts per table and the build folder of a written warehouse."""
     rows = spark.read.parquet(f"{path}/manifest").collect()    # one row per table
     return {r["source"]: int(r["rows"]) for r in rows}, rows[0]["build"]
 
 
+def table_locations(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of every table of a written warehouse (its build, or the older
+    build a table was carried over from)."""
+    m = spark.read.parquet(f"{path}/manifest")
+    has_loc = "location" in m.columns
+    return {r["source"]: (r["location"] if has_loc and r["location"] else r["build"])
+            for r in m.collect()}                               # one row per table
+
+
 def _table_name(build: str, name: str) -> str:
     return "salesloom_" + os.path.basename(build).replace("-", "_") + "_" + name
 
@@ -263,13 +344,13 @@ def _tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The dimension tables of a written warehouse, with the columns the
     loader looks up (customer 3, product 3, supplier 2, store 2, staging 7)."""
-    _, build = read_manifest(spark, path)
+    locs = table_locations(spark, path)
     cols = {"customer": ["customerID", "customerName", "gender"],
             "product": ["productID", "productName", "productPrice"],
             "supplier": ["supplierID", "supplierName"], "store": ["storeID", "storeName"],
             "staging": ["productID", "productName", "productPrice", "supplierID", "supplierName",
                         "storeID", "storeName"]}
-    return {n: spark.read.parquet(f"{build}/{n}").select(*c) for n, c in cols.items()}
+    return {n: spark.read.parquet(f"{locs[n]}/{n}").select(*c) for n, c in cols.items()}
 
 
 def read_star(spark: SparkSession, path: str) -> Star:

@@ -48,12 +48,13 @@ def _read_masters(spark: SparkSession, dims_path: str) -> tuple[dict, dict]:
     """The two lookups and their row counts.  A written warehouse is read
     through its manifest (current build, recorded counts); a folder made by
     :func:`write_masters` has no counts."""
+    from salesloom.plans.star import read_manifest, table_locations
     try:
-        m = spark.read.parquet(f"{dims_path}/manifest").collect()   # one row per table
-        rows, base = {r["source"]: int(r["rows"]) for r in m}, m[0]["build"]
+        rows, _ = read_manifest(spark, dims_path)
+        locs = table_locations(spark, dims_path)
     except AnalysisException:
-        rows, base = {}, dims_path
-    return {n: spark.read.parquet(f"{base}/{n}") for n in MASTERS}, rows
+        rows, locs = {}, {n: dims_path for n in MASTERS}
+    return {n: spark.read.parquet(f"{locs[n]}/{n}") for n in MASTERS}, rows
 
 
 def batch_masters(parsed: DataFrame, masters: dict, rows: dict) -> tuple[DataFrame, DataFrame, dict]:
@@ -193,9 +194,9 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
     """
     from salesloom.operators.joins import join_dim
     from salesloom.operators.quality import load_metrics
-    from salesloom.plans.star import PART_YEAR, read_manifest, read_star
+    from salesloom.plans.star import PART_YEAR, read_star, table_locations
 
-    _, base = read_manifest(spark, warehouse)
+    locs = table_locations(spark, warehouse)
     build = f"{path}/build-{uuid.uuid4().hex[:12]}"
     time = streamed_time_dim(spark, out_path)
     time.write.mode("overwrite").parquet(f"{build}/time")
@@ -205,7 +206,7 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
     fact = join_dim(fact, year, "timeID", "left", time.count())
     fact.write.mode("overwrite").partitionBy(PART_YEAR).parquet(f"{build}/fact")
     tables = {"fact": spark.read.parquet(f"{build}/fact"), "time": time}
-    tables.update({n: spark.read.parquet(f"{base}/{n}")
+    tables.update({n: spark.read.parquet(f"{locs[n]}/{n}")
                    for n in ("product", "supplier", "store", "customer", "staging")})
     metrics = load_metrics(tables)
     # the dimensions stay in the warehouse build: record where each table lives
@@ -217,7 +218,9 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
         spec = F.when(F.col("source") == "product", F.lit(specs["product"])).otherwise(spec)
     (metrics.withColumn("build", F.lit(build))
      .withColumn("location", F.when(F.col("source").isin("fact", "time"), F.lit(build))
-                 .otherwise(F.lit(base)))
+                 .otherwise(F.element_at(F.create_map(*[x for n, loc in locs.items()
+                                                        for x in (F.lit(n), F.lit(loc))]),
+                                         F.col("source"))))
      .withColumn("bucket_spec", spec)
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest"))
     return read_star(spark, path)

@@ -45,3 +45,29 @@ def test_file_based_warehouse(spark, tmp_dir):
     assert (q1.Product, q1.DayType) == ("Echo", "Weekend")
     assert set(read_dims(spark, f"{tmp_dir}/wh")) == {"customer", "product", "supplier", "store", "staging"}
     assert star.time.where("timeID = 1").first().orderDate == dt.date(2019, 1, 4)
+
+
+def test_append_is_additive_and_keeps_stored_time_rows(spark, tmp_dir):
+    from salesloom.plans.star import append_transactions
+    from salesloom.sources.transactions import parse_transactions, read_transaction_lines
+    for name, text in (("c.csv", CUSTOMERS), ("p.csv", PRODUCTS), ("t.csv", "\n".join(TXNS) + "\n")):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write(text)
+    wh = f"{tmp_dir}/wh"
+    load_files_warehouse(spark, f"{tmp_dir}/c.csv", f"{tmp_dir}/p.csv", f"{tmp_dir}/t.csv", wh)
+    more = [DEFAULT_HEADER,
+            "1,10,5,1,3/9/2019,11:00 AM,1",     # same key as order 1: added; timeID 1 already stored
+            "9,11,1,1,3/9/2019,11:00 AM,9",     # new key, new timeID
+            "10,77,1,1,3/9/2019,11:00 AM,9"]    # unknown product
+    with open(f"{tmp_dir}/t2.csv", "w") as f:
+        f.write("\n".join(more) + "\n")
+    star = append_transactions(spark, wh, parse_transactions(read_transaction_lines(spark, f"{tmp_dir}/t2.csv")))
+    fact = {r.orderID: r for r in star.fact_rows().collect()}
+    assert fact[1].quantityOrdered == 8 and float(fact[1].totalSale) == 400.0
+    assert fact[1].orderDate == dt.date(2019, 1, 4)           # stored row arrived first
+    assert fact[9].quantityOrdered == 1 and star.rows["fact"] == 4
+    times = {r.timeID: r for r in star.time.collect()}
+    assert times[1].orderDate == dt.date(2019, 1, 4) and times[9].Month == 3
+    reasons = sorted(r.reject_reason for r in star.extra["fact_rejects"].collect())
+    assert reasons.count("product_not_found") == 2
+    assert [tuple(r) for r in Q.q10_store_quarterly_sales(star).collect()][0] == ("North", 1, 2019, 400.0)
