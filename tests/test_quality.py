@@ -1,0 +1,21 @@
+from salesloom.operators.quality import fk_violations, key_violations, load_metrics
+
+
+def test_key_violations(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "c")], "id long, name string")
+    assert sorted(tuple(r) for r in key_violations(df, ["id"]).collect()) == [(1, 2)]
+    assert sorted(tuple(r) for r in key_violations(df, ["name"]).collect()) == [("a", 2)]
+    assert key_violations(df, ["id", "name"]).count() == 0
+
+
+def test_fk_violations_ignore_null_keys(spark):
+    fact = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 99)], "orderID long, productID long")
+    dim = spark.createDataFrame([(10,), (11,), (11,), (None,)], "productID long")
+    assert [r.orderID for r in fk_violations(fact, dim, "productID").collect()] == [4]
+
+
+def test_load_metrics(spark):
+    a = spark.range(5)
+    b = spark.range(0)
+    got = {r.source: r.rows for r in load_metrics({"a": a, "b": b}).collect()}
+    assert got == {"a": 5, "b": 0}
