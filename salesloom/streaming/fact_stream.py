@@ -134,22 +134,96 @@ def read_ledger(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.parquet(f"{out_path}/ledger")
 
 
+def _compaction(spark: SparkSession, out_path: str) -> tuple[int, str] | None:
+    """(last compacted batch id, snapshot folder), or None."""
+    try:
+        r = spark.read.parquet(f"{out_path}/compaction").first()
+    except AnalysisException:
+        return None
+    return int(r["upto"]), r["folder"]
+
+
+def _sources(spark: SparkSession, out_path: str) -> tuple[DataFrame, dict | None]:
+    """Ledger rows after the last compaction, and the compacted snapshot."""
+    led = read_ledger(spark, out_path)
+    c = _compaction(spark, out_path)
+    if c is None:
+        return led, None
+    upto, folder = c
+    snap = {n: spark.read.parquet(f"{folder}/{n}") for n in ("facts", "time", "rejects")}
+    return led.where(F.col("batch_id") > F.lit(upto)), snap
+
+
+def _fact_rows(led: DataFrame, snap: dict | None) -> DataFrame:
+    rows = accepted_facts(led).drop("batch_id")
+    if snap is not None:
+        rows = snap["facts"].unionByName(rows.select(*snap["facts"].columns))
+    return rows
+
+
+def _time_rows(led: DataFrame, snap: dict | None) -> DataFrame:
+    rows = led.where(F.col("time_ok")).select("timeID", "orderTS", "arrival")
+    if snap is not None:
+        rows = snap["time"].unionByName(rows)
+    return rows
+
+
+def _reject_rows(led: DataFrame, snap: dict | None) -> DataFrame:
+    rows = led.where(F.col("reject_reason").isNotNull()).select("raw", "reject_reason", "batch_id")
+    if snap is not None:
+        rows = snap["rejects"].unionByName(rows)
+    return rows
+
+
 def streamed_fact(spark: SparkSession, out_path: str) -> DataFrame:
     """The fact table as of the batches committed so far."""
-    return collapse_fact(accepted_facts(read_ledger(spark, out_path)))
+    led, snap = _sources(spark, out_path)
+    return collapse_fact(_fact_rows(led, snap))
 
 
 def streamed_rejects(spark: SparkSession, out_path: str) -> DataFrame:
     """Every quarantined line with its reason (parse or enrichment)."""
-    return read_ledger(spark, out_path).where(F.col("reject_reason").isNotNull()).select(
-        "raw", "reject_reason", "batch_id")
+    led, snap = _sources(spark, out_path)
+    return _reject_rows(led, snap)
 
 
 def streamed_time_dim(spark: SparkSession, out_path: str) -> DataFrame:
     """Time dimension from all committed batches (first parseable arrival;
     arrival starts with the batch id)."""
-    led = read_ledger(spark, out_path)
-    return dim_time(led.where(F.col("time_ok")).select("timeID", "orderTS", "arrival"))
+    led, snap = _sources(spark, out_path)
+    return dim_time(_time_rows(led, snap))
+
+
+def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
+    """Fold ledger batches up to ``upto`` (a committed batch id, e.g. from
+    ``query.lastProgress``) into one snapshot, so readers stop re-reading
+    the history.
+
+    The snapshot holds one fact row per key with the key's earliest arrival
+    (so first-arrival columns stay right when later batches are added), the
+    first candidate per timeID, and every reject.  It goes to a new folder;
+    the pointer ``compaction`` is written last, so a compaction that dies
+    halfway is ignored.  Batch folders up to ``upto`` are then skipped by
+    partition pruning.
+    """
+    led, snap = _sources(spark, out_path)
+    led = led.where(F.col("batch_id") <= F.lit(upto))
+    folder = f"{out_path}/compacted/upto={upto}-{uuid.uuid4().hex[:8]}"
+    facts = (_fact_rows(led, snap).groupBy("orderID", "productID", "customerID")
+             .agg(F.min_by(F.struct("supplierID", "storeID", "orderDate", "timeID"),
+                           "arrival").alias("_f"),
+                  F.sum("quantityOrdered").cast("int").alias("quantityOrdered"),
+                  F.sum("totalSale").cast("decimal(10,2)").alias("totalSale"),
+                  F.min("arrival").alias("arrival"))
+             .select("orderID", "productID", "customerID", "_f.supplierID", "_f.storeID",
+                     "_f.orderDate", "_f.timeID", "quantityOrdered", "totalSale", "arrival"))
+    facts.write.mode("overwrite").parquet(f"{folder}/facts")
+    time = (_time_rows(led, snap).groupBy("timeID")
+            .agg(F.min_by("orderTS", "arrival").alias("orderTS"), F.min("arrival").alias("arrival")))
+    time.write.mode("overwrite").parquet(f"{folder}/time")
+    _reject_rows(led, snap).write.mode("overwrite").parquet(f"{folder}/rejects")
+    (spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"), F.lit(folder).alias("folder"))
+     .write.mode("overwrite").parquet(f"{out_path}/compaction"))
 
 
 def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_files: int = 1,

@@ -118,3 +118,45 @@ def test_stream_from_a_lines_dataframe(spark, tmp_dir):
     got = {r.orderID: (r.quantityOrdered, float(r.totalSale))
            for r in streamed_fact(spark, f"{tmp_dir}/out").collect()}
     assert got == {1: (5, 50.0), 2: (1, 2.5)}
+
+
+def test_compaction_keeps_fact_time_and_rejects(spark, tmp_dir):
+    from salesloom.streaming import compact_ledger
+    dims, inp, out, ck = (f"{tmp_dir}/{n}" for n in ("dims", "in", "out", "ck"))
+    write_dims(spark, dims)
+    d = {n: spark.read.parquet(f"{dims}/{n}") for n in ("staging", "supplier", "store", "customer")}
+    write_masters(d["staging"], d["supplier"], d["store"], d["customer"], dims)
+    os.makedirs(inp)
+    batches = [["7,1,1,50,1/2/2019,1:05 PM,1", "8,2,2,51,1/3/2019,1:05 PM,2", "bad"],
+               ["7,1,2,50,2/2/2019,1:05 PM,3", "9,1,1,50,1/2/2019,9:00 AM,1"],
+               ["7,1,4,50,3/2/2019,1:05 PM,4", "x,1,1,50,3/3/2019,1:05 PM,5"],
+               ["8,2,1,51,4/3/2019,1:05 PM,6"]]
+
+    def add(i):
+        path = f"{inp}/f{i}.csv"
+        with open(path, "w") as f:
+            f.write("\n".join(batches[i]) + "\n")
+        os.utime(path, (1_700_000_000 + i * 60, 1_700_000_000 + i * 60))  # arrival order
+
+    def state():
+        fact = sorted(tuple(r) for r in streamed_fact(spark, out).collect())
+        time = sorted(tuple(r) for r in streamed_time_dim(spark, out).collect())
+        rej = sorted(r.reject_reason for r in streamed_rejects(spark, out).collect())
+        return fact, time, rej
+
+    for i in range(2):
+        add(i)
+    stream_fact(spark, inp, dims, out, ck, max_files=1).awaitTermination()
+    before = state()
+    compact_ledger(spark, out, upto=1)
+    assert state() == before
+    for i in range(2, 4):
+        add(i)
+    stream_fact(spark, inp, dims, out, ck, max_files=1).awaitTermination()
+    after = state()
+    compact_ledger(spark, out, upto=2)
+    assert state() == after
+    fact = {r.orderID: r for r in streamed_fact(spark, out).collect()}
+    assert fact[7].quantityOrdered == 7 and fact[7].timeID == 1     # first arrival kept
+    assert after[2] == ["bad_arity", "bad_integer"]
+    assert [t[0] for t in after[1]] == [1, 2, 3, 4, 5, 6]
