@@ -5,9 +5,10 @@ tables: product staging -> product/supplier/store dimensions, transactions
 -> time dimension, transactions -> enrichment (with quarantine) ->
 additive collapse -> fact.  ``load_warehouse`` writes every table as
 Parquet into a fresh build folder under the shared folder (the fact
-partitioned by the year of its time row, for partition pruning; fact and
-product bucketed on productID and registered in the session catalog, for
-co-located product joins), records row counts in a manifest written last,
+partitioned by the year of its time row, for partition pruning; optionally
+fact and product bucketed on productID and registered in the session
+catalog, for co-located product joins), records row counts in a manifest
+written last,
 and returns a :class:`Star` over the written tables.  Queries then read the
 written tables, and dimension joins use the recorded counts to decide on a
 broadcast.
@@ -40,10 +41,13 @@ from salesloom.sources.transactions import parse_transactions, read_transaction_
 PART_YEAR = "part_year"
 DIMS = ("time", "product", "supplier", "store", "customer", "staging")
 LOOKUPS = ("product_master", "customer_keys")
-# The fact and the product dimension are bucketed on this key (same bucket
-# count), so product-level queries join and aggregate without shuffling the
-# fact.  Bucket count: the session setting salesloom.factBuckets, else
-# spark.sql.shuffle.partitions at load time.
+# Opt-in: with the session setting salesloom.factBuckets = N, the fact and the
+# product dimension are bucketed on this key into N buckets, so product-level
+# queries join and aggregate without shuffling the fact.  Off by default: a
+# bucketed scan reads each bucket in one task, so a product holding a large
+# share of the sales would make one task scan that share in every such query,
+# while the unbucketed plan splits the scan and pre-aggregates before the
+# shuffle.  Turn it on only for sales spread over many products.
 BUCKET_KEY = "productID"
 BUCKETS_CONF = "salesloom.factBuckets"
 BUCKETED = ("fact", "product")
@@ -119,15 +123,17 @@ def _input_key(sf_dir: str) -> str:
 
 
 def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
-    return f"{shared_dir(spark)}/warehouse/{_input_key(sf_dir)}"
+    layout = f"b{_bucket_count(spark) or 0}"
+    return f"{shared_dir(spark)}/warehouse/{_input_key(sf_dir)}-{layout}"
 
 
 def _new_build(path: str) -> str:
     return f"{path}/build-{uuid.uuid4().hex[:12]}"
 
 
-def _bucket_count(spark: SparkSession) -> int:
-    return int(spark.conf.get(BUCKETS_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+def _bucket_count(spark: SparkSession) -> int | None:
+    v = spark.conf.get(BUCKETS_CONF, None)
+    return int(v) if v not in (None, "", "0") else None
 
 
 def _put(spark: SparkSession, build: str, df: DataFrame, name: str,
@@ -139,8 +145,11 @@ def _put(spark: SparkSession, build: str, df: DataFrame, name: str,
     return spark.read.parquet(f"{build}/{name}")
 
 
-def _put_bucketed(spark: SparkSession, build: str, df: DataFrame, name: str, buckets: int,
-                  partition: str | None = None, sort: bool = False) -> DataFrame:
+def _put_bucketed(spark: SparkSession, build: str, df: DataFrame, name: str,
+                  buckets: int | None, partition: str | None = None,
+                  sort: bool = False) -> DataFrame:
+    if buckets is None:
+        return _put(spark, build, df, name, partition)
     # one task per bucket, so each task writes one file per partition
     w = (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite")
          .option("path", f"{build}/{name}"))
@@ -223,7 +232,7 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     names = ("fact", "time", "product", "supplier", "store", "customer", "staging",
              "fact_rejects", "product_master", "customer_keys", *(extra or {}))
     _write_manifest(spark, path, build, {n: build for n in names},
-                    {n: f"{BUCKET_KEY}:{buckets}" for n in BUCKETED})
+                    {n: f"{BUCKET_KEY}:{buckets}" for n in BUCKETED} if buckets else {})
 
 
 def write_warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -284,7 +293,9 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
     specs = {r["source"]: r["bucket_spec"]
              for r in spark.read.parquet(f"{path}/manifest").collect()   # one row per table
              if r["bucket_spec"]}
-    specs["fact"] = f"{BUCKET_KEY}:{buckets}"
+    specs.pop("fact", None)
+    if buckets:
+        specs["fact"] = f"{BUCKET_KEY}:{buckets}"
     _write_manifest(spark, path, build, locs, specs)
     return read_star(spark, path)
 

@@ -96,3 +96,21 @@ def test_store_year_totals_agree(spark, star):
     q7 = (Q.q7_revenue_rollup(star).where("GroupingLevel = 0").groupBy("Store", "Year")
           .agg(F.round(F.sum("TotalRevenue"), 2).alias("t")))
     assert q10.count() > 0 and q10.exceptAll(q7).count() == 0 and q7.exceptAll(q10).count() == 0
+
+
+def test_bucketed_layout_gives_the_same_rows(spark, star):
+    import dataclasses
+    from salesloom.plans.star import load_warehouse
+    spark.conf.set("salesloom.factBuckets", "4")
+    try:
+        b = load_warehouse(spark, SF_SMALL)
+    finally:
+        spark.conf.unset("salesloom.factBuckets")
+    assert b.rows["fact"] == star.rows["fact"]
+    big = dataclasses.replace(b, rows={**b.rows, "product": 20_000_000_000,
+                                       "supplier": 1_000_000_000, "customer": 15_000_000_000})
+    for fn in (Q.q3_supplier_contribution, Q.q4_seasonal_sales, Q.q9_outlier_days,
+               lambda s: Q.q1_drilldown(s, 1998)):
+        for s2 in (b, big):
+            x, y = fn(star), fn(s2)
+            assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
