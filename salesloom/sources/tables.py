@@ -29,15 +29,23 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has
+    cores (e.g. one file with one row group) so the work after it runs in
+    parallel.  Key-free on purpose: a hot key cannot make one partition big,
+    and the joins and aggregations after it keep their own exchanges (and
+    AQE's skew handling).  A scan with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions: orderID, productID, quantityOrdered, customerID,
     orderTS, timeID, arrival (the accepted shape of ``parse_transactions``)."""
-    # Hash-partition the lines by order key: the exchange a sort-merge join
-    # with orders needs at scale anyway; it also spreads input that arrives
-    # in few splits, when orders is small enough to be broadcast.
-    li = _t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
-    ).repartition("l_orderkey")
+    li = spread(_t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     d = F.to_date("o_orderdate")
