@@ -326,16 +326,20 @@ def _open_table(spark: SparkSession, loc: str, name: str, spec: str | None) -> D
     if not spec:
         return spark.read.parquet(f"{loc}/{name}")
     table = _table_name(loc, name)
-    if not spark.catalog.tableExists(table):
-        key, n = spec.split(":")
-        schema = spark.read.parquet(f"{loc}/{name}").schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        part = f"PARTITIONED BY ({PART_YEAR})" if PART_YEAR in schema.fieldNames() else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet {part} "
-                  f"CLUSTERED BY ({key}) INTO {n} BUCKETS LOCATION '{loc}/{name}'")
-        if part:
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    return spark.table(table)
+    try:
+        if not spark.catalog.tableExists(table):
+            key, n = spec.split(":")
+            schema = spark.read.parquet(f"{loc}/{name}").schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            part = f"PARTITIONED BY ({PART_YEAR})" if PART_YEAR in schema.fieldNames() else ""
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet {part} "
+                      f"CLUSTERED BY ({key}) INTO {n} BUCKETS LOCATION '{loc}/{name}'")
+            if part:
+                spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return spark.table(table)
+    except AnalysisException:
+        # a catalog that cannot register it: same rows by path, without bucketing
+        return spark.read.parquet(f"{loc}/{name}")
 
 
 def _tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
