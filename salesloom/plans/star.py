@@ -29,7 +29,7 @@ from salesloom.operators.dims import (dim_product, dim_store, dim_supplier, dim_
                                      merge_time_dim)
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_transactions,
                                        enrich_with_masters, fact_rejects, product_master)
-from salesloom.operators.fact import collapse_fact
+from salesloom.operators.fact import FACT_KEY, collapse_fact
 from salesloom.operators.joins import join_dim
 from salesloom.operators.quality import load_metrics
 from salesloom.session import shared_dir
@@ -167,7 +167,7 @@ def _write_manifest(spark: SparkSession, path: str, build: str, locations: dict[
                     specs: dict[str, str]) -> None:
     """Row counts of every table, where it lives and how it is bucketed;
     written last, over the previous manifest."""
-    counted = {n: spark.read.parquet(f"{loc}/{n}") for n, loc in locations.items()}  # footers
+    counted = {n: _open_table(spark, loc, n, None) for n, loc in locations.items()}  # footers
     loc_col = F.lit(None).cast("string")
     spec_col = F.lit(None).cast("string")
     for n, loc in locations.items():
@@ -265,9 +265,15 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
     (insert-if-absent: stored rows win); the fact becomes the additive
     collapse of the stored fact and the new rows, where stored rows count as
     arriving first, so they keep their first-arrival columns.  The fact,
-    time dimension and rejects are written to a new build (the fact is
-    rewritten: plain Parquet has no MERGE); the dimensions and masters stay
-    where they are, and the new manifest points to both.
+    time dimension and rejects are written to a new build; the dimensions
+    and masters stay where they are, and the new manifest points to both.
+
+    Plain Parquet has no MERGE, so fact partitions are rewritten, but only
+    the years that change: those holding a key of the new rows (found with
+    a semi join against the new keys, broadcast when their count is within
+    the bound) and the years of new keys.  The other years stay in their
+    folders and ``fact_parts`` in the new build lists where each year lives.
+    With the bucketed layout the whole fact is rewritten.
     """
     rows, _ = read_manifest(spark, path)
     locs = table_locations(spark, path)
@@ -278,15 +284,39 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
                                                     t["customer_keys"], rows), "ledger")
     time = _put(spark, build, merge_time_dim(t["time"], dim_time(time_input(ledger))), "time")
     kind = ledger.schema["arrival"].dataType
-    stored = (t["fact"].drop(PART_YEAR)
-              .withColumn("arrival", F.struct(F.lit(0).alias("load"),
-                                              F.lit(None).cast(kind).alias("a"))))
     new = (accepted_facts(ledger)
            .withColumn("arrival", F.struct(F.lit(1).alias("load"), F.col("arrival").alias("a"))))
-    fact = collapse_fact(stored.unionByName(new.select(*stored.columns)))
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    fact = join_dim(fact, year, "timeID", "left", time.count())
+    n_time = time.count()
+    old_fact = t["fact"]
+    old_spec = {r["source"]: r["bucket_spec"]
+                for r in spark.read.parquet(f"{path}/manifest").collect()}.get("fact")
+    parts = None
+    if not buckets and not old_spec:
+        # only the years that hold a key of the new rows, or a new key, change
+        keys = new.select(*FACT_KEY).distinct()
+        n_keys = keys.count()
+        hit = join_dim(old_fact.select(*FACT_KEY, PART_YEAR), keys, FACT_KEY, "left_semi", n_keys)
+        fresh = join_dim(collapse_fact(new), year, "timeID", "left", n_time)
+        touched = {r[0] for r in hit.select(PART_YEAR).unionByName(fresh.select(PART_YEAR))
+                   .distinct().collect()}                       # at most one row per year
+        parts = _fact_parts(spark, locs["fact"]) or {
+            r[0]: locs["fact"] for r in old_fact.select(PART_YEAR).distinct().collect()}
+        in_touched = F.col(PART_YEAR).isin([y for y in touched if y is not None])
+        if None in touched:
+            in_touched = in_touched | F.col(PART_YEAR).isNull()
+        old_fact = old_fact.where(in_touched)
+        parts.update({y: build for y in touched})
+    stored = (old_fact.drop(PART_YEAR)
+              .withColumn("arrival", F.struct(F.lit(0).alias("load"),
+                                              F.lit(None).cast(kind).alias("a"))))
+    fact = collapse_fact(stored.unionByName(new.select(*stored.columns)))
+    fact = join_dim(fact, year, "timeID", "left", n_time)
     _put_bucketed(spark, build, fact, "fact", buckets, PART_YEAR)
+    if parts is not None:
+        spark.createDataFrame([(y, f) for y, f in parts.items()],
+                              f"{PART_YEAR} int, location string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{build}/fact_parts")
     rejects = t["fact_rejects"].unionByName(fact_rejects(ledger), allowMissingColumns=True)
     _put(spark, build, rejects, "fact_rejects")
     locs.update({"fact": build, "time": build, "fact_rejects": build})
@@ -319,10 +349,39 @@ def _table_name(build: str, name: str) -> str:
     return "salesloom_" + os.path.basename(build).replace("-", "_") + "_" + name
 
 
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _fact_parts(spark: SparkSession, loc: str) -> dict | None:
+    """{year: folder} when the fact of this build spans several folders."""
+    try:
+        rows = spark.read.parquet(f"{loc}/fact_parts").collect()   # one row per year
+    except AnalysisException:
+        return None
+    return {r[PART_YEAR]: r["location"] for r in rows}
+
+
+def _open_parts(spark: SparkSession, parts: dict) -> DataFrame:
+    """A year-partitioned fact whose partitions live in different builds:
+    one scan per year (bounded by the calendar), each tagged with its year,
+    so a filter on the year still drops the other scans."""
+    out = None
+    for year, folder in sorted(parts.items(), key=lambda kv: (kv[0] is None, kv[0] or 0)):
+        d = HIVE_NULL if year is None else year
+        df = spark.read.parquet(f"{folder}/fact/{PART_YEAR}={d}").withColumn(
+            PART_YEAR, F.lit(year).cast("int"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def _open_table(spark: SparkSession, loc: str, name: str, spec: str | None) -> DataFrame:
     """A written table; bucketed ones are read through the session catalog
     (re-registered over their folder in a new session) so that Spark knows
     their bucketing, the rest by path."""
+    if name == "fact" and not spec:
+        parts = _fact_parts(spark, loc)
+        if parts:
+            return _open_parts(spark, parts)
     if not spec:
         return spark.read.parquet(f"{loc}/{name}")
     table = _table_name(loc, name)

@@ -71,3 +71,37 @@ def test_append_is_additive_and_keeps_stored_time_rows(spark, tmp_dir):
     reasons = sorted(r.reject_reason for r in star.extra["fact_rejects"].collect())
     assert reasons.count("product_not_found") == 2
     assert [tuple(r) for r in Q.q10_store_quarterly_sales(star).collect()][0] == ("North", 1, 2019, 400.0)
+
+
+def test_appends_rewrite_only_touched_years(spark, tmp_dir):
+    from salesloom.plans.star import _fact_parts, append_transactions, table_locations
+    from salesloom.sources.transactions import parse_transactions, read_transaction_lines
+    runs = [[DEFAULT_HEADER, "1,10,1,1,6/4/2018,10:00 AM,1", "2,11,2,2,4/8/2019,3:30 PM,2"],
+            [DEFAULT_HEADER, "2,11,1,2,5/8/2019,3:30 PM,3",       # existing 2019 key
+             "3,12,1,1,1/2/2020,9:00 AM,4"],                       # new key in 2020
+            [DEFAULT_HEADER, "1,10,4,1,7/7/2020,1:00 PM,5"]]       # existing 2018 key
+    for name, text in (("c.csv", CUSTOMERS), ("p.csv", PRODUCTS)):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write(text)
+    for i, run in enumerate(runs):
+        with open(f"{tmp_dir}/r{i}.csv", "w") as f:
+            f.write("\n".join(run) + "\n")
+    wh = f"{tmp_dir}/wh"
+    load_files_warehouse(spark, f"{tmp_dir}/c.csv", f"{tmp_dir}/p.csv", f"{tmp_dir}/r0.csv", wh)
+    first_build = table_locations(spark, wh)["fact"]
+    lines = lambda i: parse_transactions(read_transaction_lines(spark, f"{tmp_dir}/r{i}.csv"))
+    append_transactions(spark, wh, lines(1))
+    parts = _fact_parts(spark, table_locations(spark, wh)["fact"])
+    assert parts[2018] == first_build and parts[2019] != first_build and 2020 in parts
+    star = append_transactions(spark, wh, lines(2))
+    parts2 = _fact_parts(spark, table_locations(spark, wh)["fact"])
+    assert parts2[2019] == parts[2019] and parts2[2018] != first_build
+    # same fact as one load of all runs together
+    with open(f"{tmp_dir}/all.csv", "w") as f:
+        f.write("\n".join([DEFAULT_HEADER] + [x for r in runs for x in r[1:]]) + "\n")
+    whole = load_files_warehouse(spark, f"{tmp_dir}/c.csv", f"{tmp_dir}/p.csv",
+                                 f"{tmp_dir}/all.csv", f"{tmp_dir}/wh_all")
+    got = sorted(tuple(r) for r in star.fact.collect())
+    want = sorted(tuple(r) for r in whole.fact.select(*star.fact.columns).collect())
+    assert got == want and len(got) == 3
+    assert star.fact_for_year(2018).count() == 1
