@@ -35,10 +35,12 @@ def spread(df: DataFrame) -> DataFrame:
     parallel.  Key-free on purpose: a hot key cannot make one partition big,
     and the joins and aggregations after it keep their own exchanges (and
     AQE's skew handling).  A scan with enough splits is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < cores
+    except Exception:          # sessions without RDD access (e.g. Spark Connect)
+        return df
+    return df.repartition(cores) if few else df
 
 
 def transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
