@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from salesloom.functions import (cents_avg_round2, day_type, field_position, half_year,
                                  pct_change_label, prev_label, season)
