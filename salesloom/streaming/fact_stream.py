@@ -113,15 +113,20 @@ def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str
         b = batch.withColumn("arrival", F.struct(F.lit(batch_id).cast("bigint").alias("batch"),
                                                  F.col("_file").alias("file"),
                                                  F.monotonically_increasing_id().alias("pos")))
-        b = b.drop("_file").persist()
+        masters, counts = _read_masters(spark, dims_path)
+        # the batch is read twice only when its keys must be counted first
+        twice = not all(broadcastable(counts.get(k)) for k in ("product", "customer"))
+        b = b.drop("_file")
+        if twice:
+            b = b.persist()
         try:
             parsed = parse_transactions(b, header)
-            masters, counts = _read_masters(spark, dims_path)
             master, ckeys, rows = batch_masters(parsed, masters, counts)
             enriched = enrich_with_masters(parsed, master, ckeys, rows)
             enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
         finally:
-            b.unpersist()
+            if twice:
+                b.unpersist()
 
     w = (lines.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
