@@ -231,7 +231,8 @@ def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
      .write.mode("overwrite").parquet(f"{out_path}/compaction"))
 
 
-def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_files: int = 1,
+def live_fact_totals(spark: SparkSession, input_path: str | DataFrame, dims_path: str,
+                     max_files: int = 1,
                      header: str | None = DEFAULT_HEADER, watermark: str | None = None,
                      state_window: str = "1 day") -> DataFrame:
     """Streaming additive totals per fact key, for an ``update``-mode sink.
@@ -241,7 +242,8 @@ def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_f
     trigger.  The state has no time bound (keys never expire, as in the
     upsert table it replaces), so it grows with the number of distinct keys;
     the ledger path is the one to use for the full history.  First-arrival
-    columns order rows by (file modification time, file path, orderTS).
+    columns order rows by (file modification time, file path, orderTS); for
+    a DataFrame of lines, by (processing time of the batch, orderTS).
 
     With ``watermark`` (off by default) the state is kept per key and
     ``state_window`` of order time (a ``window`` output column) and dropped
@@ -249,10 +251,15 @@ def live_fact_totals(spark: SparkSession, input_path: str, dims_path: str, max_f
     that are ignored.  This bounds the state, at the price of the late-row
     rule of the source (late rows are always added).
     """
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
-             .load(input_path)
-             .select("value", F.struct(F.col("_metadata.file_modification_time").alias("t"),
-                                       F.col("_metadata.file_path").alias("f")).alias("arrival")))
+    if isinstance(input_path, DataFrame):      # a streaming DataFrame of lines
+        lines = input_path.select("value", F.struct(F.current_timestamp().alias("t"),
+                                                    F.lit("").alias("f")).alias("arrival"))
+    else:
+        lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
+                 .load(input_path)
+                 .select("value", F.struct(F.col("_metadata.file_modification_time").alias("t"),
+                                           F.col("_metadata.file_path").alias("f"))
+                         .alias("arrival")))
     m, _ = _read_masters(spark, dims_path)
     parsed = parse_transactions(lines, header)
     parsed = parsed.withColumn("arrival", F.struct(F.col("arrival").alias("src"), "orderTS"))

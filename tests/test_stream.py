@@ -160,3 +160,18 @@ def test_compaction_keeps_fact_time_and_rejects(spark, tmp_dir):
     assert fact[7].quantityOrdered == 7 and fact[7].timeID == 1     # first arrival kept
     assert after[2] == ["bad_arity", "bad_integer"]
     assert [t[0] for t in after[1]] == [1, 2, 3, 4, 5, 6]
+
+
+def test_live_totals_from_a_lines_dataframe(spark, tmp_dir):
+    dims, inp = f"{tmp_dir}/dims", f"{tmp_dir}/in"
+    write_dims(spark, dims)
+    d = {n: spark.read.parquet(f"{dims}/{n}") for n in ("staging", "supplier", "store", "customer")}
+    write_masters(d["staging"], d["supplier"], d["store"], d["customer"], dims)
+    os.makedirs(inp)
+    with open(f"{inp}/a.csv", "w") as f:
+        f.write("1,1,2,50,1/5/2019,1:00 PM,1\n1,1,3,50,1/5/2019,2:00 PM,1\n")
+    q = (live_fact_totals(spark, spark.readStream.format("text").load(inp), dims)
+         .writeStream.outputMode("update").format("memory").queryName("live_df")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r.quantityOrdered for r in spark.sql("select * from live_df").collect()] == [5]
