@@ -21,7 +21,7 @@ from salesloom.plans.star import load_warehouse, warehouse_path
 from salesloom.session import shared_dir
 from salesloom.sources.tables import (customers_from_tables, product_staging_from_tables,
                                       transaction_lines, transactions_from_tables)
-from salesloom.sources.transactions import parse_transactions
+from salesloom.sources.transactions import parse_transactions, time_candidates, txn_rejects
 from salesloom.streaming.fact_stream import stream_fact, streamed_fact
 
 # the provided orders span 1995-2001 (no 2019): the year-restricted queries use 1998
@@ -47,6 +47,15 @@ def q_parse_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "orderTime", "timeID", "reject_reason")
 
 
+def q_txn_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return txn_rejects(parse_transactions(transaction_lines(spark, sf_dir)))
+
+
+def q_time_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = time_candidates(transaction_lines(spark, sf_dir))
+    return c.select("timeID", F.date_format("orderTS", "yyyy-MM-dd HH:mm:ss").alias("orderTS"))
+
+
 def q_enrich_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = accepted_facts(_enriched(spark, sf_dir))
     return e.drop("arrival").withColumn("totalSale", F.col("totalSale").cast("double"))
@@ -144,6 +153,8 @@ QUERIES: dict[str, Query] = {
     "dim_store": lambda spark, d: dim_store(product_staging_from_tables(spark, d)),
     "dim_time": q_dim_time,
     "parse_transactions": q_parse_transactions,
+    "txn_rejects": q_txn_rejects,
+    "time_candidates": q_time_candidates,
     "enrich_transactions": q_enrich_transactions,
     "fact_rejects": q_fact_rejects,
     "collapse_fact": q_collapse_fact,
