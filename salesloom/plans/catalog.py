@@ -19,10 +19,12 @@ from salesloom.operators.quality import fk_violations, key_violations, load_metr
 from salesloom.plans import queries as Q
 from salesloom.plans.star import load_warehouse, warehouse_path
 from salesloom.session import shared_dir
-from salesloom.sources.tables import (customers_from_tables, product_staging_from_tables,
-                                      transaction_lines, transactions_from_tables)
+from salesloom.sources.tables import (customers_from_tables, event_transaction_lines,
+                                      product_staging_from_tables, transaction_lines,
+                                      transactions_from_tables)
 from salesloom.sources.transactions import parse_transactions, time_candidates, txn_rejects
-from salesloom.streaming.fact_stream import stream_fact, streamed_fact
+from salesloom.streaming.fact_stream import (stream_fact, streamed_fact, streamed_rejects,
+                                              streamed_time_dim)
 
 # the provided orders span 1995-2001 (no 2019): the year-restricted queries use 1998
 TEST_YEAR = 1998
@@ -86,6 +88,34 @@ def q_stream_fact(spark: SparkSession, sf_dir: str, files: int = 32,
                                                          F.col("totalSale").cast("double"))
 
 
+def _stream_events(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+    """Stream the purchase events (as transaction text, two files per
+    trigger) through the loader against the warehouse; returns the output
+    folder."""
+    load_warehouse(spark, sf_dir)
+    run = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    event_transaction_lines(spark, sf_dir).repartition(files).write.text(f"{run}/input")
+    q = stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out",
+                    f"{run}/checkpoint", max_files=2)
+    q.awaitTermination()
+    return f"{run}/out"
+
+
+def q_stream_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _stream_events(spark, sf_dir)
+    return streamed_fact(spark, out).withColumn("totalSale", F.col("totalSale").cast("double"))
+
+
+def q_stream_rejects_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _stream_events(spark, sf_dir)
+    return (streamed_rejects(spark, out).groupBy("reject_reason")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def q_stream_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed_time_dim(spark, _stream_events(spark, sf_dir))
+
+
 def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_time(transactions_from_tables(spark, sf_dir).select("timeID", "orderTS", "arrival"))
 
@@ -159,6 +189,9 @@ QUERIES: dict[str, Query] = {
     "fact_rejects": q_fact_rejects,
     "collapse_fact": q_collapse_fact,
     "stream_fact": q_stream_fact,
+    "stream_fact_events": q_stream_fact_events,
+    "stream_rejects_events": q_stream_rejects_events,
+    "stream_time_events": q_stream_time_events,
     "txn_key_repeats": q_txn_key_repeats,
     "fk_violations": q_fk_violations,
     "dim_key_violations": q_dim_key_violations,

@@ -99,3 +99,21 @@ def customers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customerID"), F.col("c_name").alias("customerName"),
         F.col("c_mktsegment").alias("gender"))
+
+
+def event_transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase events rendered as transaction text lines (real times of day).
+
+    Shaping only: orderID <- event_id, productID <- the ``k`` of ``props``,
+    quantityOrdered <- ceil(value), customerID <- user_id, date and time <-
+    ts, timeID <- ts as yyyyMMddHHmm (the text keeps minutes).  Ids that have
+    no product or customer stay as they are; the loader quarantines them.
+    """
+    e = _t(spark, sf_dir, "events").where(F.col("event_type") == F.lit("purchase"))
+    value = F.concat_ws(",", F.col("event_id").cast("string"),
+                        F.get_json_object("props", "$.k"),
+                        F.ceil("value").cast("int").cast("string"),
+                        F.col("user_id").cast("string"),
+                        F.date_format("ts", "M/d/yyyy"), F.date_format("ts", "h:mm a"),
+                        F.date_format("ts", "yyyyMMddHHmm"))
+    return e.select(value.alias("value"))
