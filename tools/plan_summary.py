@@ -112,5 +112,31 @@ def main():
               f"{'yes' if a['partition_filter'] else 'no'} | {a['extra'] or '-'} |")
 
 
+NOTES = """
+## What the shuffles are (large layout)
+
+* **q1** (5): eager aggregate of the year's fact by (productID, Month, Year, DayType) after the
+  map-side time join; product join (shuffle of the aggregate and of product); aggregate by names;
+  window by (Month, DayType) behind a per-task `WindowGroupLimit`; the final top-k is a
+  `TakeOrderedAndProject` (no global sort). With the bucketed layout the first two disappear.
+* **q2 / q10** (3 / 2): store and time are broadcast at any scale, so the fact is joined map-side
+  and aggregated once; q2 adds the `lag` window by store (at most 4 rows per store) and the final
+  sort.
+* **q3 / q7** (7 / 7): eager aggregate by (storeID, supplierID, productID[, Year]); supplier and
+  product joins are shuffle joins of that aggregate; then the grouping by names (q7: over `Expand`
+  for the rollup) and the final sort.
+* **q4 / q8** (5): eager aggregate by (productID, Year, Season / HalfYear); product join; grouping
+  by names (q8: one `Expand` for both grouping sets instead of a union of two aggregates); sort.
+* **q5** (6): eager aggregate by (storeID, supplierID, Year, Month); supplier join; grouping by
+  names; `lag` window by (Store, Supplier, Year) with at most 12 rows; sort.
+* **q9** (6): eager aggregate by (productID, SaleDate); product join; daily grouping by names; the
+  per-product average window (one row per day with sales); sort.
+* **q6** (not in the table: it runs a scalar lookup first): one aggregate to one row per (basket,
+  item), the self join on the basket (one exchange, reused by both sides; hot baskets split into
+  bucket-pair cells), the pair aggregate, and the name joins before `TakeOrderedAndProject`.
+"""
+
+
 if __name__ == "__main__":
     main()
+    print(NOTES)
