@@ -118,7 +118,8 @@ NOTES = """
 * **q1** (5): eager aggregate of the year's fact by (productID, Month, Year, DayType) after the
   map-side time join; product join (shuffle of the aggregate and of product); aggregate by names;
   window by (Month, DayType) behind a per-task `WindowGroupLimit`; the final top-k is a
-  `TakeOrderedAndProject` (no global sort). With the bucketed layout the first two disappear.
+  `TakeOrderedAndProject` (no global sort). With the bucketed layout the eager aggregate and the
+  product join need no exchange (5 -> 2).
 * **q2 / q10** (3 / 2): store and time are broadcast at any scale, so the fact is joined map-side
   and aggregated once; q2 adds the `lag` window by store (at most 4 rows per store) and the final
   sort.
