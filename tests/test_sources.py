@@ -34,3 +34,15 @@ def test_customers_csv(spark, tmp_dir):
         f.write("customerID,customerName,gender\n1,Ann,Female\n2,\"Lee, Bo\",Male\n")
     rows = sorted(tuple(r) for r in accepted(read_customers(spark, p)).collect())
     assert rows == [(1, "Ann", "Female"), (2, "Lee, Bo", "Male")]
+
+
+def test_spread_only_few_split_scans(spark, tmp_dir):
+    from salesloom.sources.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_dir}/one")
+    one = spark.read.parquet(f"{tmp_dir}/one")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread(one).rdd.getNumPartitions() == cores
+    many = spark.range(0, 1000, 1, cores * 2)
+    assert spread(many).rdd.getNumPartitions() == cores * 2
+    assert sorted(r.id for r in spread(one).collect()) == list(range(1000))
