@@ -55,7 +55,11 @@ def test_broadcast_only_for_checked_dimensions(spark, star):
 
 def test_rewrites_agree(spark, star):
     for fa, fb in ((Q.q8_half_year_sales, Q.q8_half_year_sales_union),
-                   (Q.q9_outlier_days, Q.q9_outlier_days_join)):
+                   (Q.q9_outlier_days, Q.q9_outlier_days_join),
+                   (lambda s: Q.q2_store_quarter_growth(s, 1998),
+                    lambda s: Q.q2_store_quarter_growth(s, 1998, form="self_join")),
+                   (Q.q5_monthly_volatility,
+                    lambda s: Q.q5_monthly_volatility(s, form="self_join"))):
         a, b = fa(star), fb(star)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
