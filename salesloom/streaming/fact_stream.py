@@ -3,8 +3,10 @@
 Design (no MERGE-capable table format is assumed):
 
 * the source is a text file stream (``maxFilesPerTrigger`` throttles it);
-* every micro-batch is parsed, enriched against the static dimensions
-  (re-read each batch, so dimension updates are seen) and written, in one
+* every micro-batch is parsed, enriched against the product master and
+  customer keys (re-read each batch, so a reloaded master is seen; a master
+  above the broadcast bound is first cut down to the batch's keys by a
+  size-checked broadcast semi join) and written, in one
   write, to ``ledger/batch_id=N``: accepted rows, rejects with their
   reason and raw text, and the time-dimension candidates all live there.
   The folder is written with overwrite, so a batch that is replayed after
@@ -12,7 +14,11 @@ Design (no MERGE-capable table format is assumed):
   sink exactly-once;
 * the fact is :func:`collapse_fact` over the ledger.  Sums commute, so late
   or out-of-order batches need no watermark; the first-arrival columns use
-  ``arrival = (batch_id, file, position in file)``.
+  ``arrival = (batch_id, file, position in file)``;
+* :func:`compact_ledger` folds committed batches into one snapshot so that
+  readers stop re-reading the history; :func:`streamed_star` makes the
+  stream-loaded fact and time dimension queryable with the catalogue;
+  :func:`live_fact_totals` is the update-mode alternative for live serving.
 """
 
 from __future__ import annotations
