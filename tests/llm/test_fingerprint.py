@@ -1,0 +1,71 @@
+"""Fingerprints: collision rate, successors, edge cases."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from salesloom.llm import fingerprint as P
+from tests.conftest import SF_SMALL
+
+
+def jaccard(a, b):
+    x, y = P.terms_of(a), P.terms_of(b)
+    keys = set(x) | set(y)
+    return sum(min(x[k], y[k]) for k in keys) / sum(max(x[k], y[k]) for k in keys)
+
+
+def test_collision_rate_is_generalised_jaccard(monkeypatch):
+    monkeypatch.setattr(P, "SAMPLES", 2048)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(60)]
+    for changed in (0.1, 0.4, 0.8):
+        a = [rng.choice(words) for _ in range(300)]
+        b = [rng.choice(words + ["new"]) if rng.random() < changed else w for w in a]
+        fa, fb = P.fingerprints([" ".join(a), " ".join(b)])
+        assert P.likeness(fa, fb) == pytest.approx(jaccard(" ".join(a), " ".join(b)), abs=0.05)
+
+
+def test_equal_empty_and_long_texts():
+    long = "x" * 200_000
+    prints = P.fingerprints(["a b", "b  a", "", " \n", long, long + "y", "\U0001f600" * 30, "c d"])
+    assert prints[0] == prints[1] and prints[2] == prints[3] == ""
+    assert P.likeness(prints[2], prints[3]) == 1 and P.likeness(prints[0], prints[2]) == 0
+    assert P.likeness(prints[4], prints[5]) > 0.9 and P.likeness(prints[0], prints[7]) < 0.1
+
+
+def test_batches_do_not_change_a_fingerprint(monkeypatch):
+    texts = [f"alpha beta {i} gamma gamma " + " ".join(f"t{j}" for j in range(i)) for i in range(40)]
+    whole = P.fingerprints(texts)
+    monkeypatch.setattr(P, "BLOCK", 7)
+    assert [P.fingerprints([t])[0] for t in texts] == whole
+
+
+def check(rows, got):
+    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = Counter()
+    for i, (d, t) in enumerate(order):
+        e = P.edited(t, order[(i + 1) % len(order)][1])
+        f, fe, fn = P.fingerprints([t, e, order[(i + 1) % len(order)][1]])
+        want[(d, len(t), hashlib.sha256(e.encode()).hexdigest(), f, fe, P.likeness(f, fe), P.likeness(f, fn))] += 1
+    assert Counter(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 200])
+def test_successors_with_ties_nulls_and_repeats(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([None, 1, 2, 3, 7, rng.randrange(100)]), rng.choice([None, "", "a b c d", "é" * 9, "wörter " * i]))
+            for i in range(n)]
+    df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, near_next double")
+    check(rows, P.fingerprint_neighbours(df).collect())
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got = P.fingerprint_neighbours(docs).collect()
+    check([(r["doc_id"], r["text"]) for r in docs.collect()], got)
+    assert np.mean([r["near_edited"] for r in got]) > 0.4 > np.mean([r["near_next"] for r in got])
+    single = {r["doc_id"]: r["fingerprint"] for r in P.fingerprint_texts(docs).collect()}
+    assert all(single[r["doc_id"]] == r["fingerprint"] for r in got)
