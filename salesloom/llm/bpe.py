@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from salesloom.llm.common import map_chunks, texts_of
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 # Fixed value: the public split pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NO_RANK = np.iinfo(np.int64).max
@@ -69,8 +69,8 @@ class Bpe:
         self.split_special = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ).split if self.special else None
-        # per word: ids as text, number of ids, decoded bytes
-        self.cache: dict[str, tuple[str, int, bytes]] = {}
+        # per word: ids as text, number of ids, decoded bytes, ids as little-endian int32
+        self.cache: dict[str, tuple[str, int, bytes, bytes]] = {}
 
     def words(self, text: str) -> list[str]:
         if self.split_special is None or not any(s in text for s in self.special):
@@ -121,21 +121,26 @@ class Bpe:
         plain = [w for w in new if w not in self.special]
         for w, ids in zip(plain, self.merge(plain), strict=True):
             each = ids.tolist()
-            self.cache[w] = (",".join(map(str, each)), len(each), b"".join(self.bytes_of[i] for i in each))
+            self.cache[w] = (",".join(map(str, each)), len(each), b"".join([self.bytes_of[i] for i in each]),
+                             ids.astype("<i4").tobytes())
         for w in new:
             if w in self.special:
                 i = self.special[w]
-                self.cache[w] = (str(i), 1, self.bytes_of[i])
+                self.cache[w] = (str(i), 1, self.bytes_of[i], np.array([i], "<i4").tobytes())
 
-    def encode_words(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
-        """Per text and word: ids as text, their number, their bytes."""
+    def encode_words(self, texts: list[str]) -> list[list[tuple[str, int, bytes, bytes]]]:
+        """Per text and word what the cache holds of it."""
         words = [self.words(t) for t in texts]
         self.learn(set().union(*words) if words else set())
         get = self.cache.__getitem__
         return [[*map(get, w)] for w in words]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for w in self.encode_words([text])[0] for i in w[0].split(",")]
+        return np.frombuffer(self.raw_ids(self.encode_words([text])[0]), "<i4").tolist()
+
+    @staticmethod
+    def raw_ids(words: list[tuple[str, int, bytes, bytes]]) -> bytes:
+        return b"".join([w[3] for w in words])
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", errors="replace")
@@ -161,15 +166,14 @@ def token_digests(docs: DataFrame, tokenizer_path: str | None = None) -> DataFra
         bpe = Bpe(json.loads(spec.value))
 
         def work(batch: pa.RecordBatch) -> dict:
-            encoded = bpe.encode_words(texts_of(batch, "text"))
-            sha = hashlib.sha256
-            return {
-                "doc_id": batch.column("doc_id"),
-                "n_tokens": [sum(w[1] for w in words) for words in encoded],
-                "ids_sha256": [sha(",".join([w[0] for w in words]).encode()).hexdigest() for words in encoded],
-                "decoded_sha256": [sha(b"".join([w[2] for w in words]).decode("utf-8", errors="replace").encode())
-                                   .hexdigest() for words in encoded],
-            }
+            sha, rows = hashlib.sha256, []
+            for words in bpe.encode_words(texts_of(batch, "text")):
+                ids, counts, raw, _ = zip(*words, strict=True) if words else ((), (), (), ())
+                decoded = b"".join(raw).decode("utf-8", errors="replace")
+                rows.append((sum(counts), sha(",".join(ids).encode()).hexdigest(), sha(decoded.encode()).hexdigest()))
+            columns = zip(*rows, strict=True)
+            return {"doc_id": batch.column("doc_id"),
+                    **dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), columns, strict=True))}
 
         return work
 
@@ -188,7 +192,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str | None = None,
 
         def work(batch: pa.RecordBatch) -> dict:
             encoded = bpe.encode_words(texts_of(batch, "text"))
-            flat = [np.array([x for w in words for x in w[0].split(",")], dtype=np.int32) for words in encoded]
+            flat = [np.frombuffer(bpe.raw_ids(words), "<i4") for words in encoded]
             ends = np.cumsum([0, *map(len, flat)])
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                            pa.array(np.concatenate(flat) if flat else [], pa.int32()))

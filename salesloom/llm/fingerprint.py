@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import CHUNK_BYTES, hash_bytes, map_chunks, mix64, shuffle_partitions, texts_of
 
-SAMPLES = 128
+SAMPLES = 64
 LONG_WORD, PIECE = 24, 8
 BLOCK = 20_000        # (term, weight) pairs whose samples are drawn at once
 
@@ -49,21 +49,25 @@ def terms_of(text: str) -> Counter:
     return out
 
 
-def _uniform(terms: np.ndarray, stream: int) -> np.ndarray:
-    """One number in (0, 1) per term (row) and position (column)."""
+def _uniforms(terms: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers in (0, 1) per term (row) and position (column)."""
     at = mix64(np.arange(SAMPLES, dtype=np.uint64) + np.uint64(1 + stream * SAMPLES))
-    return (mix64(terms[:, None] ^ at[None, :]) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 + 2.0 ** -54
+    bits = mix64(terms[:, None] ^ at[None, :])
+    pair = (bits >> np.uint64(40), (bits >> np.uint64(8)) & np.uint64(0xFFFFFF))
+    return tuple((x.astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24) for x in pair)
 
 
 def draw(terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys (to be minimised) and 16-bit sample hashes of (term hash, weight) rows."""
-    r = -np.log(_uniform(terms, 0) * _uniform(terms, 1))
-    c = -np.log(_uniform(terms, 2) * _uniform(terms, 3))
-    b = _uniform(terms, 4)
-    level = np.floor(np.log(weights)[:, None] / r + b)
-    key = np.log(c) - r * (level - b) - r
-    sample = mix64(mix64(terms)[:, None] ^ level.astype(np.int64).view(np.uint64)) & np.uint64(0xFFFF)
-    return key.astype(np.float32), sample.astype(np.uint16)
+    u, v = _uniforms(terms, 0)
+    r = -np.log(u * v)
+    u, v = _uniforms(terms, 1)
+    key = np.log(-np.log(u * v))
+    b, _ = _uniforms(terms, 2)
+    level = np.floor(np.log(weights).astype(np.float32)[:, None] / r + b)
+    key -= r * (level - b) + r
+    sample = mix64(mix64(terms)[:, None] ^ level.astype(np.int64).view(np.uint64))
+    return key, sample.astype(np.uint16)
 
 
 def fingerprints(texts: list[str]) -> list[str]:
@@ -167,10 +171,11 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
         def flush(schema: pa.Schema) -> pa.RecordBatch:
             """Rows for all that wait but the last, which stays."""
             texts = [t for _, t in waiting]
-            prints = fingerprints(texts)
             rows = []
             changed = [edited(a, b) for a, b in zip(texts, texts[1:], strict=False)]
-            for i, (other, print_other) in enumerate(zip(changed, fingerprints(changed), strict=True)):
+            both = fingerprints(texts + changed)       # they share most terms
+            prints, others = both[:len(texts)], both[len(texts):]
+            for i, (other, print_other) in enumerate(zip(changed, others, strict=True)):
                 rows.append((waiting[i][0], len(texts[i]), hashlib.sha256(other.encode()).hexdigest(), prints[i],
                              print_other, likeness(prints[i], print_other), likeness(prints[i], prints[i + 1])))
             del waiting[:-1]
@@ -189,7 +194,7 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
                 over = over or guest
                 waiting.append((doc_id, text))
                 size += len(text)
-                if size > CHUNK_BYTES // 2 and len(waiting) > 1:
+                if size > CHUNK_BYTES and len(waiting) > 1:
                     yield flush(schema)
                     size = 0
         if len(waiting) > 1:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe, fingerprint, quality, urls
+from salesloom.llm import bpe, fingerprint, quality, tokenfiles, toxicity, urls, webtext
 from salesloom.llm.common import table
 
 
@@ -16,13 +16,26 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.document_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op6_bpe, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op4_html_text, op6_bpe, op7_toxicity,
+                                  op8_token_counts, op10_fingerprints)}
 ORACLE: dict[str, str] = {}
