@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe, fingerprint, quality, tokenfiles, toxicity, urls, webtext
+from salesloom.llm import bpe, decontam, fingerprint, neardup, quality, tokenfiles, toxicity, urls, webtext
 from salesloom.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
@@ -32,10 +36,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.document_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Rule(words=3, percent=85))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op4_html_text, op6_bpe, op7_toxicity,
-                                  op8_token_counts, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op4_html_text, op5_decontamination, op6_bpe,
+                                  op7_toxicity, op8_token_counts, op9_near_duplicates, op10_fingerprints)}
 ORACLE: dict[str, str] = {}
