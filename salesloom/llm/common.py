@@ -30,6 +30,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name`` with underscores before it until ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a compressed table in the shared folder, read back: for wide data of
     which later steps read few columns.  The table stays there; remove the ``llm``

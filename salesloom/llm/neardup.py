@@ -13,10 +13,10 @@ the joint likelihood of the two sketches must not rule it out (``SIGMAS``); then
 full sets decide.  Only connectivity is wanted, so a bucket is never expanded into
 pairs: in ``ROUNDS`` rounds every member is compared with one pivot of its bucket
 that is not yet in its component, and at last members of buckets that still hold
-several components are compared by their sketches in blocks of ``BLOCK`` rows, which
-emit only pairs that may link.  A bucket of copies of one text collapses in the
-first round; members that no link joins stay quadratic within their bucket, split
-over tasks by blocks.
+several components are compared in blocks of ``BLOCK`` rows, sketches first, then
+sets, and only links between components come out.  A bucket of copies of one text
+collapses in the first round; members that no link joins cost comparisons that are
+quadratic within their bucket, split over tasks by blocks.
 
 Defined cases: words are ASCII-lower-cased runs of non-white-space; a text with
 fewer words than a shingle is one shingle; null, empty and blank texts have an
@@ -133,37 +133,28 @@ def sketch_table(docs: DataFrame, rule: Rule) -> DataFrame:
                       f"doc_id {kind}, n bigint, node binary, regs binary, bands array<bigint>", start)
 
 
-def log_likelihood(j: np.ndarray, above: np.ndarray, below: np.ndarray, equal: np.ndarray,
-                   u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Of similarity ``j`` given how many registers of one sketch are above, below and
-    equal to the other's, for sets with shares u and v of the summed sizes."""
+def may_link(above: np.ndarray, below: np.ndarray, m: int, nx: np.ndarray, ny: np.ndarray,
+             rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """(whether the pair may reach the threshold, estimated similarity) of pairs of sets
+    of nx and ny elements, of whose ``m`` registers so many are above and below.
 
-    def p(x: np.ndarray) -> np.ndarray:
-        return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / math.log(BASE)
-
-    tiny = 1e-12
-    a, b = p(u - v * j), p(v - u * j)
-    return (above * np.log(np.maximum(a, tiny)) + below * np.log(np.maximum(b, tiny))
-            + equal * np.log(np.maximum(1 - a - b, tiny)))
+    The three counts are multinomial with probabilities that depend on the similarity;
+    the score of their joint log-likelihood at the threshold, in standard deviations,
+    says whether the threshold is ruled out, and one Newton step gives the estimate."""
+    t, scale = rule.percent / 100, (BASE - 1) / BASE
+    u, v = nx / (nx + ny), ny / (nx + ny)
 
+    def p(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rest = 1 - np.clip(x, 0, 1) * scale
+        return np.maximum(-np.log(rest) / math.log(BASE), 1e-9), scale / (math.log(BASE) * rest)
 
-def may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """(whether the pair may reach the threshold, maximum likelihood similarity) for
-    rows of registers ``x`` and ``y`` of sets of nx and ny elements."""
-    t = rule.percent / 100
-    above, below = (x > y).sum(axis=1), (x < y).sum(axis=1)
-    equal = x.shape[1] - above - below
-    u, v = nx / (nx + ny), ny / (nx + ny)
-    lo, hi = np.zeros(len(u)), np.minimum(u / v, v / u)
+    (a, slope_a), (b, slope_b) = p(u - v * t), p(v - u * t)
+    da, db = -v * slope_a, -u * slope_b
+    e = np.maximum(1 - a - b, 1e-9)
+    score = above * da / a + below * db / b - (m - above - below) * (da + db) / e
+    information = m * (da ** 2 / a + db ** 2 / b + (da + db) ** 2 / e)
     sized = 100 * np.minimum(nx, ny) >= rule.percent * np.maximum(nx, ny)
-    for _ in range(40):                      # the likelihood has one maximum
-        a, b = lo + (hi - lo) / 3, hi - (hi - lo) / 3
-        right = log_likelihood(a, above, below, equal, u, v) < log_likelihood(b, above, below, equal, u, v)
-        lo, hi = np.where(right, a, lo), np.where(right, hi, b)
-    best = (lo + hi) / 2
-    lost = 2 * (log_likelihood(best, above, below, equal, u, v)
-                - log_likelihood(np.full(len(u), t), above, below, equal, u, v))
-    return sized & ((best >= t) | (lost <= SIGMAS ** 2)), best
+    return sized & (score >= -SIGMAS * np.sqrt(information)), t + score / information
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -179,7 +170,8 @@ def sketch_test(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 na, nb = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("na", "nb"))
-                ok, best = may_link(_matrix(batch.column("ra")), na, _matrix(batch.column("rb")), nb, rule)
+                x, y = _matrix(batch.column("ra")), _matrix(batch.column("rb"))
+                ok, best = may_link((x > y).sum(axis=1), (x < y).sum(axis=1), x.shape[1], na, nb, rule)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok)), pa.array(best[ok])],
                     names=["a", "b", "likeness"])
@@ -226,56 +218,92 @@ def node_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     return found.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("x").alias("x"))
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b) of different components in one bucket that the sketches let link.
-    ``members``: (band, node, root, size); blocks of a bucket meet pairwise."""
+def intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the pairwise intersections, by products of 0/1 matrices."""
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    often = count[column] > 1
+    rank = np.cumsum(count > 1) - 1
+    row, column = row[often], rank[column[often]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        a, b = np.searchsorted(column, [first, first + columns])
+        held = np.zeros((len(sets), columns), dtype=np.float32)
+        held[row[a:b], column[a:b] - first] = 1
+        total += held @ held.T
+    return total.astype(np.int64)
+
+
+def block_links(regs: np.ndarray, n: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray,
+                sets: list[np.ndarray], rule: Rule) -> list[tuple[int, int]]:
+    """Verified links between rows ``left`` and ``right`` (the same, or apart) that join
+    different components, one for each pair of components."""
+    same = left is right
+    found = []
+    for a in left:
+        others = right[right > a] if same else right
+        others = others[(roots[others] != roots[a])
+                        & (100 * np.minimum(n[others], n[a]) >= rule.percent * np.maximum(n[others], n[a]))]
+        if len(others):
+            x, y = regs[a], regs[others]
+            ok, _ = may_link((x > y).sum(axis=1), (x < y).sum(axis=1), len(x), np.full(len(others), n[a]), n[others], rule)
+            found += [(a, b) for b in others[ok]]
+    if not found:
+        return []
+    rows = np.unique(np.array(found))
+    both = intersections([sets[i] for i in rows])
+    place = {r: i for i, r in enumerate(rows)}
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    for a, b in found:
+        k = both[place[a], place[b]]
+        if 100 * k >= rule.percent * (n[a] + n[b] - k):
+            out.setdefault((min(roots[a], roots[b]), max(roots[a], roots[b])), (a, b))
+    return list(out.values())
+
+
+def cross_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(u, v): links between different components within one bucket.  ``members``:
+    (band, node, root, size); blocks of a bucket meet pairwise.  Of buckets with the
+    same members one is compared."""
+    same = members.groupBy("band").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"), F.count("*").alias("k"))
+    one = same.groupBy("mark", "k").agg(F.min("band").alias("band")).select("band")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    placed = (members.withColumn("own", own)
+    placed = (members.join(one, "band", "left_semi").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
               .select("band", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-              .join(nodes.select("node", "n", "regs"), "node"))
+              .join(nodes.select("node", "n", "regs"), "node").join(sets, "node"))
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         regs = _matrix(group.column("regs").combine_chunks())
-        n = group.column("n").to_numpy().astype(float)
-        roots = np.unique(np.array([r.as_py() for r in group.column("root")], dtype=object).astype(bytes),
-                          return_inverse=True)[1]
-        own = group.column("own").to_numpy()
-        left = np.arange(len(n)) if same else np.flatnonzero(own == own.min())
-        right = left if same else np.flatnonzero(own != own.min())
-        pairs = []
-        for a in left:
-            others = right[right > a] if same else right
-            others = others[(roots[others] != roots[a]) & (100 * np.minimum(n[others], n[a])
-                                                           >= rule.percent * np.maximum(n[others], n[a]))]
-            if len(others):
-                x = np.broadcast_to(regs[a], (len(others), regs.shape[1]))
-                ok, _ = may_link(x, np.full(len(others), n[a]), regs[others], n[others], rule)
-                pairs += [(a, b) for b in others[ok]]
+        n, own = (group.column(c).to_numpy() for c in ("n", "own"))
+        number: dict[bytes, int] = {}
+        roots = np.array([number.setdefault(r, len(number)) for r in group.column("root").to_pylist()])
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("x")]
+        left = right = np.arange(len(n))
+        if group.column("i")[0].as_py() != group.column("j")[0].as_py():
+            left, right = np.flatnonzero(own == own.min()), np.flatnonzero(own != own.min())
+        links = block_links(regs, n, roots, left, right, sets, rule)
         node = group.column("node")
-        a, b = (pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1))
-        return pa.table({"a": node.take(a).combine_chunks(), "b": node.take(b).combine_chunks()})
+        a, b = (pa.array([p[i] for p in links], pa.int64()) for i in (0, 1))
+        return pa.table({"u": node.take(a).combine_chunks(), "v": node.take(b).combine_chunks()})
 
-    return (placed.groupBy("band", "i", "j").applyInArrow(compare, "a binary, b binary")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return placed.groupBy("band", "i", "j").applyInArrow(compare, "u binary, v binary")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     rows = written(sketch_table(docs, rule))
-    nodes = checkpointed(rows.where(F.col("node").isNotNull()).groupBy("node")
-                         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs"),
-                              F.first("bands").alias("bands")))
-    banded = nodes.select("node", F.explode("bands").alias("band"))
+    full = rows.where(F.col("node").isNotNull())
+    banded = full.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     buckets = checkpointed(banded.join(shared, "band").select("band", "node", "size"))
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
-    sets = written(node_sets(docs, wanted.where(F.col("doc_id").isNotNull()).select("node", "doc_id"), rule))
-    nodes = wanted
-    links = stars = None
+    nodes = checkpointed(full.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node")
+                         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
+    sets = written(node_sets(docs, nodes.where(F.col("doc_id").isNotNull()).select("node", "doc_id"), rule))
+    stars = None
     members = buckets.withColumn("root", F.col("node"))
     for turn in range(ROUNDS):
         order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
@@ -296,9 +324,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
         if turn == 0:                # buckets of two have had their only pair compared
             members = members.where("size > 2")
         members = checkpointed(members)
-    pairs = checkpointed(cross_pairs(members, nodes, rule))
-    stars = components(stars.unionByName(verified(pairs, sets, rule)))
-    owners = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("low"))
+    stars = components(stars.unionByName(cross_links(members, nodes, sets, rule)))
+    owners = full.groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = (owners.join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import checkpointed, fold_of
+from salesloom.llm.common import checkpointed, fold_of, fresh
 from salesloom.llm.trees import fit_logistic, fit_tree, paths
 
 MAX_TRAIN = 20_000
@@ -34,7 +34,8 @@ STATS = ["n_words", "word_chars", "distinct_words", "repeat_next", "upper", "sym
 def with_statistics(docs: DataFrame, into: str = "s") -> DataFrame:
     """``docs`` with a struct of the statistics ``STATS`` of its ``text``.  The word
     and line lists are columns of a projection below, so each is built once."""
-    t, words, lines = (F.col(f"_{into}_{c}") for c in ("text", "words", "lines"))
+    names = [fresh(docs, f"{into}_{c}") for c in ("text", "words", "lines")]
+    t, words, lines = map(F.col, names)
     n, n_words = F.greatest(F.length(t), F.lit(1)), F.greatest(F.size(words), F.lit(1))
 
     def share(pattern: str) -> Column:
@@ -52,11 +53,10 @@ def with_statistics(docs: DataFrame, into: str = "s") -> DataFrame:
               F.size(lines), F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1)),
               count(caps) / n_words]
     text = F.coalesce(F.col("text"), F.lit(""))
-    return (docs.withColumns({f"_{into}_text": text,
-                              f"_{into}_words": F.filter(F.split(text, r"\s+"), lambda w: w != ""),
-                              f"_{into}_lines": F.filter(F.split(text, r"[\r\n]+"), lambda w: w != "")})
+    lists = [text, *[F.filter(F.split(text, p), lambda w: w != "") for p in (r"\s+", r"[\r\n]+")]]
+    return (docs.withColumns(dict(zip(names, lists, strict=True)))
             .withColumn(into, F.struct(*[v.cast("double").alias(k) for k, v in zip(STATS, values, strict=True)]))
-            .drop(f"_{into}_text", f"_{into}_words", f"_{into}_lines"))
+            .drop(*names))
 
 
 def fit(rows: list[tuple[float, list[float]]], seed: int = 7) -> tuple[float, list]:
@@ -123,4 +123,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int
     # the fit needs statistics of the sampled rows only; scoring is one narrow pass
     sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")
     model = train(with_statistics(sampled).select("doc_id", "s"), labels, folds, held_fold)
-    return with_statistics(docs, "_stats").where(score_column(F.col("_stats"), model) >= 0.5).drop("_stats")
+    into = fresh(docs, "stats")
+    return with_statistics(docs, into).where(score_column(F.col(into), model) >= 0.5).drop(into)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe, decontam, fingerprint, neardup, quality, tokenfiles, toxicity, urls, webtext
+from salesloom.llm import bpe, decontam, fingerprint, neardup, quality, suffix, tokenfiles, toxicity, urls, webtext
 from salesloom.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.extract(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op4_html_text, op5_decontamination, op6_bpe,
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_repeated_strings, op4_html_text, op5_decontamination, op6_bpe,
                                   op7_toxicity, op8_token_counts, op9_near_duplicates, op10_fingerprints)}
 ORACLE: dict[str, str] = {}
