@@ -4,7 +4,7 @@ A byte is repeated when a string of ``minimum`` bytes that covers it also starts
 anywhere else.  Work is divided by anchors: in every stretch of ``minimum`` bytes
 the ``GRAM``-byte string of lowest hash is the anchor, so equal stretches have equal
 anchors at equal places.  A stretch can only be repeated if its anchor is; an
-anchor's segment is the text of all stretches around it.
+anchor's segment is the text of all stretches that have it as theirs.
 
 1. Equal texts are folded (their copies repeat each other whole), and anchors that
    stand in one place only are dropped.
@@ -44,11 +44,12 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from salesloom.llm.common import checkpointed, fresh, map_chunks, mix64, texts_of, written
 
 MINIMUM = 400
-GRAM = 32
+GRAM = 128
 BUNDLE = 1 << 18
 HOT = 256
 STEP = 32
 SLICE = 1 << 23
+ANCHOR = ["place", "gram", "segment", "lo", "hi"]
 FACTOR = 0x9E3779B97F4A7C15           # odd, so it has an inverse modulo 2**64
 BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 
@@ -80,32 +81,39 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def anchors(data: np.ndarray, minimum: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, hash of the segment) of the text's anchors."""
+def anchors(data: np.ndarray, minimum: int) -> list[np.ndarray]:
+    """Of the text's anchors: place, hash, hash of the segment, first and last start of
+    the stretches that have it."""
     n, width = len(data), minimum - GRAM + 1
     if n < minimum:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return [np.empty(0, np.int64)] * 5
     rolling = Rolling(data)
     start = np.arange(n - GRAM + 1)
     grams = rolling.hash(start, start + GRAM)
     low = np.uint64(0xFFFFFF)
-    found = []
-    for a in range(0, len(grams) - width + 1, SLICE):     # places within a slice fit 24 bits
+    of_stretch = np.empty(n - minimum + 1, dtype=np.int64)
+    for a in range(0, len(of_stretch), SLICE):            # places within a slice fit 24 bits
         part = grams[a:a + SLICE + width - 1]
         place = np.arange(len(part), dtype=np.uint64)
         lowest = sliding_minimum((part & ~low) | (low - place), width)   # of equal ones the last
-        found.append(np.unique(low - (lowest & low)).astype(np.int64) + a)
-    at = np.unique(np.concatenate(found))
-    lo, hi = np.maximum(at - width + 1, 0), np.minimum(at, n - minimum)
-    segment = mix64(rolling.hash(lo, hi + minimum) + mix64((at - lo).astype(np.uint64) * np.uint64(1 << 32) + (hi - lo).astype(np.uint64)))
-    return at, grams[at], segment
+        of_stretch[a:a + len(lowest)] = (low - (lowest & low)).astype(np.int64) + a
+    lo = np.flatnonzero(np.r_[True, of_stretch[1:] != of_stretch[:-1]])
+    hi, at = np.r_[lo[1:], len(of_stretch)] - 1, of_stretch[lo]
+    shape = ((at - lo) << 32) + (hi - lo)
+    segment = mix64(rolling.hash(lo, hi + minimum) + mix64(shape))
+    return [at, grams[at].view(np.int64), segment.view(np.int64), lo, hi]
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """By prefix doubling; ``s`` holds unique separators, so all suffixes differ."""
     n = len(s)
-    rank = s.astype(np.int64)
-    k = 1
+    bits = int(s.max()).bit_length()
+    k = max(1, 62 // bits)                               # symbols that fit one number
+    rank = np.zeros(n, dtype=np.int64)
+    for i in range(k):
+        rank <<= bits
+        rank[:n - i] |= s[i:]
+    rank = np.unique(rank, return_inverse=True)[1]
     while True:
         key = rank * (int(rank.max()) + 2)
         key[:n - k] += rank[k:] + 1
@@ -194,8 +202,8 @@ def repeated_starts(segments: list[tuple[bytes, int, bytes]], minimum: int) -> l
 
 
 def text_table(docs: DataFrame, minimum: int) -> DataFrame:
-    """(doc_id, n_bytes, key, sha, places, grams, segments) per row; key is 128 bits of
-    hash of the text, the arrays describe its anchors."""
+    """(doc_id, n_bytes, key, sha, and the arrays of ``anchors``) per row; key is 128 bits
+    of hash of the text."""
 
     def start():
         def work(batch: pa.RecordBatch) -> dict:
@@ -203,7 +211,7 @@ def text_table(docs: DataFrame, minimum: int) -> DataFrame:
 
             raw = [t.encode() for t in texts_of(batch, "text")]
             found = [anchors(np.frombuffer(r, dtype=np.uint8), minimum) for r in raw]
-            arrays = {k: [f[i].view(np.int64) for f in found] for i, k in enumerate(("places", "grams", "segments"))}
+            arrays = {k: [f[i] for f in found] for i, k in enumerate(ANCHOR)}
             return {"doc_id": batch.column("doc_id"), "n_bytes": [len(r) for r in raw],
                     "key": [xxhash.xxh3_128_digest(r) for r in raw], "sha": [hashlib.sha256(r).hexdigest() for r in raw], **arrays}
 
@@ -211,8 +219,8 @@ def text_table(docs: DataFrame, minimum: int) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_chunks(docs.select("doc_id", "text"), "text",
-                      f"doc_id {kind}, n_bytes bigint, key binary, sha string, places array<bigint>, "
-                      "grams array<bigint>, segments array<bigint>", start)
+                      f"doc_id {kind}, n_bytes bigint, key binary, sha string, "
+                      + ", ".join(f"{k} array<bigint>" for k in ANCHOR), start)
 
 
 def fetched(docs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -223,7 +231,7 @@ def fetched(docs: DataFrame, owners: DataFrame) -> DataFrame:
 
 def segment_rows(docs: DataFrame, needed: DataFrame, minimum: int) -> DataFrame:
     """(gram, key, place, at, hot, bytes): the segments of ``needed`` (key, owner, each:
-    array of (gram, place, hot)); ``at`` is the segment's start in its text."""
+    array of (gram, place, lo, hi, hot)); ``at`` is the segment's start in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -235,8 +243,7 @@ def segment_rows(docs: DataFrame, needed: DataFrame, minimum: int) -> DataFrame:
                 if key in done or xxhash.xxh3_128_digest(raw) != key:      # a row that repeats a doc_id
                     continue
                 done.add(key)
-                lo = [max(0, e["place"] - minimum + GRAM) for e in each]
-                hi = [min(e["place"], len(raw) - minimum) for e in each]
+                lo, hi = ([e[k] for e in each] for k in ("lo", "hi"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([e["gram"] for e in each], pa.int64()), pa.array([key] * len(each), pa.binary()),
                      pa.array([e["place"] for e in each], pa.int64()), pa.array(lo, pa.int64()),
@@ -335,23 +342,20 @@ def repeats(docs: DataFrame, minimum: int = MINIMUM) -> tuple[DataFrame, DataFra
     table = written(text_table(docs, minimum))
     rows = table.select("doc_id", "n_bytes", "key", "sha")
     texts = rows.groupBy("key").agg(F.min("doc_id").alias("owner"), F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"))
-    once = table.where("n_bytes >= {}".format(minimum)).groupBy("key").agg(
-        F.first(F.arrays_zip("places", "grams", "segments")).alias("a"), F.first("n_bytes").alias("n_bytes"))
-    places = once.select("key", "n_bytes", F.inline("a")).withColumnsRenamed({"places": "place", "grams": "gram", "segments": "segment"})
+    once = table.where("n_bytes >= {}".format(minimum)).groupBy("key").agg(F.first(F.struct(*ANCHOR)).alias("a"))
+    places = once.select("key", F.inline(F.arrays_zip(*[F.col(f"a.{k}").alias(k) for k in ANCHOR])))
     shared = (places.groupBy("gram").agg(F.count("*").alias("n"), F.min("segment").alias("a"), F.max("segment").alias("b"))
               .where("n > 1").select("gram", (F.col("a") == F.col("b")).alias("same")))
     found = checkpointed(places.join(shared, "gram"))
     # classes of equal segments of the anchors that have several
     classes = (found.where(~F.col("same")).groupBy("gram", "segment")
-               .agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")))
+               .agg(F.count("*").alias("n"), F.min(F.struct("key", "place", "lo", "hi")).alias("one")))
     sized = classes.groupBy("gram").agg(F.count("*").alias("differing"), F.min("n").alias("least")).where("least = 1")
     classes = checkpointed(classes.join(sized, "gram", "left"))
     found = found.join(classes.where("n > 1").select("gram", "segment", F.lit(True).alias("equal")), ["gram", "segment"], "left")
-    whole = found.where(F.col("same") | F.col("equal")).select(
-        "key", F.greatest(F.lit(0), F.col("place") - (minimum - GRAM)).alias("lo"),
-        F.least("place", F.col("n_bytes") - minimum).alias("hi"))
+    whole = found.where(F.col("same") | F.col("equal")).select("key", "lo", "hi")
     one = classes.where(F.col("differing").isNotNull()).select(
-        "one.key", F.struct("gram", "one.place", (F.col("differing") > HOT).alias("hot")).alias("e"))
+        "one.key", F.struct("gram", "one.place", "one.lo", "one.hi", (F.col("differing") > HOT).alias("hot")).alias("e"))
     needed = one.groupBy("key").agg(F.collect_list("e").alias("each")).join(texts.select("key", "owner"), "key")
     segments = written(segment_rows(docs, needed, minimum))
     copies = texts.where(f"copies > 1 and n_bytes >= {minimum}").select("key", F.lit(0).cast("bigint").alias("lo"),
