@@ -44,7 +44,7 @@ ROWS = 5
 MISS = 1e-9
 SIGMAS = 6.0
 ROUNDS = 2
-BLOCK = 512
+BLOCK = 2048
 SLICE = 1 << 16          # shingles hashed at once
 
 
