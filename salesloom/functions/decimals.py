@@ -3,9 +3,10 @@
 Amounts are ``decimal(10,2)`` per row and exact decimal sums after that.
 Divisions follow the semantics of the SQL the queries were written for:
 a quotient of two exact decimals carries the dividend's scale plus 4 and is
-rounded half-up there; ``ROUND(x, 2)`` is then applied to that value.  So
-a growth rate is ``round(round(d / b, 6) * 100, 2)`` and a two-decimal
-average is ``round(round(sum / n, 6), 2)``.
+rounded half-up there; ``ROUND(x, 2)`` is then applied to that value, so
+a two-decimal average is ``round(round(sum / n, 6), 2)``.  A growth rate is
+rounded once, half away from zero, in whole hundredths of a percent:
+``sign(d) * ((abs(d) * 20000 + b) // (2 * b))`` of amounts in cents.
 """
 
 from __future__ import annotations
@@ -54,7 +55,12 @@ def pct_change_label(cur, prev) -> Column:
     ``prev = 0`` gives NULL, as a division by zero does in the source SQL.
     """
     c, p = _col(cur), _col(prev)
-    pct = F.round(mysql_div(c - p, p) * F.lit(100), 2)
+    d, b = ((x * 100).cast("decimal(22,0)") for x in (c.cast(WIDE) - p.cast(WIDE), p.cast(WIDE)))
+    twice = F.abs(b) * 2
+    top = F.abs(d) * 20000 + F.abs(b)
+    whole = F.try_divide(top - F.try_mod(top, twice), twice)     # divides without rest
+    sign = F.when((d < 0) != (b < 0), F.lit(-1)).otherwise(F.lit(1))
+    pct = (whole.cast("decimal(30,0)") * sign * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(32,2)")
     return (F.when(p.isNull(), F.lit("-"))
             .otherwise(F.concat(pct.cast("string"), F.lit("%"))))
 

@@ -1,7 +1,9 @@
 """Dimension builds from the product staging table and the transactions.
 
 ``dim_product``/``dim_supplier``/``dim_store`` are the three
-``INSERT ... SELECT DISTINCT ... WHERE id IS NOT NULL`` loads.  The time
+``INSERT ... SELECT DISTINCT ... WHERE id IS NOT NULL`` loads; of rows that share
+an id the smallest is kept (the product lookup's rule), so a repeated id never
+multiplies the fact rows that join it.  The time
 dimension takes, per timeID, the first row (by arrival) whose timestamp
 parses, and a merge keeps rows already stored (insert-if-absent).
 """
@@ -16,7 +18,14 @@ from salesloom.sources.transactions import time_rows
 
 
 def _distinct_where(staging: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    return staging.where(F.col(key).isNotNull()).select(*cols).distinct()
+    rest = [c for c in cols if c != key]
+    one = staging.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_one"))
+    return one.select(*[F.col(c) if c == key else F.col(f"_one.{c}").alias(c) for c in cols])
+
+
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the smallest row of each ``key`` (rows without key are dropped)."""
+    return _distinct_where(rows, key, rows.columns)
 
 
 def dim_product(staging: DataFrame) -> DataFrame:

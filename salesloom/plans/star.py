@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.operators.dims import (dim_product, dim_store, dim_supplier, dim_time,
+from salesloom.operators.dims import (dim_product, dim_store, dim_supplier, dim_time, one_per_key,
                                      merge_time_dim)
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_transactions,
                                        enrich_with_masters, fact_rejects, product_master)
@@ -216,7 +216,7 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     dims = {"product": put_bucketed(dim_product(staging), "product", sort=True),
             "supplier": put(dim_supplier(staging), "supplier"),
             "store": put(dim_store(staging), "store"),
-            "customer": put(customers_in, "customer")}
+            "customer": put(one_per_key(customers_in, "customerID"), "customer")}
     rows = {n: d.count() for n, d in dims.items()}   # Parquet footers: a cheap count
     master = put(product_master(staging, dims["supplier"], dims["store"], rows), "product_master")
     ckeys = put(customer_keys(dims["customer"]), "customer_keys")

@@ -64,3 +64,10 @@ def test_average_round2(spark):
     assert one(spark, cents_avg_round2("s", "n"), schema, (Decimal("10.00"), 3)) == Decimal("3.33")
     assert one(spark, cents_avg_round2("s", "n"), schema, (Decimal("0.05"), 2)) == Decimal("0.03")
     assert one(spark, cents_avg_round2("s", "n"), schema, (Decimal("20.00"), 3)) == Decimal("6.67")
+
+
+def test_growth_label_is_rounded_once(spark):
+    schema = "c decimal(18,2), p decimal(18,2)"
+    for c, p, want in (("153999.20", "177879.50", "-13.42%"), ("0.00", "0.01", "-100.00%"), ("5.00", "0.00", None),
+                       ("10.00", "10.00", "0.00%"), ("9999999999999999.99", "0.01", "99999999999999999800.00%")):
+        assert one(spark, pct_change_label("c", "p"), schema, (Decimal(c), Decimal(p))) == want
