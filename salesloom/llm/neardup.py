@@ -12,11 +12,13 @@ Pairs of a bucket are judged in three steps: the sizes must allow the threshold;
 the joint likelihood of the two sketches must not rule it out (``SIGMAS``); then the
 full sets decide.  Only connectivity is wanted, so a bucket is never expanded into
 pairs: in ``ROUNDS`` rounds every member is compared with one pivot of its bucket
-that is not yet in its component, and at last members of buckets that still hold
-several components are compared in blocks of ``BLOCK`` rows, sketches first, then
-sets, and only links between components come out.  A bucket of copies of one text
-collapses in the first round; members that no link joins cost comparisons that are
-quadratic within their bucket, split over tasks by blocks.
+that is not yet in its component.  At last the buckets that still hold several
+components are bundled by pivot, a node standing once in a bundle whatever its
+number of bands there, and the rows of a bundle are compared in blocks of about
+``BLOCK`` rows or ``BLOCK_SHINGLES`` set elements, by sketches first; the sets of rows that
+these leave in doubt then meet, and only links between components come out.  A bucket of copies of one text collapses in
+the first round; members that no link joins cost comparisons that are quadratic
+within their bundle, split over tasks by blocks.
 
 Defined cases: words are ASCII-lower-cased runs of non-white-space; a text with
 fewer words than a shingle is one shingle; null, empty and blank texts have an
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import checkpointed, hash_bytes, map_chunks, mix64, texts_of, written
+from salesloom.llm.common import hash_bytes, map_chunks, mix64, texts_of, written
 from salesloom.llm.graph import components
 
 BASE, RATE, TOP = 1.02, 20.0, 4095
@@ -44,7 +46,7 @@ ROWS = 5
 MISS = 1e-9
 SIGMAS = 6.0
 ROUNDS = 2
-BLOCK = 2048
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21    # rows, and elements of their sets, of a block on average
 SLICE = 1 << 16          # shingles hashed at once
 
 
@@ -237,12 +239,12 @@ def intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def block_links(regs: np.ndarray, n: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray,
-                sets: list[np.ndarray], rule: Rule) -> list[tuple[int, int]]:
-    """Verified links between rows ``left`` and ``right`` (the same, or apart) that join
-    different components, one for each pair of components."""
+def doubtful(regs: np.ndarray, n: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray,
+             rule: Rule) -> np.ndarray:
+    """The rows that stand in a pair of a ``left`` and a ``right`` row (the same rows, or
+    apart) of different components whose sketches do not rule out a link."""
     same = left is right
-    found = []
+    held = np.zeros(len(n), dtype=bool)
     for a in left:
         others = right[right > a] if same else right
         others = others[(roots[others] != roots[a])
@@ -250,47 +252,65 @@ def block_links(regs: np.ndarray, n: np.ndarray, roots: np.ndarray, left: np.nda
         if len(others):
             x, y = regs[a], regs[others]
             ok, _ = may_link((x > y).sum(axis=1), (x < y).sum(axis=1), len(x), np.full(len(others), n[a]), n[others], rule)
-            found += [(a, b) for b in others[ok]]
-    if not found:
-        return []
-    rows = np.unique(np.array(found))
-    both = intersections([sets[i] for i in rows])
-    place = {r: i for i, r in enumerate(rows)}
+            held[others[ok]] = True
+            held[a] |= ok.any()
+    return np.flatnonzero(held)
+
+
+def exact_links(sets: list[np.ndarray], roots: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """Links between rows of different components, one for each pair of components."""
+    both = intersections(sets)
+    n = np.array([len(s) for s in sets])
     out: dict[tuple[int, int], tuple[int, int]] = {}
-    for a, b in found:
-        k = both[place[a], place[b]]
-        if 100 * k >= rule.percent * (n[a] + n[b] - k):
-            out.setdefault((min(roots[a], roots[b]), max(roots[a], roots[b])), (a, b))
+    for a in range(len(n)):
+        k = both[a, a + 1:]
+        linked = (100 * k >= rule.percent * (n[a] + n[a + 1:] - k)) & (roots[a + 1:] != roots[a])
+        for b in np.flatnonzero(linked) + a + 1:
+            out.setdefault((min(roots[a], roots[b]), max(roots[a], roots[b])), (a, int(b)))
     return list(out.values())
 
 
+def pivots_of(members: DataFrame, turn: int) -> DataFrame:
+    """(band, a, pivot_root): one member of each bucket, by an order of the nodes that is
+    the same in every bucket, so that buckets which overlap mostly have the same one."""
+    order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
+    return (members.groupBy("band").agg(F.min(order).alias("p"))
+            .select("band", F.col("p.node").alias("a"), F.col("p.root").alias("pivot_root")))
+
+
 def cross_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(u, v): links between different components within one bucket.  ``members``:
-    (band, node, root, size); blocks of a bucket meet pairwise.  Of buckets with the
-    same members one is compared."""
-    same = members.groupBy("band").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"), F.count("*").alias("k"))
-    one = same.groupBy("mark", "k").agg(F.min("band").alias("band")).select("band")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    placed = (members.join(one, "band", "left_semi").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-              .select("band", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-              .join(nodes.select("node", "n", "regs"), "node").join(sets, "node"))
-
-    def compare(group: pa.Table) -> pa.Table:
-        regs = _matrix(group.column("regs").combine_chunks())
-        n, own = (group.column(c).to_numpy() for c in ("n", "own"))
+    (band, node, root).  Buckets with the same pivot are one bundle, which holds each
+    node once, however many of its bands fall there; blocks of a bundle meet pairwise."""
+    bundles = written(members.join(pivots_of(members, ROUNDS), "band").select("a", "node", "root").distinct()
+                           .join(nodes.select("node", "n"), "node"))
+    blocks = F.ceil(F.greatest(F.lit(1), F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    mixed = (bundles.groupBy("a").agg(blocks.alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
+             .where("low != high").select("a", "blocks"))
+    placed = (bundles.join(mixed, "a").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("a", "node", "root", "n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+              .join(nodes.select("node", "regs"), "node"))
+
+    def numbered(group: pa.Table) -> np.ndarray:
         number: dict[bytes, int] = {}
-        roots = np.array([number.setdefault(r, len(number)) for r in group.column("root").to_pylist()])
-        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("x")]
+        return np.array([number.setdefault(r, len(number)) for r in group.column("root").to_pylist()])
+
+    def sift(cell: pa.Table) -> pa.Table:
+        n, own = (cell.column(c).to_numpy() for c in ("n", "own"))
         left = right = np.arange(len(n))
-        if group.column("i")[0].as_py() != group.column("j")[0].as_py():
+        if cell.column("i")[0].as_py() != cell.column("j")[0].as_py():
             left, right = np.flatnonzero(own == own.min()), np.flatnonzero(own != own.min())
-        links = block_links(regs, n, roots, left, right, sets, rule)
-        node = group.column("node")
-        a, b = (pa.array([p[i] for p in links], pa.int64()) for i in (0, 1))
-        return pa.table({"u": node.take(a).combine_chunks(), "v": node.take(b).combine_chunks()})
+        rows = doubtful(_matrix(cell.column("regs").combine_chunks()), n, numbered(cell), left, right, rule)
+        return cell.select(["a", "i", "j", "node", "root"]).take(pa.array(rows))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        links = exact_links([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in cell.column("x")], numbered(cell), rule)
+        node = cell.column("node").combine_chunks()
+        return pa.table({k: node.take(pa.array([p[i] for p in links], pa.int64())) for i, k in enumerate("uv")})
 
-    return placed.groupBy("band", "i", "j").applyInArrow(compare, "u binary, v binary")
+    left_over = placed.groupBy("a", "i", "j").applyInArrow(sift, "a binary, i int, j int, node binary, root binary")
+    return left_over.join(sets, "node").groupBy("a", "i", "j").applyInArrow(compare, "u binary, v binary")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
@@ -299,21 +319,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
     full = rows.where(F.col("node").isNotNull())
     banded = full.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = checkpointed(banded.join(shared, "band").select("band", "node", "size"))
-    nodes = checkpointed(full.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node")
+    buckets = written(banded.join(shared, "band").select("band", "node", "size"))
+    nodes = written(full.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node")
                          .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
     sets = written(node_sets(docs, nodes.where(F.col("doc_id").isNotNull()).select("node", "doc_id"), rule))
     stars = None
     members = buckets.withColumn("root", F.col("node"))
     for turn in range(ROUNDS):
-        order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
-        pivots = members.groupBy("band").agg(F.min(order).alias("p")).select("band", "p.node", "p.root")
-        pivots = pivots.withColumnsRenamed({"node": "a", "root": "pivot_root"})
-        pairs = (members.join(pivots, "band").where("root != pivot_root")
+        pairs = (members.join(pivots_of(members, turn), "band").where("root != pivot_root")
                  .select(F.col("a"), F.col("node").alias("b")).distinct())
         likely = sketch_test(pairs, nodes, rule)
         best = likely.groupBy("b").agg(F.max(F.struct("likeness", "a")).alias("p")).select("b", "p.a")
-        found = checkpointed(verified(best, sets, rule))
+        found = written(verified(best, sets, rule))
         links = found if stars is None else stars.unionByName(found)
         stars = components(links)
         # buckets that still hold several components
@@ -323,7 +340,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
         members = members.join(mixed.select("band"), "band", "left_semi")
         if turn == 0:                # buckets of two have had their only pair compared
             members = members.where("size > 2")
-        members = checkpointed(members)
+        members = written(members)
     stars = components(stars.unionByName(cross_links(members, nodes, sets, rule)))
     owners = full.groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = (owners.join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left")
