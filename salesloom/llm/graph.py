@@ -8,28 +8,30 @@ from pyspark.sql import functions as F
 from salesloom.llm.common import written
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
 def _stars_only(edges: DataFrame) -> bool:
-    """Whether every node has one larger-to-smaller edge at most and no such edge leads on."""
-    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
-        edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
-    sums = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-    return sums.where("out > 1 OR (out = 1 AND into = 1)").isEmpty()
+    """Whether every node has larger neighbours only or a single one, which is smaller."""
+    ends = _both_ways(edges).groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    return ends.where("low < u AND (high > u OR low != high)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): for every node of ``edges`` (u, v) but the smallest of its component, the
     smallest.  Each step is a minimum per node and a join, both of which combine or
-    split hot nodes; the number of steps grows with the logarithm of the size.  A step
-    is written as a table, so small ones are read back in few tasks."""
-    stars = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                    .where("u != v").distinct())
+    split hot nodes; it makes no more rows than it gets, and the number of steps grows with
+    the logarithm of the size.  A step is written as a table, so small ones are read back
+    in few tasks.  Repeated links and loops are allowed."""
+    stars = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v"))
     while not _stars_only(stars):
         # large star: the larger neighbours of each node hang on its smallest neighbour
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _both_ways(stars)
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours hang on the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = written(low.select("u", F.col("m").alias("v")).unionByName(hung).distinct())
-    return stars
+        stars = written(large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                                    F.col("m").alias("v")))
+    return stars.distinct()

@@ -12,7 +12,8 @@ Pairs of a bucket are judged in three steps: the sizes must allow the threshold;
 the joint likelihood of the two sketches must not rule it out (``SIGMAS``); then the
 full sets decide.  Only connectivity is wanted, so a bucket is never expanded into
 pairs: in ``ROUNDS`` rounds every member is compared with one pivot of its bucket
-that is not yet in its component.  At last the buckets that still hold several
+that is not yet known to be in its component; the pair of a bucket of two is judged for
+good in the first.  At last the buckets that still hold several
 components are bundled by pivot, a node standing once in a bundle whatever its
 number of bands there, and the rows of a bundle are compared in blocks of about
 ``BLOCK`` rows or ``BLOCK_SHINGLES`` set elements, by sketches first; the sets of rows that
@@ -35,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import hash_bytes, map_chunks, mix64, texts_of, written
@@ -164,7 +165,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def sketch_test(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b, likeness) of the pairs (a, b) whose sketches do not rule out a link."""
+    """(a, b, only, likeness) of the pairs (a, b, only) whose sketches do not rule out a link."""
     side = {k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("regs").alias(f"r{k}"))
             for k in "ab"}
 
@@ -175,10 +176,11 @@ def sketch_test(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 x, y = _matrix(batch.column("ra")), _matrix(batch.column("rb"))
                 ok, best = may_link((x > y).sum(axis=1), (x < y).sum(axis=1), x.shape[1], na, nb, rule)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok)), pa.array(best[ok])],
-                    names=["a", "b", "likeness"])
+                    [*(batch.column(c).filter(pa.array(ok)) for c in ("a", "b", "only")), pa.array(best[ok])],
+                    names=["a", "b", "only", "likeness"])
 
-    return pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(run, "a binary, b binary, likeness double")
+    return (pairs.join(side["a"], "a").join(side["b"], "b")
+            .mapInArrow(run, "a binary, b binary, only boolean, likeness double"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -270,20 +272,28 @@ def exact_links(sets: list[np.ndarray], roots: np.ndarray, rule: Rule) -> list[t
     return list(out.values())
 
 
-def pivots_of(members: DataFrame, turn: int) -> DataFrame:
-    """(band, a, pivot_root): one member of each bucket, by an order of the nodes that is
-    the same in every bucket, so that buckets which overlap mostly have the same one."""
-    order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
-    return (members.groupBy("band").agg(F.min(order).alias("p"))
-            .select("band", F.col("p.node").alias("a"), F.col("p.root").alias("pivot_root")))
+def pivot(turn: int, root: str = "root") -> Column:
+    """The smallest member (node, root) of a bucket, by an order of the nodes that is the
+    same in every bucket, so that buckets which overlap mostly have the same one."""
+    return F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col(root).alias("root"))).alias("p")
+
+
+def climbed(found: DataFrame, jumps: int = 2) -> DataFrame:
+    """(u, v): for nodes v of ``found`` (u, v), as u, one that some links lead to.  Every
+    link leads to a smaller node by the pivots' order, so there are no cycles; nodes with the
+    same v are connected, those further apart than the jumps reach keep different ones."""
+    up = written(found.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("v")))
+    for _ in range(jumps):
+        up = (up.join(up.select(F.col("u").alias("v"), F.col("v").alias("top")), "v", "left")
+              .select("u", F.coalesce("top", "v").alias("v")))
+    return up
 
 
 def cross_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(u, v): links between different components within one bucket.  ``members``:
-    (band, node, root).  Buckets with the same pivot are one bundle, which holds each
-    node once, however many of its bands fall there; blocks of a bundle meet pairwise."""
-    bundles = written(members.join(pivots_of(members, ROUNDS), "band").select("a", "node", "root").distinct()
-                           .join(nodes.select("node", "n"), "node"))
+    (node, root, a), a the bucket's pivot.  Buckets with the same pivot are one bundle, which
+    holds each node once, however many of its bands fall there; blocks of a bundle meet pairwise."""
+    bundles = written(members.select("a", "node", "root").distinct().join(nodes.select("node", "n"), "node"))
     blocks = F.ceil(F.greatest(F.lit(1), F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     mixed = (bundles.groupBy("a").agg(blocks.alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
              .where("low != high").select("a", "blocks"))
@@ -318,29 +328,33 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
     rows = written(sketch_table(docs, rule))
     full = rows.where(F.col("node").isNotNull())
     banded = full.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = written(banded.join(shared, "band").select("band", "node", "size"))
+    shared = (banded.groupBy("band").agg(F.count("*").alias("size"), pivot(0, "node")).where("size > 1")
+              .select("band", "size", F.col("p.node").alias("a")))
+    buckets = written(banded.join(shared, "band").select("band", "node", "size", "a"))
     nodes = written(full.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node")
                          .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
     sets = written(node_sets(docs, nodes.where(F.col("doc_id").isNotNull()).select("node", "doc_id"), rule))
-    stars = None
-    members = buckets.withColumn("root", F.col("node"))
+    links = None
+    members = buckets.select("node", F.col("node").alias("root"), "a", F.col("a").alias("pivot_root"),
+                             (F.col("size") == 2).alias("only"))
     for turn in range(ROUNDS):
-        pairs = (members.join(pivots_of(members, turn), "band").where("root != pivot_root")
-                 .select(F.col("a"), F.col("node").alias("b")).distinct())
-        likely = sketch_test(pairs, nodes, rule)
-        best = likely.groupBy("b").agg(F.max(F.struct("likeness", "a")).alias("p")).select("b", "p.a")
-        found = written(verified(best, sets, rule))
-        links = found if stars is None else stars.unionByName(found)
-        stars = components(links)
-        # buckets that still hold several components
-        members = (buckets.join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left")
-                   .withColumn("root", F.coalesce("root", "node")))
-        mixed = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        members = members.join(mixed.select("band"), "band", "left_semi")
-        if turn == 0:                # buckets of two have had their only pair compared
-            members = members.where("size > 2")
-        members = written(members)
+        pairs = (members.where("root != pivot_root").groupBy("a", F.col("node").alias("b"))
+                 .agg(F.max("only").alias("only")))
+        # of each node the likeliest pair, and the pairs that were the whole of a bucket
+        likely = (sketch_test(pairs, nodes, rule).groupBy("b")
+                  .agg(F.max(F.struct("likeness", "a")).alias("p"), F.collect_set(F.when(F.col("only"), F.col("a"))).alias("only"))
+                  .select("b", F.explode(F.array_union(F.array("p.a"), "only")).alias("a")))
+        found = written(verified(likely, sets, rule))
+        links = found if links is None else links.unionByName(found)
+        last = turn == ROUNDS - 1
+        stars = components(links) if last else climbed(found)
+        # buckets that still hold several components; those of two have had their pair judged
+        labelled = (buckets.where("size > 2").select("band", "node")
+                    .join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left")
+                    .withColumn("root", F.coalesce("root", "node")))
+        mixed = (labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), pivot(turn + 1))
+                 .where("low != high").select("band", F.col("p.node").alias("a"), F.col("p.root").alias("pivot_root")))
+        members = written(labelled.join(mixed, "band").select("node", "root", "a", "pivot_root", F.lit(False).alias("only")))
     stars = components(stars.unionByName(cross_links(members, nodes, sets, rule)))
     owners = full.groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = (owners.join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left")
