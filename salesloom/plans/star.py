@@ -19,17 +19,19 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.operators.dims import (dim_product, dim_store, dim_supplier, dim_time, one_per_key,
                                      merge_time_dim)
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_transactions,
                                        enrich_with_masters, fact_rejects, product_master)
-from salesloom.operators.fact import FACT_KEY, collapse_fact
+from salesloom.operators.fact import (FACT_KEY, collapse_fact, fact_totals, fitting, overflowed_keys,
+                                      overflows)
 from salesloom.operators.joins import join_dim
 from salesloom.operators.quality import load_metrics
 from salesloom.session import shared_dir
@@ -112,19 +114,18 @@ def _code_hash() -> str:
     return h.hexdigest()
 
 
-def _input_key(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    h.update(_code_hash().encode())
-    if os.path.isdir(sf_dir):
-        for f in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, f))
-            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
-    return h.hexdigest()[:16]
+def _input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with the code and with path, size or time of any input file, on every
+    file system that Spark reads (no content is read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+             .select("path", "length", "modificationTime"))
+    seen = files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return hashlib.sha1(f"{sf_dir.rstrip('/')} {tuple(seen)} {_code_hash()}".encode()).hexdigest()[:16]
 
 
 def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
     layout = f"b{_bucket_count(spark) or 0}"
-    return f"{shared_dir(spark)}/warehouse/{_input_key(sf_dir)}-{layout}"
+    return f"{shared_dir(spark)}/warehouse/{_input_key(spark, sf_dir)}-{layout}"
 
 
 def _new_build(path: str) -> str:
@@ -142,7 +143,7 @@ def _put(spark: SparkSession, build: str, df: DataFrame, name: str,
     if partition:
         w = w.partitionBy(partition)
     w.parquet(f"{build}/{name}")
-    return spark.read.parquet(f"{build}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{build}/{name}")   # no files if there are no rows
 
 
 def _put_bucketed(spark: SparkSession, build: str, df: DataFrame, name: str,
@@ -165,8 +166,13 @@ def _put_bucketed(spark: SparkSession, build: str, df: DataFrame, name: str,
 
 def _write_manifest(spark: SparkSession, path: str, build: str, locations: dict[str, str],
                     specs: dict[str, str]) -> None:
-    """Row counts of every table, where it lives and how it is bucketed;
-    written last, over the previous manifest."""
+    """Row counts of every table, where it lives and how it is bucketed; written
+    last, as one more version beside the earlier ones, which are never touched: a
+    failed write leaves no visible file and the last complete version in force."""
+    try:
+        version = manifest_rows(spark, path)[0]["version"] + 1
+    except AnalysisException:
+        version = 1
     counted = {n: _open_table(spark, loc, n, None) for n, loc in locations.items()}  # footers
     loc_col = F.lit(None).cast("string")
     spec_col = F.lit(None).cast("string")
@@ -176,7 +182,27 @@ def _write_manifest(spark: SparkSession, path: str, build: str, locations: dict[
         spec_col = F.when(F.col("source") == n, F.lit(sp)).otherwise(spec_col)
     (load_metrics(counted).withColumn("build", F.lit(build))
      .withColumn("location", loc_col).withColumn("bucket_spec", spec_col)
-     .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest"))
+     .withColumn("version", F.lit(version).cast("bigint"))
+     .coalesce(1).write.mode("append").parquet(f"{path}/manifest"))
+
+
+def manifest_rows(spark: SparkSession, path: str) -> list[Row]:
+    """The current version of a warehouse's manifest, one row per table (of two
+    writers of one version, one build's rows only)."""
+    m = spark.read.parquet(f"{path}/manifest")
+    newest = m.agg(F.max(F.struct("version", "build")).alias("n")).select("n.*")
+    return m.join(F.broadcast(newest), ["version", "build"]).collect()
+
+
+def write_fact(totals: DataFrame, year: DataFrame, n_time: int, write: Callable[[DataFrame], object],
+               write_overflow: Callable[[DataFrame], object]) -> None:
+    """Write the totals that fit as the fact, with their year, and the others as
+    ``fact_overflow``; these are computed only if the first write met any."""
+    met = Observation()
+    seen = totals.observe(met, F.count_if(overflows()).alias("n"))
+    write(join_dim(fitting(seen), year, "timeID", "left", n_time))
+    over = overflowed_keys(totals)
+    write_overflow(over if met.get["n"] else totals.sparkSession.createDataFrame([], over.schema))
 
 
 def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_in: DataFrame,
@@ -196,11 +222,11 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     ledger.  Each step reads what the previous one wrote, so nothing is
     computed twice and a failed step reruns from the last written table.
 
-    Every build writes into a fresh ``build-<id>`` folder and the manifest
-    (``path/manifest``, row counts + build folder) is written last: readers
-    follow the manifest, so a build that dies halfway leaves the previous
-    complete warehouse in place, and a readable manifest always names a
-    complete build.
+    Every build writes into a fresh ``build-<id>`` folder and a version of the
+    manifest (``path/manifest``, row counts + build folder) is added last: readers
+    follow its newest version, so a build that dies halfway leaves the previous
+    complete warehouse in place, and a readable version always names a
+    complete build.  Keys whose total does not fit go to ``fact_overflow``.
     """
     build = _new_build(path)
     buckets = _bucket_count(spark)
@@ -222,15 +248,14 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     ckeys = put(customer_keys(dims["customer"]), "customer_keys")
     ledger = put(enrich_with_masters(transactions, master, ckeys, rows), "ledger")
     time = put(dim_time(time_input(ledger)), "time")
-    fact = collapse_fact(accepted_facts(ledger))
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    fact = join_dim(fact, year, "timeID", "left", time.count())
-    put_bucketed(fact, "fact", partition=PART_YEAR)
+    write_fact(fact_totals(accepted_facts(ledger)), year, time.count(),
+               lambda df: put_bucketed(df, "fact", partition=PART_YEAR), lambda df: put(df, "fact_overflow"))
     put(fact_rejects(ledger), "fact_rejects")
     for name, df in (extra or {}).items():
         put(df, name)
     names = ("fact", "time", "product", "supplier", "store", "customer", "staging",
-             "fact_rejects", "product_master", "customer_keys", *(extra or {}))
+             "fact_rejects", "fact_overflow", "product_master", "customer_keys", *(extra or {}))
     _write_manifest(spark, path, build, {n: build for n in names},
                     {n: f"{BUCKET_KEY}:{buckets}" for n in BUCKETED} if buckets else {})
 
@@ -289,15 +314,18 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
     n_time = time.count()
     old_fact = t["fact"]
-    old_spec = {r["source"]: r["bucket_spec"]
-                for r in spark.read.parquet(f"{path}/manifest").collect()}.get("fact")
+    manifest = manifest_rows(spark, path)
+    old_spec = {r["source"]: r["bucket_spec"] for r in manifest}.get("fact")
+    # totals kept out of the fact so far, with wide amounts: new rows add to them as well
+    first = F.struct(F.lit(0).alias("load"), F.lit(None).cast(kind).alias("a"))
+    over = t["fact_overflow"].drop("reject_reason").withColumn("arrival", first)
     parts = None
     if not buckets and not old_spec:
         # only the years that hold a key of the new rows, or a new key, change
         keys = new.select(*FACT_KEY).distinct()
         n_keys = keys.count()
         hit = join_dim(old_fact.select(*FACT_KEY, PART_YEAR), keys, FACT_KEY, "left_semi", n_keys)
-        fresh = join_dim(collapse_fact(new), year, "timeID", "left", n_time)
+        fresh = join_dim(collapse_fact(over.unionByName(new.select(*over.columns))), year, "timeID", "left", n_time)
         touched = {r[0] for r in hit.select(PART_YEAR).unionByName(fresh.select(PART_YEAR))
                    .distinct().collect()}                       # at most one row per year
         parts = _fact_parts(spark, locs["fact"]) or {
@@ -307,22 +335,18 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
             in_touched = in_touched | F.col(PART_YEAR).isNull()
         old_fact = old_fact.where(in_touched)
         parts.update({y: build for y in touched})
-    stored = (old_fact.drop(PART_YEAR)
-              .withColumn("arrival", F.struct(F.lit(0).alias("load"),
-                                              F.lit(None).cast(kind).alias("a"))))
-    fact = collapse_fact(stored.unionByName(new.select(*stored.columns)))
-    fact = join_dim(fact, year, "timeID", "left", n_time)
-    _put_bucketed(spark, build, fact, "fact", buckets, PART_YEAR)
+    stored = old_fact.drop(PART_YEAR).withColumn("arrival", first)
+    totals = fact_totals(over.unionByName(stored.select(*over.columns)).unionByName(new.select(*over.columns)))
+    write_fact(totals, year, n_time, lambda df: _put_bucketed(spark, build, df, "fact", buckets, PART_YEAR),
+               lambda df: _put(spark, build, df, "fact_overflow"))
     if parts is not None:
         spark.createDataFrame([(y, f) for y, f in parts.items()],
                               f"{PART_YEAR} int, location string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{build}/fact_parts")
     rejects = t["fact_rejects"].unionByName(fact_rejects(ledger), allowMissingColumns=True)
     _put(spark, build, rejects, "fact_rejects")
-    locs.update({"fact": build, "time": build, "fact_rejects": build})
-    specs = {r["source"]: r["bucket_spec"]
-             for r in spark.read.parquet(f"{path}/manifest").collect()   # one row per table
-             if r["bucket_spec"]}
+    locs.update({"fact": build, "time": build, "fact_rejects": build, "fact_overflow": build})
+    specs = {r["source"]: r["bucket_spec"] for r in manifest if r["bucket_spec"]}
     specs.pop("fact", None)
     if buckets:
         specs["fact"] = f"{BUCKET_KEY}:{buckets}"
@@ -332,17 +356,14 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[dict[str, int], str]:
     """Row counts per table and the build folder of a written warehouse."""
-    rows = spark.read.parquet(f"{path}/manifest").collect()    # one row per table
+    rows = manifest_rows(spark, path)
     return {r["source"]: int(r["rows"]) for r in rows}, rows[0]["build"]
 
 
 def table_locations(spark: SparkSession, path: str) -> dict[str, str]:
     """Folder of every table of a written warehouse (its build, or the older
     build a table was carried over from)."""
-    m = spark.read.parquet(f"{path}/manifest")
-    has_loc = "location" in m.columns
-    return {r["source"]: (r["location"] if has_loc and r["location"] else r["build"])
-            for r in m.collect()}                               # one row per table
+    return {r["source"]: r["location"] or r["build"] for r in manifest_rows(spark, path)}
 
 
 def _table_name(build: str, name: str) -> str:
@@ -405,14 +426,8 @@ def _tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Every table of a written warehouse.  A table lives in the build folder
     unless the manifest names another location (a star that reuses another
     warehouse's dimensions)."""
-    m = spark.read.parquet(f"{path}/manifest")
-    cols = m.columns
-    out = {}
-    for r in m.collect():                                       # one row per table
-        loc = r["location"] if "location" in cols and r["location"] else r["build"]
-        spec = r["bucket_spec"] if "bucket_spec" in cols else None
-        out[r["source"]] = _open_table(spark, loc, r["source"], spec)
-    return out
+    return {r["source"]: _open_table(spark, r["location"] or r["build"], r["source"], r["bucket_spec"])
+            for r in manifest_rows(spark, path)}
 
 
 def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -436,24 +451,26 @@ def read_star(spark: SparkSession, path: str) -> Star:
                 extra={n: t[n] for n in rows if n not in ("fact", *DIMS, *LOOKUPS)})
 
 
-_cache: dict[tuple[str, str], Star] = {}
+_cache: dict[tuple[str, str], tuple[int, Star]] = {}
 
 
 def load_warehouse(spark: SparkSession, sf_dir: str, path: str | None = None,
                    rebuild: bool = False) -> Star:
-    """Build and write the warehouse for ``sf_dir`` once; reuse it after."""
+    """Build and write the warehouse for ``sf_dir`` once; reuse it after, as its
+    newest manifest version describes it."""
     path = path or warehouse_path(spark, sf_dir)
     key = (spark.sparkContext.applicationId, path)
-    if not rebuild and key in _cache:
-        return _cache[key]
-    star = None
-    if not rebuild:
+
+    def version() -> int | None:
         try:
-            star = read_star(spark, path)
+            return manifest_rows(spark, path)[0]["version"]
         except AnalysisException:
-            star = None
-    if star is None:
+            return None
+
+    now = None if rebuild else version()
+    if now is None:
         write_warehouse(spark, sf_dir, path)
-        star = read_star(spark, path)
-    _cache[key] = star
-    return star
+        now = version()
+    if _cache.get(key, (None,))[0] != now:
+        _cache[key] = (now, read_star(spark, path))
+    return _cache[key][1]

@@ -7,6 +7,7 @@ the target scale, and the provided tables already use 64-bit keys.
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)          # DECIMAL(10,2) of the fact and product price
+WIDE_MONEY = T.DecimalType(28, 2)     # sums of amounts before they are checked against MONEY
 
 CUSTOMER_CSV = T.StructType([
     T.StructField("customerID", T.LongType()),

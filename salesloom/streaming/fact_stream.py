@@ -33,8 +33,9 @@ from pyspark.sql.streaming import StreamingQuery
 from salesloom.operators.dims import dim_time
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_with_masters,
                                        product_master)
-from salesloom.operators.fact import collapse_fact
+from salesloom.operators.fact import collapse_fact, fact_totals, overflowed_keys
 from salesloom.operators.joins import broadcastable
+from salesloom.schemas import WIDE_MONEY
 from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
 
 
@@ -148,7 +149,8 @@ def read_ledger(spark: SparkSession, out_path: str) -> DataFrame:
 def _compaction(spark: SparkSession, out_path: str) -> tuple[int, str] | None:
     """(last compacted batch id, snapshot folder), or None."""
     try:
-        r = spark.read.parquet(f"{out_path}/compaction").first()
+        r = (spark.read.parquet(f"{out_path}/compaction")
+             .agg(F.max(F.struct("upto", "at", "folder")).alias("n")).select("n.*").first())
     except AnalysisException:
         return None
     return int(r["upto"]), r["folder"]
@@ -188,8 +190,12 @@ def _reject_rows(led: DataFrame, snap: dict | None) -> DataFrame:
 
 def streamed_fact(spark: SparkSession, out_path: str) -> DataFrame:
     """The fact table as of the batches committed so far."""
-    led, snap = _sources(spark, out_path)
-    return collapse_fact(_fact_rows(led, snap))
+    return collapse_fact(_fact_rows(*_sources(spark, out_path)))
+
+
+def streamed_overflow(spark: SparkSession, out_path: str) -> DataFrame:
+    """Keys whose total does not fit the fact, with their whole total."""
+    return overflowed_keys(fact_totals(_fact_rows(*_sources(spark, out_path))))
 
 
 def streamed_rejects(spark: SparkSession, out_path: str) -> DataFrame:
@@ -211,10 +217,10 @@ def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
     the history.
 
     The snapshot holds one fact row per key with the key's earliest arrival
-    (so first-arrival columns stay right when later batches are added), the
-    first candidate per timeID, and every reject.  It goes to a new folder;
-    the pointer ``compaction`` is written last, so a compaction that dies
-    halfway is ignored.  Batch folders up to ``upto`` are then skipped by
+    (so first-arrival columns stay right when later batches are added) and wide
+    totals, the first candidate per timeID, and every reject.  It goes to a new folder;
+    a row for it is added to ``compaction`` last, so a compaction that dies
+    halfway is ignored and the earlier one stays in force.  Batch folders up to ``upto`` are then skipped by
     partition pruning.
     """
     led, snap = _sources(spark, out_path)
@@ -223,8 +229,8 @@ def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
     facts = (_fact_rows(led, snap).groupBy("orderID", "productID", "customerID")
              .agg(F.min_by(F.struct("supplierID", "storeID", "orderDate", "timeID"),
                            "arrival").alias("_f"),
-                  F.sum("quantityOrdered").cast("int").alias("quantityOrdered"),
-                  F.sum("totalSale").cast("decimal(10,2)").alias("totalSale"),
+                  F.sum(F.col("quantityOrdered").cast("bigint")).alias("quantityOrdered"),
+                  F.sum(F.col("totalSale").cast(WIDE_MONEY)).cast(WIDE_MONEY).alias("totalSale"),
                   F.min("arrival").alias("arrival"))
              .select("orderID", "productID", "customerID", "_f.supplierID", "_f.storeID",
                      "_f.orderDate", "_f.timeID", "quantityOrdered", "totalSale", "arrival"))
@@ -233,8 +239,9 @@ def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
             .agg(F.min_by("orderTS", "arrival").alias("orderTS"), F.min("arrival").alias("arrival")))
     time.write.mode("overwrite").parquet(f"{folder}/time")
     _reject_rows(led, snap).write.mode("overwrite").parquet(f"{folder}/rejects")
-    (spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"), F.lit(folder).alias("folder"))
-     .write.mode("overwrite").parquet(f"{out_path}/compaction"))
+    (spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"), F.current_timestamp().alias("at"),
+                           F.lit(folder).alias("folder"))
+     .coalesce(1).write.mode("append").parquet(f"{out_path}/compaction"))
 
 
 def live_fact_totals(spark: SparkSession, input_path: str | DataFrame, dims_path: str,
@@ -282,37 +289,28 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
     The dimensions are the warehouse's; the fact (collapsed ledger, with its
     year partition) and the time dimension are written as a new warehouse
     build under ``path``, so every query of the catalogue runs on the
-    stream-loaded data exactly as on a batch-loaded warehouse.
+    stream-loaded data exactly as on a batch-loaded warehouse; rejects, overflowed
+    keys and the warehouse's lookups come with it, so it can be appended to.
     """
-    from salesloom.operators.joins import join_dim
-    from salesloom.operators.quality import load_metrics
-    from salesloom.plans.star import PART_YEAR, read_star, table_locations
+    from salesloom.plans.star import (PART_YEAR, _write_manifest, manifest_rows, read_star,
+                                      table_locations, write_fact)
 
-    locs = table_locations(spark, warehouse)
+    locs = {n: loc for n, loc in table_locations(spark, warehouse).items()
+            if n in ("product", "supplier", "store", "customer", "staging", *MASTERS)}
     build = f"{path}/build-{uuid.uuid4().hex[:12]}"
-    time = streamed_time_dim(spark, out_path)
-    time.write.mode("overwrite").parquet(f"{build}/time")
+
+    def put(df: DataFrame, name: str, *partition: str) -> None:
+        df.write.mode("overwrite").partitionBy(*partition).parquet(f"{build}/{name}")
+
+    put(streamed_time_dim(spark, out_path), "time")
     time = spark.read.parquet(f"{build}/time")
-    fact = streamed_fact(spark, out_path)
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    fact = join_dim(fact, year, "timeID", "left", time.count())
-    fact.write.mode("overwrite").partitionBy(PART_YEAR).parquet(f"{build}/fact")
-    tables = {"fact": spark.read.parquet(f"{build}/fact"), "time": time}
-    tables.update({n: spark.read.parquet(f"{locs[n]}/{n}")
-                   for n in ("product", "supplier", "store", "customer", "staging")})
-    metrics = load_metrics(tables)
-    # the dimensions stay in the warehouse build: record where each table lives
-    specs = {r["source"]: r["bucket_spec"]
-             for r in spark.read.parquet(f"{warehouse}/manifest").collect()
-             if "bucket_spec" in r.asDict()}                     # one row per table
-    spec = F.lit(None).cast("string")
-    if specs.get("product"):
-        spec = F.when(F.col("source") == "product", F.lit(specs["product"])).otherwise(spec)
-    (metrics.withColumn("build", F.lit(build))
-     .withColumn("location", F.when(F.col("source").isin("fact", "time"), F.lit(build))
-                 .otherwise(F.element_at(F.create_map(*[x for n, loc in locs.items()
-                                                        for x in (F.lit(n), F.lit(loc))]),
-                                         F.col("source"))))
-     .withColumn("bucket_spec", spec)
-     .coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest"))
+    write_fact(fact_totals(_fact_rows(*_sources(spark, out_path))), year, time.count(),
+               lambda df: put(df, "fact", PART_YEAR), lambda df: put(df, "fact_overflow"))
+    put(streamed_rejects(spark, out_path), "fact_rejects")
+    # the dimensions stay in the warehouse build: the manifest records where each table lives
+    specs = {r["source"]: r["bucket_spec"] for r in manifest_rows(spark, warehouse)
+             if r["bucket_spec"] and r["source"] in locs}
+    locs |= {n: build for n in ("fact", "time", "fact_rejects", "fact_overflow")}
+    _write_manifest(spark, path, build, locs, specs)
     return read_star(spark, path)
