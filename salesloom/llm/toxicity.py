@@ -15,7 +15,8 @@ or reported mentions count less, address of a person more.  A logistic fit over
 the sums of weights gives the score.
 
 At most ``MAX_TRAIN`` labelled rows (the smallest hashes of doc_id) and
-``MAX_TERMS`` entries are used.  Defined cases: null and empty texts have no hits
+``MAX_TERMS`` entries are used; every word of these rows' clean texts is tested as
+an exception.  Defined cases: null and empty texts have no hits
 and get the score of that; without both classes among the training labels the
 score is the smoothed share of toxic ones for every text; repeated rows and null
 ids are scored like any other.
@@ -199,9 +200,27 @@ def features_of(text: str, lexicon: Lexicon, seen: dict[str, tuple[float, float]
     return [math.log1p(mass), min(3.0, 100.0 * mass / (len(words) + 50)), math.log1p(quoted), math.log1p(fuzzy)]
 
 
-def learn_entries(sample: DataFrame) -> tuple[dict[str, tuple[float, bool]], list[str]]:
-    """Entries and the clean words, from (y, text) rows.  Words and stems are counted
-    by Spark, once per text."""
+def clean_variants(counted: DataFrame, entries: dict[str, tuple[float, bool]]) -> frozenset[str]:
+    """Of the words that clean texts use, those that match an entry with edits: all are
+    tested, in tasks, and only the matches are collected."""
+
+    def start():
+        draft = Lexicon(entries)
+
+        def work(batch: pa.RecordBatch) -> dict:
+            return {"word": [w for w in texts_of(batch, "word")
+                             if w not in entries and draft.hit(w)[1] not in (0.0, 1.0)]}
+
+        return work
+
+    # edits are for entries of 5 letters or more, so a match has 4 or more
+    used = counted.where(~F.col("stem") & (F.col("k") < F.col("n")) & (F.length("word") >= 4)).select("word")
+    return frozenset(r["word"] for r in map_chunks(used, "word", "word string", start).collect())
+
+
+def learn_entries(sample: DataFrame) -> tuple[dict[str, tuple[float, bool]], frozenset[str]]:
+    """Entries and exceptions, from (y, text) rows.  Words and stems are counted by
+    Spark, once per text."""
 
     def start():
         def work(batch: pa.RecordBatch) -> dict:
@@ -229,9 +248,7 @@ def learn_entries(sample: DataFrame) -> tuple[dict[str, tuple[float, bool]], lis
              if r["stem"] and r["k"] >= 4 * MIN_TOXIC and r["n"] - r["k"] <= 0.01 * r["k"]
              and sum(w.startswith(r["word"]) for w in words) >= 3}
     entries = {w: (o, False) for w, o in words.items()} | {s: (o, True) for s, o in stems.items()}
-    usual = [r["word"] for r in counted.where(~F.col("stem") & (F.col("k") < F.col("n")) & (F.length("word") >= 4))
-             .orderBy(F.desc(F.col("n") - F.col("k")), "word").limit(20 * MAX_TERMS).select("word").collect()]
-    return entries, usual
+    return entries, clean_variants(counted, entries)
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0):
@@ -241,9 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0
              .orderBy(F.xxhash64(F.col("doc_id")), "doc_id", "y").limit(MAX_TRAIN))
     sample = checkpointed(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
                           .join(F.broadcast(known), "doc_id").select("y", "text"))
-    entries, usual = learn_entries(sample)
-    draft = Lexicon(entries)
-    lexicon = (entries, frozenset(w for w in usual if w not in entries and draft.hit(w)[1] not in (0.0, 1.0)))
+    lexicon = learn_entries(sample)
     rows = _features(sample, lexicon, "y int").collect()         # MAX_TRAIN rows of five numbers
     rows.sort(key=tuple)
     y = np.array([r["y"] for r in rows], dtype=float)

@@ -59,3 +59,14 @@ def test_edges_and_held_out_ranking(spark):
     none = labels.limit(0)
     assert [r["score"] for r in T.score_documents(odd, none).collect()] == [0.5] * 3
     assert T.score_documents(odd.limit(0), labels).collect() == []
+
+
+def test_rare_clean_variants_are_exceptions(spark, monkeypatch):
+    monkeypatch.setattr(T, "MAX_TERMS", 1)
+    common = [f"{a}{b}{a}{b}" for a in "acdefhj" for b in "klmpqrs"]      # more than 20 commoner clean words
+    texts = [("grobnik", True)] * 5 + [(" ".join(common), False)] * 30 + [("grobnek", False), ("grubnik", False)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic boolean")
+    (entries, exceptions), *_ = T.train(docs, labels, folds=5, held_fold=5)
+    assert set(entries) == {"grobnik"} and exceptions == {"grobnek", "grubnik"}
+    assert T.Lexicon(entries, exceptions).hit("grobnek") == (0.0, 0.0)
