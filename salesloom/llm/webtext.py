@@ -9,8 +9,12 @@ features, trained on the labelled pages of ``LABELLED``, says which blocks are
 main text.
 
 Pages are read by one forward scan; markup that is cut off, unclosed or wrongly
-nested is closed where its parent closes.  Defined cases: null or empty html and
-pages without main text give an empty text; repeated pages give repeated rows;
+nested is closed where its parent closes.  Of skipped elements, those of raw text
+(script, style, title, textarea) run to their end tag, else to the page's end; the
+others are read as markup, so they close with their parent, and svg and math also
+at a tag of HTML.  A head ends at its end tag, at the body or at the first tag that
+cannot stand in it; text straight in a head is text.  Defined cases: null or empty
+html and pages without main text give an empty text; repeated pages give repeated rows;
 character references are decoded as browsers do (also without semicolon); text
 outside any element is a block.  Every row is independent: no shuffle, and memory
 is bounded by one page.
@@ -31,12 +35,20 @@ from salesloom.llm.trees import Node, fit_tree
 BLOCK_TAGS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu
 nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul button""".split())
-RAW_TAGS = frozenset(["script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas",
-                      "audio", "video", "textarea", "title", "head"])
+RAW_TAGS = frozenset(["script", "style", "textarea", "title"])                  # what they hold is no markup
+SKIPPED_TAGS = frozenset(["noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video"])
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+FOREIGN_TAGS = frozenset(["svg", "math"])
+# HTML may stand in these parts of svg and math; anywhere else the second list's tags end them.
+HTML_PARTS = frozenset(["foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"])
+HTML_ONLY = frozenset("""article aside b big blockquote body br center code dd div dl dt em embed footer h1 h2 h3 h4 h5 h6
+head header hr i img li listing main menu meta nav nobr ol p pre ruby s section small span strike strong sub sup table
+tt u ul var""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 AWAY_TAGS = frozenset(["nav", "aside", "footer", "form", "menu", "dialog", "select", "button", "fieldset"])
 MAIN_TAGS = frozenset(["article", "main"])
 LIST_TAGS = frozenset(["li", "td", "th", "dd", "dt", "option"])
+OPTIONAL_END = frozenset(["p", "li", "td", "th", "tr", "dt", "dd", "option"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # Names in class and id that mark parts beside the article.
 AWAY_NAMES = re.compile(
@@ -58,8 +70,8 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     """The page's text blocks with their features, in order."""
     found: list[tuple[str, float, list[float]]] = []
     stack: list[tuple[str, list[float]]] = []
-    # of the open elements: main, away, away_name, main_name, in_list, heading, page_header, in a link
-    state = [0.0] * 8
+    # of the open elements: main, away, away_name, main_name, in_list, heading, page_header, in a link, skipped
+    state = [0.0] * 9
     pieces: list[str] = []
     linked = 0
     block_state = state
@@ -82,14 +94,42 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
             if stack[i][0] in ("article", "main", "body", "table") and tag not in ("html", "body", "article", "main", "table"):
                 return                      # a stray end tag does not close what holds it
 
-    skip_to = 0
-    for m in TOKEN.finditer(page):
-        if m.start() < skip_to:
-            continue
+    def close_from(i: int) -> None:
+        nonlocal state
+        state = stack[i][1]
+        del stack[i:]
+
+    def foreign() -> int:
+        """Where the svg or math begins that the scan is straight in, else -1."""
+        at = -1
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in HTML_PARTS:
+                break
+            if stack[i][0] in FOREIGN_TAGS:
+                at = i
+        return at
+
+    ends: dict[str, tuple[int, int]] = {}
+
+    def end_tag(tag: str, at: int) -> tuple[int, int]:
+        """Where the next end tag of ``tag`` stands (kept, as ``at`` only grows), else the page's end."""
+        if ends.get(tag, (-1, 0))[0] < at:
+            m = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+            ends[tag] = m.span() if m else (len(page), len(page))
+        return ends[tag]
+
+    position = 0
+    while position < len(page):
+        m = TOKEN.match(page, position)
+        position = m.end()
         tag = m.group(2)
         if tag is None:
             text = m.group(0)
-            if text[0] != "<" or text == "<":
+            if state[8]:
+                if text.startswith("<![CDATA[") and foreign() >= 0:
+                    position = page.find("]]>", m.start()) + 3
+                    position = position if position > 2 else len(page)
+            elif text[0] != "<" or text == "<":
                 if not pieces or not "".join(pieces).strip():
                     block_state = state
                 pieces.append(text)
@@ -98,16 +138,42 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
             continue
         tag, attributes = tag.lower(), m.group(3) or ""
         if m.group(1):
-            if tag in BLOCK_TAGS:
-                end_block()
             close(tag)
+            if tag in BLOCK_TAGS and not state[8]:
+                end_block()
+            continue
+        alone = attributes.rstrip().endswith("/")
+        if tag == "body":
+            heads = [i for i, (t, _) in enumerate(stack) if t == "head"]
+            if heads:
+                close_from(heads[0])
+        elif tag not in HEAD_TAGS and stack:
+            if stack[-1][0] == "head":
+                close_from(len(stack) - 1)
+            elif [t for t, _ in stack[-2:]] == ["head", "noscript"] and end_tag("noscript", position)[0] == len(page):
+                close_from(len(stack) - 2)
+        if state[8]:
+            at = foreign() if tag in HTML_ONLY else -1
+            if at >= 0:
+                close_from(at)
+            elif tag in OPTIONAL_END and len(stack) > 1 and stack[-2][0] == tag \
+                    and stack[-1][0] in ("iframe", "canvas", "audio", "video"):
+                close_from(len(stack) - 1)          # and its parent below, whose end tag may be left out
+        if tag in RAW_TAGS and not (state[8] and foreign() >= 0):
+            if tag in BLOCK_TAGS and not state[8]:
+                end_block()
+            if not alone:
+                start, end = end_tag(tag, position)
+                out = end_tag("noscript", position)[0] if any(t == "noscript" for t, _ in stack) else len(page)
+                position = out if out < start else end
             continue
-        if tag in RAW_TAGS:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, m.end())
-            if not attributes.rstrip().endswith("/"):
-                skip_to = end.end() if end else len(page)
-            if tag in BLOCK_TAGS:
+        if state[8] or tag in SKIPPED_TAGS or tag == "head":
+            if tag == "head" and not state[8]:
                 end_block()
+            if tag not in VOID_TAGS and not alone:
+                stack.append((tag, state))
+                if tag in SKIPPED_TAGS:
+                    state = [*state[:8], 1.0]
             continue
         if tag == "br":
             pieces.append(" ")
@@ -118,9 +184,9 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                 while stack and stack[-1][0] in ("b", "i", "em", "strong", "span", "a", "u", "font", "small") \
                         and any(s[0] == "p" for s in stack):
                     state = stack.pop()[1]  # inline markup left open in an unclosed paragraph
-            if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
+            if tag in OPTIONAL_END and stack and stack[-1][0] == tag:
                 state = stack.pop()[1]      # its end tag may be left out
-        if tag in VOID_TAGS or attributes.rstrip().endswith("/"):
+        if tag in VOID_TAGS or alone:
             continue
         stack.append((tag, state))
         state = list(state)

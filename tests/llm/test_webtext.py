@@ -41,3 +41,33 @@ def test_given_pages(spark):
     want = {r["page_id"]: plain(r["html"]) for r in pages.collect()}
     for r in W.extract(pages).collect():
         assert r["text"] == want[r["page_id"]] and r["n_chars"] == len(r["text"])
+
+
+def test_skipped_elements_lose_no_text_behind_them():
+    tree = W.train_tree()
+    story = "It's said that the council voted on Tuesday to repair the old bridge before winter, after a long debate."
+    whole = f"<article><p>{story}</p></article>"
+
+    def same(page):
+        got = W.main_text(page, tree)
+        assert got == story, (page, got)
+
+    for head in ("<head><title>no</title><meta charset=utf-8>", "<head><script>no</script><noscript><link href=x>",
+                 "<head><noscript><img src=x></noscript><style>p{}</style>", "<HEAD><template><p>no"):
+        same(f"<html>{head}<body>{whole}")
+        same(f"<html>{head}</head>{whole}")
+    same(f"<head><title>no</title>{whole}")
+    same(f"<head><noscript><link href=x>{whole}")
+    same(f"<script>for(i=0;i<n;i++){{}} // don't</script>{whole}")
+    same(f"<script>x = '<!--'; y < z</script >{whole}<style>a<b 'x</style foo>")
+    for tag in ("noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video"):
+        same(f"<article><div><{tag} class=c>no <g>no</g></div><p>{story}</p></article>")
+        same(f"<article><p>{story} <{tag}>no <g>no</g><title>no</title></{tag}></article>")
+        same(f"<article><p>{story.replace('after', f'<{tag}><title>no</title><g>no</g></{tag}>after')}</p></article>")
+    for tag in ("svg", "math"):
+        same(f"<article><{tag}><g>no<title>no</title><![CDATA[ <p>no ]]><p>{story}</p></article>")
+        same(f"<article><{tag}><desc><p>no</p></desc></{tag}><p>{story}</p></article>")
+    same(f"<article><p><video src=x><p>{story}</article>")
+    same(f"<article><noscript><style>p{{}}</noscript><p>{story}</p></article>")
+    for tag in ("script", "style", "textarea", "title"):
+        same(f"{whole}<{tag}>no <p>{story}</p>")
