@@ -3,7 +3,7 @@
 ``dim_product``/``dim_supplier``/``dim_store`` are the three
 ``INSERT ... SELECT DISTINCT ... WHERE id IS NOT NULL`` loads; of rows that share
 an id the smallest is kept (the product lookup's rule), so a repeated id never
-multiplies the fact rows that join it.  The time
+multiplies the fact rows that join it; :func:`dim_rejects` are the other rows.  The time
 dimension takes, per timeID, the first row (by arrival) whose timestamp
 parses, and a merge keeps rows already stored (insert-if-absent).
 """
@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from salesloom.schemas import TIME_COLUMNS
 from salesloom.sources.transactions import time_rows
 
+DIM_COLUMNS = {"product": ["productID", "productName", "productPrice"],
+               "supplier": ["supplierID", "supplierName"], "store": ["storeID", "storeName"]}
+NULL_KEY, REPEATED_KEY = "null_key", "repeated_key"
+
 
 def _distinct_where(staging: DataFrame, key: str, cols: list[str]) -> DataFrame:
     rest = [c for c in cols if c != key]
@@ -28,16 +32,34 @@ def one_per_key(rows: DataFrame, key: str) -> DataFrame:
     return _distinct_where(rows, key, rows.columns)
 
 
+def dim_candidates(staging: DataFrame, dim: str) -> DataFrame:
+    """The distinct rows of staging that ``dim`` is reduced from, without key as well."""
+    return staging.select(*DIM_COLUMNS[dim]).distinct()
+
+
+def dim_rejects(rows: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """The rows that :func:`one_per_key` leaves out, one by one, with ``reject_reason``:
+    those without key and, of each key, all but one copy of the row in ``kept``."""
+    one = F.struct(*[c for c in rows.columns if c != key])
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    out = (counted.join(kept.select(key, one.alias("_kept")), key, "left")     # a null key has no match
+           .withColumn("_copies", F.col("_copies") - F.col("_kept").eqNullSafe(one).cast("bigint"))
+           .where(F.col("_copies") > 0)
+           .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))))
+    reason = F.when(F.col(key).isNull(), NULL_KEY).otherwise(REPEATED_KEY)
+    return out.select(reason.alias("reject_reason"), *rows.columns)
+
+
 def dim_product(staging: DataFrame) -> DataFrame:
-    return _distinct_where(staging, "productID", ["productID", "productName", "productPrice"])
+    return _distinct_where(staging, "productID", DIM_COLUMNS["product"])
 
 
 def dim_supplier(staging: DataFrame) -> DataFrame:
-    return _distinct_where(staging, "supplierID", ["supplierID", "supplierName"])
+    return _distinct_where(staging, "supplierID", DIM_COLUMNS["supplier"])
 
 
 def dim_store(staging: DataFrame) -> DataFrame:
-    return _distinct_where(staging, "storeID", ["storeID", "storeName"])
+    return _distinct_where(staging, "storeID", DIM_COLUMNS["store"])
 
 
 def dim_time(candidates: DataFrame) -> DataFrame:

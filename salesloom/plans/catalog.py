@@ -17,7 +17,7 @@ from salesloom.operators.enrich import accepted_facts, enrich_transactions, fact
 from salesloom.operators.fact import FACT_KEY, collapse_fact
 from salesloom.operators.quality import fk_violations, key_violations, load_metrics
 from salesloom.plans import queries as Q
-from salesloom.plans.star import load_warehouse, warehouse_path
+from salesloom.plans.star import load_warehouse, unreduced, warehouse_path
 from salesloom.session import shared_dir
 from salesloom.sources.tables import (customers_from_tables, event_transaction_lines,
                                       product_staging_from_tables, transaction_lines,
@@ -138,9 +138,8 @@ def q_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load_warehouse(spark, sf_dir)
-    checks = [(s.product, "productID"), (s.product, "productName"), (s.supplier, "supplierID"),
-              (s.supplier, "supplierName"), (s.store, "storeID"), (s.store, "storeName"),
-              (s.customer, "customerID"), (s.customer, "customerName"), (s.time, "timeID")]
+    checks = [(unreduced(s, d), f"{d}{k}") for d in ("product", "supplier", "store", "customer") for k in ("ID", "Name")]
+    checks.append((s.time, "timeID"))
     parts = [key_violations(d, [k]).select(F.lit(k).alias("key"),
                                            F.col(k).cast("string").alias("value"), "rows")
              for d, k in checks]

@@ -26,8 +26,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.operators.dims import (dim_product, dim_store, dim_supplier, dim_time, one_per_key,
-                                     merge_time_dim)
+from salesloom.operators.dims import (DIM_COLUMNS, NULL_KEY, REPEATED_KEY, dim_candidates, dim_product,
+                                     dim_rejects, dim_store, dim_supplier, dim_time, merge_time_dim,
+                                     one_per_key)
 from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_transactions,
                                        enrich_with_masters, fact_rejects, product_master)
 from salesloom.operators.fact import (FACT_KEY, collapse_fact, fact_totals, fitting, overflowed_keys,
@@ -43,6 +44,7 @@ from salesloom.sources.transactions import parse_transactions, read_transaction_
 PART_YEAR = "part_year"
 DIMS = ("time", "product", "supplier", "store", "customer", "staging")
 LOOKUPS = ("product_master", "customer_keys")
+DIM_REJECTS = tuple(f"{d}_rejects" for d in (*DIM_COLUMNS, "customer"))
 # Opt-in: with the session setting salesloom.factBuckets = N, the fact and the
 # product dimension are bucketed on this key into N buckets, so product-level
 # queries join and aggregate without shuffling the fact.  Off by default: a
@@ -78,6 +80,15 @@ class Star:
         return self.fact.drop(PART_YEAR) if PART_YEAR in self.fact.columns else self.fact
 
 
+def unreduced(star: Star, dim: str) -> DataFrame:
+    """The rows that a written dimension was reduced to one per key from (of the
+    staging's dimensions those with a key, as their loads take no others)."""
+    rows = getattr(star, dim)
+    reasons = [REPEATED_KEY] if dim in DIM_COLUMNS else [REPEATED_KEY, NULL_KEY]
+    left_out = star.extra[f"{dim}_rejects"].where(F.col("reject_reason").isin(reasons))
+    return rows.unionByName(left_out.select(*rows.columns))
+
+
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
     """The whole warehouse load as lazy DataFrames over the provided tables
     (no writes; for small inputs and tests).  See :func:`write_warehouse`."""
@@ -216,7 +227,8 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     rejected are kept in the ledger with their reason).
 
     Order: product staging; product/supplier/store/customer dimensions from
-    the written staging; product master and customer keys; every
+    the written staging, and the rows they leave out as ``<dim>_rejects``
+    (with an ``extra`` table of that name); product master and customer keys; every
     transaction enriched once into ``ledger`` (accepted rows and rejects
     together); then time dimension, fact and rejects from the written
     ledger.  Each step reads what the previous one wrote, so nothing is
@@ -243,6 +255,11 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
             "supplier": put(dim_supplier(staging), "supplier"),
             "store": put(dim_store(staging), "store"),
             "customer": put(one_per_key(customers_in, "customerID"), "customer")}
+    extra = dict(extra or {})
+    for n, dim in dims.items():
+        read = dim_candidates(staging, n) if n in DIM_COLUMNS else customers_in
+        left_out, name = dim_rejects(read, dim, f"{n}ID"), f"{n}_rejects"
+        put(extra.pop(name).unionByName(left_out, allowMissingColumns=True) if name in extra else left_out, name)
     rows = {n: d.count() for n, d in dims.items()}   # Parquet footers: a cheap count
     master = put(product_master(staging, dims["supplier"], dims["store"], rows), "product_master")
     ckeys = put(customer_keys(dims["customer"]), "customer_keys")
@@ -252,10 +269,10 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     write_fact(fact_totals(accepted_facts(ledger)), year, time.count(),
                lambda df: put_bucketed(df, "fact", partition=PART_YEAR), lambda df: put(df, "fact_overflow"))
     put(fact_rejects(ledger), "fact_rejects")
-    for name, df in (extra or {}).items():
+    for name, df in extra.items():
         put(df, name)
     names = ("fact", "time", "product", "supplier", "store", "customer", "staging",
-             "fact_rejects", "fact_overflow", "product_master", "customer_keys", *(extra or {}))
+             "fact_rejects", "fact_overflow", "product_master", "customer_keys", *DIM_REJECTS, *extra)
     _write_manifest(spark, path, build, {n: build for n in names},
                     {n: f"{BUCKET_KEY}:{buckets}" for n in BUCKETED} if buckets else {})
 
@@ -271,7 +288,8 @@ def load_files_warehouse(spark: SparkSession, customers_csv: str, products_csv:
                          transactions_path: str, path: str) -> Star:
     """The file-based load: seed CSVs for customers and products, and a
     transaction text file (or folder).  CSV rows that do not type are kept
-    in ``customer_rejects`` / ``product_rejects``; transaction lines that do
+    in ``customer_rejects`` / ``product_rejects``, beside the rows that the
+    dimensions leave out; transaction lines that do
     not parse or match are in ``fact_rejects`` with their reason."""
     customers = land(read_customers(spark, customers_csv), f"{path}/landing/customers")
     products = land(read_products(spark, products_csv), f"{path}/landing/products")
