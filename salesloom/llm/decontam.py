@@ -1,8 +1,9 @@
 """Benchmark decontamination: a BM25 index of test items, block-max WAND, verification.
 
-Test items are indexed in shards of at most ``SHARD`` items (the driver reads them
-one shard at a time and broadcasts the shard's index, so what is broadcast is
-bounded).  Term weights are BM25 impacts divided by the item's own full score, so a
+Test items are indexed in shards of at most ``SHARD`` items and ``SHARD_BYTES`` letters
+of text, or one longer item (the driver reads and indexes them one shard at a time and
+broadcasts the shard's index).  Document frequencies, the mean length and the longest
+item are those of all items, so results do not depend on the shards.  Term weights are BM25 impacts divided by the item's own full score, so a
 passage's score is the share of an item's weight that it holds and one threshold
 suits all items.  Every document is cut into passages of twice the longest item's
 words, overlapping by half, so any stretch as long as an item lies in one passage.
@@ -26,15 +27,17 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import chunks, texts_of
+from salesloom.llm.common import checkpointed, chunks, map_chunks, texts_of
 
 SHARD = 20_000
+SHARD_BYTES = 64 << 20
 BLOCK = 64
 THRESHOLD = 0.5
 VERIFY = 0.8
@@ -78,25 +81,50 @@ def sums(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[first], (np.add.reduceat(value, first) if len(key) else value)
 
 
+class Common:
+    """What a shard's index takes from all items: their number, mean length, longest
+    length, and in how many of them a word stands (asked for a shard's words at once)."""
+
+    def __init__(self, items: DataFrame):
+        def sizes():
+            return lambda batch: {"size": [len(words_of(t)) for t in texts_of(batch, "text")]}
+
+        def words():
+            return lambda batch: {"word": [w for t in texts_of(batch, "text") for w in set(words_of(t))]}
+
+        texts = items.select("text")
+        size = map_chunks(texts, "text", "size bigint", sizes)
+        self.n, self.mean, self.longest = size.agg(F.count("*"), F.avg("size"), F.max("size")).first()
+        self.counted = checkpointed(map_chunks(texts, "text", "word string", words).groupBy("word").agg(F.count("*").alias("n")))
+
+    def frequencies(self, words: list[str]) -> np.ndarray:
+        asked = self.counted.sparkSession.createDataFrame(pa.table({"word": pa.array(words, pa.string())}))
+        found = {r["word"]: r["n"] for r in self.counted.join(asked, "word", "left_semi").collect()}
+        return np.array([found[w] for w in words], dtype=np.int64)
+
+
 class Index:
-    """BM25 impacts of one shard of items, with their maxima by term and block."""
+    """BM25 impacts of one shard of items, with their maxima by term and block.  Without
+    ``common`` the shard holds all items."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], common: Common | None = None):
         self.ids = [i for i, _ in items]
         words = [words_of(t or "") for _, t in items]
         self.words = words
         parts = [question_and_answer(t or "") for _, t in items]
         self.question = [words_of(q) for q, _ in parts]
         self.answer = [words_of(a) for _, a in parts]
-        self.longest = max([1, *map(len, words)])
+        self.longest = max([1, *map(len, words), common.longest if common else 0])
         bags = [Counter(w) for w in words]
         self.term: dict[str, int] = {}
         rows = [(self.term.setdefault(w, len(self.term)), i, n) for i, bag in enumerate(bags) for w, n in bag.items()]
         term, item, count = (np.array(c, dtype=np.int64) for c in zip(*rows, strict=True)) if rows else [np.empty(0, np.int64)] * 3
-        df = np.bincount(term, minlength=len(self.term))
+        df = common.frequencies(list(self.term)) if common else np.bincount(term, minlength=len(self.term))
+        n_items = common.n if common else len(items)
         size = np.array([len(w) for w in words], dtype=float)
-        norm = K1 * (1 - B + B * size / max(size.mean() if len(size) else 1.0, 1.0))
-        impact = np.log(1 + (len(items) - df[term] + 0.5) / (df[term] + 0.5)) * count * (K1 + 1) / (count + norm[item])
+        mean = common.mean if common else size.mean() if len(size) else 1.0
+        norm = K1 * (1 - B + B * size / max(mean, 1.0))
+        impact = np.log(1 + (n_items - df[term] + 0.5) / (df[term] + 0.5)) * count * (K1 + 1) / (count + norm[item])
         own = np.bincount(item, impact, minlength=len(items))
         order = np.lexsort((item, term))
         self.item, term = item[order], term[order]
@@ -172,15 +200,26 @@ class Index:
         return best
 
 
-def shards(items: DataFrame) -> Iterator[Index]:
+def parts_of(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
     held: list[tuple[object, str]] = []
+    letters = 0
     for r in items.select("item_id", "text").toLocalIterator():
+        size = len(r["text"] or "")
+        if held and (len(held) >= SHARD or letters + size > SHARD_BYTES):
+            yield held
+            held, letters = [], 0
         held.append((r["item_id"], r["text"]))
-        if len(held) == SHARD:
-            yield Index(held)
-            held = []
+        letters += size
     if held:
-        yield Index(held)
+        yield held
+
+
+def shards(items: DataFrame) -> Iterator[Index]:
+    parts = parts_of(items)
+    first = [p for p in (next(parts, None), next(parts, None)) if p]
+    common = Common(items) if len(first) > 1 else None
+    for part in chain(first, parts):
+        yield Index(part, common)
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

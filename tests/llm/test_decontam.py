@@ -69,3 +69,22 @@ def test_shards_do_not_lose_items(spark, monkeypatch):
     assert all(D.share(D.shingles(D.words_of(items[i])), D.shingles(D.words_of(texts_[d]))) >= 0.7 for d, i in whole)
     monkeypatch.setattr(D, "SHARD", 7)
     assert {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()} >= exact
+
+
+@pytest.mark.parametrize("limit", [("SHARD", 7), ("SHARD_BYTES", 500)])
+def test_shards_share_their_statistics(spark, monkeypatch, limit):
+    items = [(i, t) for i, t in enumerate([*texts(5, 18, 30), "", None, *texts(6, 2, 80)])]
+    docs = spark.createDataFrame([(i, f"{a} {t} {b}") for i, (a, (_, t), b) in enumerate(zip(texts(7, 22, 99), items, texts(8, 22, 99), strict=True))],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+
+    def found():
+        return sorted(tuple(r) for r in D.contaminated(docs, bench).collect())
+
+    whole = found()
+    assert len(whole) >= 20
+    monkeypatch.setattr(D, *limit, raising=False)
+    assert len(list(D.shards(bench))) > 2
+    got = found()
+    assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in whole]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in whole])
