@@ -72,8 +72,8 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
 
 
 def map_chunks(df: DataFrame, column: str, schema: str,
-               start: Callable[[], Callable[[pa.RecordBatch], dict[str, Any]]]) -> DataFrame:
-    """``mapInArrow`` over bounded slices.  ``start`` runs once per task and returns
+               start: Callable[[], Callable[[pa.RecordBatch], dict[str, Any]]], limit: int = CHUNK_BYTES) -> DataFrame:
+    """``mapInArrow`` over slices of about ``limit`` bytes.  ``start`` runs once per task and returns
     the function that turns a slice into output columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -83,7 +83,7 @@ def map_chunks(df: DataFrame, column: str, schema: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            for part in chunks(batch, column):
+            for part in chunks(batch, column, limit):
                 out = work(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array)
