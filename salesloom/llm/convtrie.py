@@ -352,3 +352,38 @@ def rebuilt_trie(conversations: DataFrame) -> DataFrame:
     both = lists.withColumn("block", F.col("conv_id") - F.col("conv_id") % BLOCK).join(firsts, "block", "left")
     turns = F.concat(F.slice(F.coalesce("firsts", none), F.lit(1), h), F.slice("turns", h + 1, F.size("turns")))
     return trie_nodes(written(sequences_of(both, turns)))
+
+
+#: The rows of ``rebuilt_trie`` from all prefixes and all their ancestors, for small tables.
+ALL_PREFIXES = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(text, '') AS said,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS id
+  FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+  SELECT conv_id, list({'id': id, 'chars': length(said)} ORDER BY turn NULLS FIRST, id) AS turns,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 6 AS h
+  FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS turns
+  FROM lists a LEFT JOIN lists b ON b.conv_id = a.conv_id - a.conv_id % 100),
+paths AS (
+  SELECT conv_id, list_transform(turns, lambda t: t.id) AS ids, list_transform(turns, lambda t: t.chars) AS chars FROM rebuilt),
+nodes AS (
+  SELECT ids[1:d] AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars[d]) AS chars,
+         sha256(coalesce(string_agg(CASE WHEN len(ids) = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM paths, unnest(range(0, len(ids) + 1)) AS u(d) GROUP BY path, depth),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+marked AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * chars ELSE 0 END AS own
+  FROM nodes LEFT JOIN kids USING (path)),
+sums AS (
+  SELECT path[1:a] AS path, sum((n_children = 0)::INT) AS n_leaves, sum(own) AS saved_tokens
+  FROM marked, unnest(range(0, depth + 1)) AS u(a) GROUP BY 1)
+SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, m.ends_sha256
+FROM marked m JOIN sums s ON s.path = m.path LEFT JOIN nodes p ON m.depth > 0 AND p.path = m.path[1:m.depth - 1]
+"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe, decontam, fingerprint, neardup, quality, suffix, tokenfiles, toxicity, urls, webtext
+from salesloom.llm import (
+    bpe, convtrie, decontam, fingerprint, neardup, quality, runs, suffix, tokenfiles, topk, toxicity, urls, webtext,
+)
 from salesloom.llm.common import table
 
 
@@ -48,6 +50,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_repeated_strings, op4_html_text, op5_decontamination, op6_bpe,
-                                  op7_toxicity, op8_token_counts, op9_near_duplicates, op10_fingerprints)}
-ORACLE: dict[str, str] = {}
+                                  op7_toxicity, op8_token_counts, op9_near_duplicates, op10_fingerprints, op11_exact_topk,
+                                  op12_periodic_runs, op13_conversation_trie)}
+ORACLE: dict[str, str] = {"op11_exact_topk": topk.ALL_PAIRS, "op13_conversation_trie": convtrie.ALL_PREFIXES}

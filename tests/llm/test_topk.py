@@ -1,0 +1,89 @@
+"""Exact top-k search against all pairs."""
+
+import math
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+from salesloom.llm import topk as T
+from tests.conftest import SF_SMALL
+
+
+def plain(rows, k=5):
+    whole = [(i, [max(-T.LARGEST, min(T.LARGEST, math.floor(256 * x))) for x in v]) for i, v in rows
+             if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, v) in enumerate(whole):
+        if i is not None and i % 50 == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, u, strict=False)), j is None, j or 0) for b, (j, u) in enumerate(whole) if b != a)
+            out += [(i, n + 1, None if null else j, -s) for n, (s, null, j) in enumerate(best[:k])]
+    return sorted(out, key=str)
+
+
+def searched(spark, rows, **kw):
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id bigint, embedding array<double>, score int, list int")
+    return sorted(map(tuple, T.nearest(table, **kw).collect()), key=str)
+
+
+def odd_rows(n, d, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        v = [rng.choice([rng.gauss(0, 1), float(rng.randint(-2, 2))]) for _ in range(d)]
+        kind = rng.random()
+        if kind < 0.1:
+            v = v[:rng.randrange(d)]
+        elif kind < 0.13:
+            v = None
+        elif kind < 0.16:
+            v = [*v, rng.choice([None, math.nan, math.inf, -math.inf])]
+        elif kind < 0.19:
+            v = [rng.choice([1000.0, 1e9, -1e300])] * d
+        rows.append((rng.choice([i, None, 0, 50, -50, i * 50]), v))
+    return rows + rows[:7]
+
+
+@pytest.mark.parametrize("n, d, block, lists, heads", [(60, 7, 7, 2, None), (400, 16, 50, 2, 5), (150, 3, 16, 4, 6)])
+def test_odd_vectors_in_small_blocks(spark, monkeypatch, n, d, block, lists, heads):
+    monkeypatch.setattr(T, "BLOCK_ROWS", block)
+    monkeypatch.setattr(T, "GROUP_QUERIES", 3)
+    rows = odd_rows(n, d, n)
+    assert searched(spark, rows, lists=lists, heads=heads) == plain(rows)
+
+
+def test_tiny_tables(spark):
+    assert searched(spark, []) == []
+    assert searched(spark, [(0, [1.0])]) == []
+    rows = [(0, [1.0, 2.0]), (50, [1.0, 2.0]), (3, []), (4, [])]
+    assert searched(spark, rows) == plain(rows)
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rows = [(i, [1.0, 1.0]) for i in range(120)]
+    assert searched(spark, rows) == plain(rows)
+
+
+def test_products_are_whole_beyond_doubles():
+    a = np.array([[T.LARGEST, T.LARGEST - 1] * 200], dtype=np.int64)
+    assert T.products(a, a)[0, 0] == sum(int(x) ** 2 for x in a[0])
+
+
+def test_cutoff_leaves_most_entries_out(spark):
+    """Phase two collects far fewer entries than there are scores."""
+    table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").selectExpr("vec_id", "embedding AS vector")
+    search = T.Search(table, 50, 256.0, 2)
+    everything = search.entries(cutoffs=spark.createDataFrame([], "grp int, q_block bigint, q_at int, cutoff bigint")).count()
+    n = table.count()
+    assert everything == 2 * len(range(0, n, 50)) * (n - 1)
+    bound = T._kth(T._totals(search, T._added(search.entries(20), 2)), 5, "bound")
+    assert search.entries(cutoffs=bound.withColumn("cutoff", T._ceil_div(bound["bound"], 2))).count() < everything / 5
+
+
+def test_whole_table_against_sql(spark):
+    path = f"{SF_SMALL}/embeddings.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}')")
+    got = sorted(map(tuple, T.nearest(spark.read.parquet(path)).collect()))
+    assert got == sorted(con.execute(T.ALL_PAIRS).fetchall())
