@@ -8,8 +8,9 @@ bench) gets a private scratch folder when the setting is absent.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,3 +63,11 @@ def shared_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(d)
     _local_scratch[app] = d
     return d
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written below the shared folder and read back: several jobs read it, and a
+    lost executor never makes them repeat what led to it."""
+    path = f"{shared_dir(df.sparkSession)}/work/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,10 +4,10 @@ from salesloom.operators.dims import dim_product, dim_store, dim_supplier
 from salesloom.sources.seeds import accepted, csv_rejects, land, read_customers, read_products
 
 PRODUCTS = '''productID,productName,productPrice,supplierID,supplierName,storeID,storeName
-24,Echo Dot,49.99,12,"Amazon.com, Inc.",3,Store C
-49,Streaming Stick,29.99,22,"Roku, Inc.",3,Store C
-55,Tomatoes,3.50,35,Pakistan,51,Pakistan
-56,Basil,not-a-price,35,Pakistan,51,Pakistan
+810,Oak Ladle,18.40,61,"Birch, Sons & Co.",5,Harbour
+811,Copper Pan,31.25,62,"Tidewater, Ltd.",5,Harbour
+812,Walnuts,2.75,63,Hillside,77,Hillside
+813,Thyme,not-a-price,63,Hillside,77,Hillside
 '''
 
 
@@ -18,14 +18,14 @@ def test_products_csv_quoted_commas_and_three_dims(spark, tmp_dir):
     raw = land(read_products(spark, p), f"{tmp_dir}/landed")
     good = accepted(raw)
     names = sorted(r.supplierName for r in good.collect())
-    assert names == ["Amazon.com, Inc.", "Pakistan", "Roku, Inc."]
+    assert names == ["Birch, Sons & Co.", "Hillside", "Tidewater, Ltd."]
     assert csv_rejects(raw).count() == 1
     assert dim_product(good).count() == 3
     assert sorted(tuple(r) for r in dim_supplier(good).collect()) == [
-        (12, "Amazon.com, Inc."), (22, "Roku, Inc."), (35, "Pakistan")]
-    assert sorted(tuple(r) for r in dim_store(good).collect()) == [(3, "Store C"), (51, "Pakistan")]
+        (61, "Birch, Sons & Co."), (62, "Tidewater, Ltd."), (63, "Hillside")]
+    assert sorted(tuple(r) for r in dim_store(good).collect()) == [(5, "Harbour"), (77, "Hillside")]
     price = {r.productID: r.productPrice for r in good.collect()}
-    assert price[55] == Decimal("3.50")
+    assert price[812] == Decimal("2.75")
 
 
 def test_customers_csv(spark, tmp_dir):
