@@ -11,7 +11,8 @@ words, overlapping by half, so any stretch as long as an item lies in one passag
 Every passage is a query.  Block-max WAND is done for a whole batch of passages at
 once: a passage is dropped if its terms' largest impacts cannot reach the threshold
 together; then blocks of ``BLOCK`` items are dropped by the terms' largest impacts
-in the block; the blocks left are scored in full.  No passage or item that reaches
+in the block; the blocks left are scored in full.  Passages are taken in slices of about
+``EXPANDED`` postings, which bounds a task's memory.  No passage or item that reaches
 the threshold is lost.  Each retrieved item is verified against the passage's words:
 either ``VERIFY`` of its ``WORDS``-word shingles are there, or that share of the
 question's shingles and of the answer's words.  The answer is an item's last line, or
@@ -39,6 +40,8 @@ from salesloom.llm.common import checkpointed, chunks, map_chunks, texts_of
 SHARD = 20_000
 SHARD_BYTES = 64 << 20
 BLOCK = 64
+SLICE_BYTES = 1 << 20     # text cut into passages at once
+EXPANDED = 1 << 18        # postings of some passages looked at at once
 THRESHOLD = 0.5
 VERIFY = 0.8
 WORDS = 5
@@ -81,6 +84,19 @@ def sums(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[first], (np.add.reduceat(value, first) if len(key) else value)
 
 
+def slices(passage: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Cuts rows, sorted by passage, between passages, so that the ranges of a slice have about
+    ``EXPANDED`` positions, or are those of one passage."""
+    if not len(passage):
+        return
+    first = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+    total = np.add.reduceat(sizes, first)
+    part = (np.cumsum(total) - total) // EXPANDED
+    cut = first[np.flatnonzero(np.r_[True, part[1:] != part[:-1]])]
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(passage)], strict=True):
+        yield slice(a, b)
+
+
 class Common:
     """What a shard's index takes from all items: their number, mean length, longest
     length, and in how many of them a word stands (asked for a shard's words at once)."""
@@ -166,17 +182,22 @@ class Index:
         bound = np.bincount(passage, self.term_max[term], minlength=n)
         alive = bound[passage] >= least                 # by the terms' maxima
         passage, term = passage[alive], term[alive]
-        row, entry = expand(self.term_start[term], self.term_end[term])
         n_blocks = len(self.ids) // BLOCK + 1
-        key = passage[row] * n_blocks + self.entry_block[entry]
-        found, bound = sums(key, self.entry_max[entry])
-        alive = np.isin(key, found[bound >= least])     # by the blocks' maxima
-        row, entry = row[alive], entry[alive]
-        each, at = expand(self.entry_start[entry], self.entry_end[entry])
-        key, score = sums(passage[row][each] * len(self.ids) + self.item[at], self.impact[at])
-        ok = score >= least
-        where, item = key[ok] // max(1, len(self.ids)), key[ok] % max(1, len(self.ids))
-        return list(zip(doc[where].tolist(), first[where].tolist(), item.tolist(), score[ok].tolist(), strict=True))
+        out = []
+        for some in slices(passage, self.term_end[term] - self.term_start[term]):
+            row, entry = expand(self.term_start[term[some]], self.term_end[term[some]])
+            own = passage[some][row]
+            key = own * n_blocks + self.entry_block[entry]
+            found, bound = sums(key, self.entry_max[entry])
+            alive = np.isin(key, found[bound >= least])     # by the blocks' maxima
+            own, entry = own[alive], entry[alive]
+            for part in slices(own, self.entry_end[entry] - self.entry_start[entry]):
+                each, at = expand(self.entry_start[entry[part]], self.entry_end[entry[part]])
+                key, score = sums(own[part][each] * len(self.ids) + self.item[at], self.impact[at])
+                ok = score >= least
+                where, item = key[ok] // len(self.ids), key[ok] % len(self.ids)
+                out += zip(doc[where].tolist(), first[where].tolist(), item.tolist(), score[ok].tolist(), strict=True)
+        return out
 
     def verify(self, words: list[str], first: int, item: int) -> tuple[float, float, float] | None:
         """(overlap, question overlap, answer overlap) if the passage holds the item."""
@@ -235,7 +256,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, item_type=item_type) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in chunks(batch, "text"):
+                for part in chunks(batch, "text", SLICE_BYTES):
                     found = sorted(shared.value.search(texts_of(part, "text")).items())
                     if found:
                         values = [v for _, v in found]
@@ -260,7 +281,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in chunks(batch, "text"):
+                for part in chunks(batch, "text", SLICE_BYTES):
                     held = {doc for doc, _ in shared.value.search(texts_of(part, "text"))}
                     yield part.filter(pa.array([i not in held for i in range(part.num_rows)]))
 
