@@ -40,11 +40,23 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a compressed table in the shared folder, read back: for wide data of
-    which later steps read few columns.  The table stays there; remove the ``llm``
-    folder when its results are no longer read."""
+    which later steps read few columns.  The table stays there until ``forget`` is given it."""
     path = f"{shared_dir(df.sparkSession)}/llm/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes what ``written`` wrote for ``tables``, once all that was made from them is
+    written itself."""
+    for table in tables:
+        path = table.__dict__.pop("_folder", None)
+        if path:
+            spark = table.sparkSession
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import written
+from salesloom.llm.common import forget, written
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -32,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours hang on the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        stars = written(large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                                                    F.col("m").alias("v")))
+        before, stars = stars, written(large.join(low, "u").select(
+            F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")))
+        forget(before)
     return stars.distinct()

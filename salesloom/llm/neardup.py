@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import hash_bytes, map_chunks, mix64, texts_of, written
+from salesloom.llm.common import forget, hash_bytes, map_chunks, mix64, texts_of, written
 from salesloom.llm.graph import components
 
 BASE, RATE, TOP = 1.02, 20.0, 4095
@@ -325,15 +325,19 @@ def cross_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rul
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    rows = written(sketch_table(docs, rule))
-    full = rows.where(F.col("node").isNotNull())
+    sketched = written(sketch_table(docs, rule))
+    rows = written(sketched.select("doc_id", "n", "node"))
+    full = sketched.where(F.col("node").isNotNull())
     banded = full.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
     shared = (banded.groupBy("band").agg(F.count("*").alias("size"), pivot(0, "node")).where("size > 1")
               .select("band", "size", F.col("p.node").alias("a")))
     buckets = written(banded.join(shared, "band").select("band", "node", "size", "a"))
     nodes = written(full.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node")
                          .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
+    forget(sketched)
+    steps = [buckets, nodes]                  # tables that go when the components are known
     sets = written(node_sets(docs, nodes.where(F.col("doc_id").isNotNull()).select("node", "doc_id"), rule))
+    steps.append(sets)
     links = None
     members = buckets.select("node", F.col("node").alias("root"), "a", F.col("a").alias("pivot_root"),
                              (F.col("size") == 2).alias("only"))
@@ -345,6 +349,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
                   .agg(F.max(F.struct("likeness", "a")).alias("p"), F.collect_set(F.when(F.col("only"), F.col("a"))).alias("only"))
                   .select("b", F.explode(F.array_union(F.array("p.a"), "only")).alias("a")))
         found = written(verified(likely, sets, rule))
+        steps += [members, found]
         links = found if links is None else links.unionByName(found)
         last = turn == ROUNDS - 1
         stars = components(links) if last else climbed(found)
@@ -355,8 +360,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
         mixed = (labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), pivot(turn + 1))
                  .where("low != high").select("band", F.col("p.node").alias("a"), F.col("p.root").alias("pivot_root")))
         members = written(labelled.join(mixed, "band").select("node", "root", "a", "pivot_root", F.lit(False).alias("only")))
-    stars = components(stars.unionByName(cross_links(members, nodes, sets, rule)))
-    owners = full.groupBy("node").agg(F.min("doc_id").alias("low"))
+    stars = written(components(stars.unionByName(cross_links(members, nodes, sets, rule))))
+    forget(members, *steps)
+    owners = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = (owners.join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))

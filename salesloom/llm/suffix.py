@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from salesloom.llm.common import checkpointed, fresh, map_chunks, mix64, texts_of, written
+from salesloom.llm.common import forget, fresh, map_chunks, mix64, texts_of, written
 
 MINIMUM = 400
 GRAM = 128
@@ -226,7 +226,18 @@ def text_table(docs: DataFrame, minimum: int) -> DataFrame:
 def fetched(docs: DataFrame, owners: DataFrame) -> DataFrame:
     """``owners`` (key, owner, ...) with the ``text`` of each key, read from its owner."""
     text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return owners.join(text, owners["owner"].eqNullSafe(text["doc_id"])).drop("owner", "doc_id")
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            keys = [xxhash.xxh3_128_digest(t.encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=["owned", "text", "of"])
+
+    text = text.mapInArrow(keyed, f"owned {kind}, text string, of binary")
+    return (owners.join(text, (F.col("key") == F.col("of")) & F.col("owner").eqNullSafe(F.col("owned")))
+            .drop("owner", "owned", "of"))
 
 
 def segment_rows(docs: DataFrame, needed: DataFrame, minimum: int) -> DataFrame:
@@ -317,41 +328,43 @@ def _twice(rows: DataFrame, name: str) -> DataFrame:
     return (rows.groupBy(name).agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select(name))
 
 
-def hot_repeats(rows: DataFrame, minimum: int) -> DataFrame:
-    """(key, lo, hi) of repeats of anchors with very many differing segments."""
+def hot_repeats(rows: DataFrame, minimum: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, lo, hi) of repeats of anchors with very many differing segments, and the
+    tables that it is made from."""
     segments = rows.where("hot").select("key", "place", "at", "bytes")
-    groups = checkpointed(stretch_hashes(segments, minimum, False))
+    groups = written(stretch_hashes(segments, minimum, False))
     shared = groups.join(_twice(groups, "core"), "core", "left_semi")
-    shared = checkpointed(shared.join(_twice(shared, "whole").withColumn("same", F.lit(True)), "whole", "left"))
+    shared = written(shared.join(_twice(shared, "whole").withColumn("same", F.lit(True)), "whole", "left"))
     open_ = shared.where("same is null").select("key", F.col("lo").alias("low"), F.col("hi").alias("high")).distinct()
     ranged = segments.join(open_, "key").where("low >= at and high + {} <= at + length(bytes)".format(minimum))
-    each = checkpointed(stretch_hashes(ranged.dropDuplicates(["key", "low", "high"]), minimum, True).drop("core"))
+    each = written(stretch_hashes(ranged.dropDuplicates(["key", "low", "high"]), minimum, True).drop("core"))
     # a stretch may equal one inside a group that was settled as a whole: those count as well
     settled = segments.join(shared.where("same").select("key", F.col("lo").alias("low"), F.col("hi").alias("high"), "whole")
                             .groupBy("whole").agg(F.min(F.struct("key", "low", "high")).alias("one"))
                             .select("one.*"), "key").where("low >= at and high + {} <= at + length(bytes)".format(minimum))
     partners = stretch_hashes(settled.dropDuplicates(["key", "low", "high"]), minimum, True).drop("core")
     every = each.unionByName(partners)
-    return (shared.where("same").select("key", "lo", "hi")
-            .unionByName(each.join(_twice(every, "whole"), "whole", "left_semi").select("key", "lo", "hi")))
+    return (shared.where("same").select("key", "lo", "hi").unionByName(
+        each.join(_twice(every, "whole"), "whole", "left_semi").select("key", "lo", "hi")), [groups, shared, each])
 
 
 def repeats(docs: DataFrame, minimum: int = MINIMUM) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): rows (doc_id, n_bytes, key, sha) of ``docs``; spans (key, owner,
     ranges) of the texts with repeats, ranges being pairs (lo, hi) of first bytes."""
     table = written(text_table(docs, minimum))
-    rows = table.select("doc_id", "n_bytes", "key", "sha")
+    rows = written(table.select("doc_id", "n_bytes", "key", "sha"))
     texts = rows.groupBy("key").agg(F.min("doc_id").alias("owner"), F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"))
     once = table.where("n_bytes >= {}".format(minimum)).groupBy("key").agg(F.first(F.struct(*ANCHOR)).alias("a"))
     places = once.select("key", F.inline(F.arrays_zip(*[F.col(f"a.{k}").alias(k) for k in ANCHOR])))
     shared = (places.groupBy("gram").agg(F.count("*").alias("n"), F.min("segment").alias("a"), F.max("segment").alias("b"))
               .where("n > 1").select("gram", (F.col("a") == F.col("b")).alias("same")))
-    found = checkpointed(places.join(shared, "gram"))
+    found = placed = written(places.join(shared, "gram"))
+    forget(table)
     # classes of equal segments of the anchors that have several
     classes = (found.where(~F.col("same")).groupBy("gram", "segment")
                .agg(F.count("*").alias("n"), F.min(F.struct("key", "place", "lo", "hi")).alias("one")))
     sized = classes.groupBy("gram").agg(F.count("*").alias("differing"), F.min("n").alias("least")).where("least = 1")
-    classes = checkpointed(classes.join(sized, "gram", "left"))
+    classes = written(classes.join(sized, "gram", "left"))
     found = found.join(classes.where("n > 1").select("gram", "segment", F.lit(True).alias("equal")), ["gram", "segment"], "left")
     whole = found.where(F.col("same") | F.col("equal")).select("key", "lo", "hi")
     one = classes.where(F.col("differing").isNotNull()).select(
@@ -360,9 +373,11 @@ def repeats(docs: DataFrame, minimum: int = MINIMUM) -> tuple[DataFrame, DataFra
     segments = written(segment_rows(docs, needed, minimum))
     copies = texts.where(f"copies > 1 and n_bytes >= {minimum}").select("key", F.lit(0).cast("bigint").alias("lo"),
                                                                         (F.col("n_bytes") - minimum).alias("hi"))
-    ranges = (whole.unionByName(differing(segments, minimum)).unionByName(hot_repeats(segments, minimum)).unionByName(copies))
-    spans = checkpointed(ranges.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-                         .join(texts.select("key", "owner", "copies"), "key"))
+    hot, steps = hot_repeats(segments, minimum)
+    ranges = whole.unionByName(differing(segments, minimum)).unionByName(hot).unionByName(copies)
+    spans = written(ranges.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+                    .join(texts.select("key", "owner", "copies"), "key"))
+    forget(placed, classes, segments, *steps)
     return rows, spans
 
 
@@ -384,7 +399,8 @@ def cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def removal_digests(docs: DataFrame, minimum: int = MINIMUM) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeated) of every row of ``docs``;
+    ``repeated`` says whether anything was removed."""
     rows, spans = repeats(docs, minimum)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,7 +423,7 @@ def removal_digests(docs: DataFrame, minimum: int = MINIMUM) -> DataFrame:
                               .select("key", "r", F.lit(1).cast("bigint").alias("s"), F.sha2(F.lit(b""), 256).alias("k")))
     return rows.join(done, "key", "left").select(
         "doc_id", "n_bytes", F.coalesce("r", F.lit(0)).alias("n_removed"), F.coalesce("s", F.lit(0)).alias("n_spans"),
-        F.coalesce("k", "sha").alias("kept_sha256"))
+        F.coalesce("k", "sha").alias("kept_sha256"), (F.coalesce("r", F.lit(0)) > 0).alias("repeated"))
 
 
 def without_repeats(docs: DataFrame, minimum: int) -> DataFrame:
