@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.operators.joins import left_lookup
 from salesloom.schemas import TIME_COLUMNS
 from salesloom.sources.transactions import time_rows
 
@@ -42,7 +43,7 @@ def dim_rejects(rows: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     those without key and, of each key, all but one copy of the row in ``kept``."""
     one = F.struct(*[c for c in rows.columns if c != key])
     counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    out = (counted.join(kept.select(key, one.alias("_kept")), key, "left")     # a null key has no match
+    out = (left_lookup(counted, kept.select(key, one.alias("_kept")), key)     # a null key has no match
            .withColumn("_copies", F.col("_copies") - F.col("_kept").eqNullSafe(one).cast("bigint"))
            .where(F.col("_copies") > 0)
            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))))

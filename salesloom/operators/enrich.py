@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.joins import join_dim
+from salesloom.operators.joins import join_dim, left_lookup
 from salesloom.schemas import FACT_COLUMNS, MONEY
 
 REASONS = ("product_not_found", "invalid_supplier", "invalid_store",
@@ -95,8 +95,9 @@ def enrich_with_masters(parsed: DataFrame, master: DataFrame, cust_keys: DataFra
         t = t.withColumn("orderDate", F.to_date("orderTS"))
     if "arrival" not in t.columns:
         t = t.withColumn("arrival", F.struct(F.col("orderTS").alias("ts")))
-    t = join_dim(t, master, "productID", "left", rows.get("product"), max_broadcast_rows)
-    t = join_dim(t, cust_keys, "customerID", "left", rows.get("customer"), max_broadcast_rows)
+    # rows that the parser rejected have null keys
+    t = left_lookup(t, master, "productID", rows.get("product"), max_broadcast_rows)
+    t = left_lookup(t, cust_keys, "customerID", rows.get("customer"), max_broadcast_rows)
     amount = (F.col("quantityOrdered") * F.coalesce(F.col("productPrice"), F.lit(0).cast(MONEY)))
     total = amount.try_cast(MONEY)
     reason = (F.when(F.col("_prior_reason").isNotNull(), F.col("_prior_reason"))

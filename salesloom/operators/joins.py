@@ -38,3 +38,19 @@ def join_dim(left: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str
     and within the bound (``max_rows`` or the session setting)."""
     right = F.broadcast(dim) if broadcastable(rows, max_rows) else dim
     return left.join(right, on, how)
+
+
+def left_lookup(left: DataFrame, dim: DataFrame, key: str, rows: int | None = None,
+                max_rows: int | None = None) -> DataFrame:
+    """``left.join(dim, key, "left")`` for a key that may be null in many rows of ``left``.
+
+    Null keys match nothing, but a shuffle join would send all of them to one task.
+    Beyond the broadcast bound they are spread by a second key, a hash of the row; rows
+    with a key have 0 there, as all of ``dim``."""
+    if broadcastable(rows, max_rows):
+        return left.join(F.broadcast(dim), key, "left")
+    plain = [c for c, t in left.dtypes if "map" not in t and "variant" not in t]
+    zero = F.col(key) - F.col(key)         # 0, but not a constant that the optimiser would take out of the join
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*plain)).otherwise(zero.cast("bigint"))
+    return (left.withColumn("_spread", spread)
+            .join(dim.withColumn("_spread", zero.cast("bigint")), [key, "_spread"], "left").drop("_spread"))

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from salesloom.operators.dims import dim_product, dim_store, dim_supplier, dim_time
 from salesloom.operators.enrich import accepted_facts, enrich_transactions, fact_rejects
 from salesloom.operators.fact import FACT_KEY, collapse_fact
-from salesloom.operators.quality import fk_violations, key_violations, load_metrics
+from salesloom.operators.quality import (constrained, constraint_violations, fk_violations, key_violations,
+                                         load_metrics)
 from salesloom.plans import queries as Q
 from salesloom.plans.star import load_warehouse, unreduced, warehouse_path
 from salesloom.session import shared_dir
-from salesloom.sources.tables import (customers_from_tables, event_transaction_lines,
-                                      product_staging_from_tables, transaction_lines,
-                                      transactions_from_tables)
+from salesloom.sources.tables import (customers_from_tables, event_transaction_lines, event_transactions,
+                                      product_staging_from_tables, raw_lines, strict_masters,
+                                      transaction_lines, transactions_from_tables)
 from salesloom.sources.transactions import parse_transactions, time_candidates, txn_rejects
 from salesloom.streaming.fact_stream import (stream_fact, streamed_fact, streamed_rejects,
                                               streamed_time_dim)
@@ -126,14 +127,48 @@ def q_txn_key_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load_warehouse(spark, sf_dir)
-    f = s.fact_rows()
-    parts = [fk_violations(f, d, k).select(F.lit(k).alias("key"), *FACT_KEY)
-             for d, k in ((s.product, "productID"), (s.customer, "customerID"),
-                          (s.supplier, "supplierID"), (s.store, "storeID"), (s.time, "timeID"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return fk_violations(s.fact_rows(), {"productID": s.product, "customerID": s.customer, "supplierID": s.supplier,
+                                         "storeID": s.store, "timeID": s.time}, FACT_KEY)
+
+
+def q_document_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that no label refers to, and those without a vector of that number."""
+    read = lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    docs = read("documents").select("doc_id", F.col("doc_id").alias("vec_id"))
+    return fk_violations(docs, {"doc_id": read("labels"), "vec_id": read("embeddings")}, ["doc_id"])
+
+
+def q_raw_line_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = raw_lines(spark, sf_dir).withColumnRenamed("source", "arrival")
+    p = parse_transactions(lines).withColumnRenamed("arrival", "source")
+    return p.where(F.col("reject_reason").isNotNull()).select("source", "raw", "reject_reason")
+
+
+def q_enrichment_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = enrich_transactions(event_transactions(spark, sf_dir), *strict_masters(spark, sf_dir))
+    return fact_rejects(e).select("orderID", "productID", "customerID", "supplierID", "storeID", "quantityOrdered", "reject_reason")
+
+
+def q_stream_line_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that do not parse, streamed through the loader: the quarantine by reason."""
+    load_warehouse(spark, sf_dir)
+    run = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    raw_lines(spark, sf_dir).select("value").write.text(f"{run}/input")
+    stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out", f"{run}/checkpoint",
+                max_files=4).awaitTermination()
+    return (streamed_rejects(spark, f"{run}/out").groupBy("reject_reason")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.char_length("raw")).alias("letters")))
+
+
+def q_part_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    return constraint_violations(part, unique=["p_partkey", "p_name"], lengths={"p_name": 10, "p_brand": 10, "p_type": 10})
+
+
+def q_part_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of parts by UNIQUE and at most ten-letter names would quarantine."""
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").select("p_partkey", "p_name", "p_size")
+    return constrained(part, "p_partkey", unique=["p_name"], lengths={"p_name": 10})[1]
 
 
 def q_dim_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,5 +229,11 @@ QUERIES: dict[str, Query] = {
     "txn_key_repeats": q_txn_key_repeats,
     "fk_violations": q_fk_violations,
     "dim_key_violations": q_dim_key_violations,
+    "document_fk_violations": q_document_fk_violations,
+    "raw_line_rejects": q_raw_line_rejects,
+    "enrichment_rejects": q_enrichment_rejects,
+    "stream_line_rejects": q_stream_line_rejects,
+    "part_constraints": q_part_constraints,
+    "part_rejects": q_part_rejects,
     "load_metrics": q_load_metrics,
 }

@@ -117,3 +117,40 @@ def event_transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.date_format("ts", "M/d/yyyy"), F.date_format("ts", "h:mm a"),
                         F.date_format("ts", "yyyyMMddHHmm"))
     return e.select(value.alias("value"))
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines (``value``) that no loader wrote, with their ``source``: every line of the documents'
+    texts, and all events as transaction text with an unrounded quantity (``events_value``) or an
+    ISO date (``events_iso``).  Reject paths are shown on them."""
+    e = _t(spark, sf_dir, "events")
+    ids = [F.col("event_id").cast("string"), F.get_json_object("props", "$.k")]
+    rest = [F.col("user_id").cast("string"), F.date_format("ts", "M/d/yyyy"), F.date_format("ts", "h:mm a"),
+            F.date_format("ts", "yyyyMMddHHmm")]
+    value = F.concat_ws(",", *ids, F.col("value").cast("decimal(12,4)").cast("string"), *rest)
+    iso = F.concat_ws(",", *ids, F.ceil("value").cast("int").cast("string"), rest[0], F.date_format("ts", "yyyy-MM-dd"), *rest[2:])
+    lines = _t(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    return (lines.select(F.lit("documents").alias("source"), "value")
+            .unionByName(e.select(F.lit("events_value").alias("source"), value.alias("value")))
+            .unionByName(e.select(F.lit("events_iso").alias("source"), iso.alias("value"))))
+
+
+def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as typed transactions, with a quantity of thousands of their value."""
+    e = _t(spark, sf_dir, "events")
+    return e.select(F.col("event_id").alias("orderID"), F.get_json_object("props", "$.k").cast("bigint").alias("productID"),
+                    F.ceil(F.col("value") * 1000).cast("int").alias("quantityOrdered"), F.col("user_id").alias("customerID"),
+                    F.col("ts").alias("orderTS"), F.date_format("ts", "yyyyMMddHHmm").cast("bigint").alias("timeID"))
+
+
+def strict_masters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(staging, suppliers, stores, customers) of a stricter load, which leaves keys without
+    match: parts of size above 5, suppliers and customers not in debt, nations outside region 0."""
+    parts = _t(spark, sf_dir, "part").where("p_size > 5").select(F.col("p_partkey").alias("productID"))
+    suppliers = _t(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(
+        F.col("s_suppkey").alias("supplierID"), F.col("s_name").alias("supplierName"))
+    stores = _t(spark, sf_dir, "nation").where("n_regionkey <> 0").select(
+        F.col("n_nationkey").cast("bigint").alias("storeID"), F.col("n_name").alias("storeName"))
+    customers = _t(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
+        F.col("c_custkey").alias("customerID"), F.col("c_name").alias("customerName"), F.col("c_mktsegment").alias("gender"))
+    return product_staging_from_tables(spark, sf_dir).join(parts, "productID", "left_semi"), suppliers, stores, customers

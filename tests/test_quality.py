@@ -1,4 +1,8 @@
-from salesloom.operators.quality import fk_violations, key_violations, load_metrics
+from pyspark.sql import functions as F
+
+from salesloom.operators.joins import left_lookup
+from salesloom.operators.quality import (constrained, constraint_violations, fk_violations, key_violations,
+                                         load_metrics, orphan_keys)
 
 
 def test_key_violations(spark):
@@ -9,9 +13,46 @@ def test_key_violations(spark):
 
 
 def test_fk_violations_ignore_null_keys(spark):
-    fact = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 99)], "orderID long, productID long")
-    dim = spark.createDataFrame([(10,), (11,), (11,), (None,)], "productID long")
-    assert [r.orderID for r in fk_violations(fact, dim, "productID").collect()] == [4]
+    fact = spark.createDataFrame([(1, 10, 5), (2, 11, 6), (3, None, 5), (4, 99, 7)], "orderID long, productID long, storeID int")
+    dims = {"productID": spark.createDataFrame([(10,), (11,), (11,), (None,)], "productID long"),
+            "storeID": spark.createDataFrame([(5,), (6,)], "storeID int")}
+    found = fk_violations(fact, dims, ["orderID", "productID"])
+    assert sorted(tuple(r) for r in found.collect()) == [("productID", 4, 99), ("storeID", 4, 99)]
+    assert sorted(tuple(r) for r in orphan_keys(fact, dims).collect()) == [("productID", "99"), ("storeID", "7")]
+
+
+def test_fk_violations_scan_rows_once_without_orphans(spark, tmp_dir):
+    spark.range(100).withColumnRenamed("id", "k").write.parquet(f"{tmp_dir}/rows")
+    rows = spark.read.parquet(f"{tmp_dir}/rows")
+    found = fk_violations(rows, {"k": spark.range(200).withColumnRenamed("id", "k")}, ["k"])
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString() and found.collect() == []
+
+
+def test_constraints_report_and_quarantine(spark):
+    rows = [(1, "a", "xx"), (2, "a", "yyyy"), (3, "b", "xx"), (4, None, "zz"), (5, None, "zz"), (6, "c", "wwww")]
+    df = spark.createDataFrame(rows, "id long, name string, code string")
+    found = constraint_violations(df, unique=["id", "name"], lengths={"code": 3})
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("repeated", "name", "a", 2), ("too_long", "code", "wwww", 1), ("too_long", "code", "yyyy", 1)]
+    kept, rejects = constrained(df, "id", unique=["name", "code"], lengths={"code": 3})
+    assert sorted(r.id for r in kept.collect()) == [1, 4]
+    assert sorted((r.reject_reason, r.id) for r in rejects.collect()) == [
+        ("repeated_code", 3), ("repeated_code", 5), ("too_long_code", 2), ("too_long_code", 6)]
+
+
+def test_null_keys_are_spread_over_tasks(spark):
+    left = spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.col("id").alias("row"))
+    dim = spark.range(0, 4000, 20).select(F.col("id").alias("k"), F.lit("in").alias("name"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = left_lookup(left, dim, "k", None).withColumn("task", F.spark_partition_id())
+        assert got.where("k IS NULL").select("task").distinct().count() > 1
+        plain = left.join(dim, "k", "left")
+        assert sorted(map(str, got.drop("task").collect())) == sorted(map(str, plain.select("k", "row", "name").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_load_metrics(spark):
