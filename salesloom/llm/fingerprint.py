@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import CHUNK_BYTES, hash_bytes, map_chunks, mix64, shuffle_partitions, texts_of
@@ -126,33 +126,41 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+def below(cuts: list, kind: str) -> Column:
+    """How many of the sorted ``cuts`` are below doc_id, by binary search in one literal array."""
+    if not cuts:
+        return F.lit(0)
+    held = F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{kind}>")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(cuts)) & (F.get(held, at + step - 1) < F.col("doc_id")), at + step).otherwise(at))
+
+
 def with_successors(docs: DataFrame) -> DataFrame:
     """Every row in a partition that also holds its successor: (doc_id, text, guest),
     sorted by guest, doc_id and text within each partition."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     n = shuffle_partitions(spark)
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)
-                    .alias("c")).first()["c"] if n > 1 else []
+    shares = F.split(F.lit(",".join(str(i / n) for i in range(1, n)) or "0.5"), ",").cast("array<double>")
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, 10_000).alias("c")).first()["c"] if n > 1 else []
     cuts = sorted(set(cuts or []))                 # fewer than n numbers
-    bucket = F.lit(0)
-    for i in range(0, len(cuts), 64):              # small array literals keep the expression short
-        part = F.array(*[F.lit(c) for c in cuts[i:i + 64]])
-        bucket = bucket + F.size(F.filter(part, lambda c: c < F.col("doc_id")))
+    bucket = below(cuts, dict(rows.dtypes)["doc_id"])
     bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(bucket).cast("int")
     firsts = (rows.select("doc_id", bucket.alias("bucket"))
               .groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"),
                                                     F.col("doc_id").alias("id"))).alias("first"))
               .orderBy("bucket").collect())        # one row per bucket
-    before = {b["bucket"]: firsts[i - 1]["bucket"] for i, b in enumerate(firsts)}
-    host = F.lit(None).cast("int")
-    for b in firsts:
-        first = F.col("doc_id").eqNullSafe(F.lit(b["first"]["id"]))
-        host = F.when((F.col("bucket") == b["bucket"]) & first, before[b["bucket"]]).otherwise(host)
+    # a bucket's first id and the bucket before it: at most one row per partition
+    hosts = spark.createDataFrame([(b["bucket"], b["first"]["id"], firsts[i - 1]["bucket"]) for i, b in enumerate(firsts)],
+                                  f"of int, first {dict(rows.dtypes)['doc_id']}, host int")
+    rows = rows.withColumn("bucket", bucket)
+    rows = rows.join(F.broadcast(hosts), (F.col("bucket") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first")), "left")
+    host = F.col("host")
     own = F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest"))
     guest = F.struct(host.alias("at"), F.lit(True).alias("guest"))
     both = F.filter(F.array(own, guest), lambda p: p["at"].isNotNull())
-    return (rows.withColumn("bucket", bucket).withColumn("p", F.explode(both))
+    return (rows.withColumn("p", F.explode(both))
             .select("doc_id", "text", F.col("p.at").alias("at"), F.col("p.guest").alias("guest"))
             .repartitionById(len(cuts) + 1, F.col("at"))
             .sortWithinPartitions("guest", F.asc_nulls_first("doc_id"), "text")

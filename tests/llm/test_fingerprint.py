@@ -69,3 +69,17 @@ def test_whole_table(spark):
     assert np.mean([r["near_edited"] for r in got]) > 0.4 > np.mean([r["near_next"] for r in got])
     single = {r["doc_id"]: r["fingerprint"] for r in P.fingerprint_texts(docs).collect()}
     assert all(single[r["doc_id"]] == r["fingerprint"] for r in got)
+
+
+def test_plans_and_runs_with_very_many_shuffle_partitions(spark):
+    rows = [(i * 7 % 50, f"text {i}") for i in range(40)] + [(None, "n1"), (None, "n2"), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        got = P.fingerprint_neighbours(docs).select("doc_id", "edited_sha256").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = [(d, hashlib.sha256(P.edited(t, order[(i + 1) % len(order)][1]).encode()).hexdigest()) for i, (d, t) in enumerate(order)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
