@@ -5,8 +5,9 @@ tables: product staging -> product/supplier/store dimensions, transactions
 -> time dimension, transactions -> enrichment (with quarantine) ->
 additive collapse -> fact.  ``load_warehouse`` writes every table as
 Parquet into a fresh build folder under the shared folder (the fact
-partitioned by the year of its time row, for partition pruning; optionally
-fact and product bucketed on productID and registered in the session
+partitioned by the year of its time row, for partition pruning, and by a hash
+bucket of its key, the unit that appends rewrite; optionally
+fact and product bucketed on productID instead and registered in the session
 catalog, for co-located product joins), records row counts in a manifest
 written last,
 and returns a :class:`Star` over the written tables.  Queries then read the
@@ -21,10 +22,12 @@ import os
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from salesloom.operators.dims import (DIM_COLUMNS, NULL_KEY, REPEATED_KEY, dim_candidates, dim_product,
                                      dim_rejects, dim_store, dim_supplier, dim_time, merge_time_dim,
@@ -42,6 +45,12 @@ from salesloom.sources.tables import (customers_from_tables, product_staging_fro
 from salesloom.sources.transactions import parse_transactions, read_transaction_lines
 
 PART_YEAR = "part_year"
+# Hash bucket of the fact key: an append or a compaction reads and rewrites only the
+# buckets of its keys.  The number is fixed when a warehouse is built (`fact_parts` holds
+# it); the session setting gives it for new builds.
+PART_BUCKET = "part_bucket"
+HASH_BUCKETS = 8
+HASH_BUCKETS_CONF = "salesloom.hashBuckets"
 DIMS = ("time", "product", "supplier", "store", "customer", "staging")
 LOOKUPS = ("product_master", "customer_keys")
 DIM_REJECTS = tuple(f"{d}_rejects" for d in (*DIM_COLUMNS, "customer"))
@@ -77,7 +86,7 @@ class Star:
 
     def fact_rows(self) -> DataFrame:
         """The fact with its table columns only."""
-        return self.fact.drop(PART_YEAR) if PART_YEAR in self.fact.columns else self.fact
+        return self.fact.drop(PART_YEAR, PART_BUCKET)
 
 
 def unreduced(star: Star, dim: str) -> DataFrame:
@@ -148,12 +157,18 @@ def _bucket_count(spark: SparkSession) -> int | None:
     return int(v) if v not in (None, "", "0") else None
 
 
-def _put(spark: SparkSession, build: str, df: DataFrame, name: str,
-         partition: str | None = None) -> DataFrame:
-    w = df.write.mode("overwrite")
-    if partition:
-        w = w.partitionBy(partition)
-    w.parquet(f"{build}/{name}")
+def new_hash_buckets(spark: SparkSession) -> int:
+    """Number of hash buckets of a warehouse or snapshot built now."""
+    return int(spark.conf.get(HASH_BUCKETS_CONF, None) or HASH_BUCKETS)
+
+
+def key_bucket(n: int) -> Column:
+    """Hash bucket of a row's fact key, 0 to n - 1."""
+    return F.pmod(F.xxhash64(*FACT_KEY), F.lit(n)).cast("int")
+
+
+def _put(spark: SparkSession, build: str, df: DataFrame, name: str, *partition: str) -> DataFrame:
+    df.write.mode("overwrite").partitionBy(*partition).parquet(f"{build}/{name}")
     return spark.read.schema(df.schema).parquet(f"{build}/{name}")   # no files if there are no rows
 
 
@@ -161,7 +176,7 @@ def _put_bucketed(spark: SparkSession, build: str, df: DataFrame, name: str,
                   buckets: int | None, partition: str | None = None,
                   sort: bool = False) -> DataFrame:
     if buckets is None:
-        return _put(spark, build, df, name, partition)
+        return _put(spark, build, df, name, *([partition] if partition else []))
     # one task per bucket, so each task writes one file per partition
     w = (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite")
          .option("path", f"{build}/{name}"))
@@ -208,12 +223,37 @@ def manifest_rows(spark: SparkSession, path: str) -> list[Row]:
 def write_fact(totals: DataFrame, year: DataFrame, n_time: int, write: Callable[[DataFrame], object],
                write_overflow: Callable[[DataFrame], object]) -> None:
     """Write the totals that fit as the fact, with their year, and the others as
-    ``fact_overflow``; these are computed only if the first write met any."""
+    ``fact_overflow``; these are computed only if the first write met any, or returns
+    False for no rows at all (an empty plan may be written without its counts)."""
     met = Observation()
     seen = totals.observe(met, F.count_if(overflows()).alias("n"))
-    write(join_dim(fitting(seen), year, "timeID", "left", n_time))
+    some = write(join_dim(fitting(seen), year, "timeID", "left", n_time))
     over = overflowed_keys(totals)
-    write_overflow(over if met.get["n"] else totals.sparkSession.createDataFrame([], over.schema))
+    write_overflow(over if some is False or met.get["n"] else totals.sparkSession.createDataFrame([], over.schema))
+
+
+def put_fact(spark: SparkSession, build: str, totals: DataFrame, year: DataFrame, n_time: int, n: int,
+             kept: dict[tuple, tuple] | None = None) -> None:
+    """Write totals as the fact and ``fact_overflow`` of ``build``, partitioned by year and
+    hash bucket, and ``fact_parts``: for each (year, bucket) its folder and the number of builds
+    that wrote it, with those in ``kept`` (read from an earlier build, minus what is rewritten).
+    The rows are rebalanced, so a bucket is few files and a big one is split over tasks."""
+    written = []
+
+    def write(fact: DataFrame) -> bool:
+        parts = (PART_YEAR, PART_BUCKET)
+        fact = fact.withColumn(PART_BUCKET, key_bucket(n)).hint("rebalance", *parts)
+        back = _put(spark, build, fact, "fact", *parts)
+        written.extend(tuple(r) for r in back.select(*parts).distinct().collect())   # years x n at most
+        return bool(written)
+
+    write_fact(totals, year, n_time, write, lambda df: _put(spark, build, df, "fact_overflow"))
+    kept = kept or {}
+    before = {p: v for p, (folder, v) in kept.items()}
+    rows = [(*p, folder, v, n) for p, (folder, v) in kept.items() if folder is not None and p not in set(written)]
+    rows += [(*p, build, before.get(p, 0) + 1, n) for p in written]
+    (spark.createDataFrame(rows, f"{PART_YEAR} int, {PART_BUCKET} int, location string, version int, buckets int")
+     .coalesce(1).write.mode("overwrite").parquet(f"{build}/fact_parts"))
 
 
 def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_in: DataFrame,
@@ -243,8 +283,8 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     build = _new_build(path)
     buckets = _bucket_count(spark)
 
-    def put(df: DataFrame, name: str, **kw) -> DataFrame:
-        return _put(spark, build, df, name, kw.get("partition"))
+    def put(df: DataFrame, name: str) -> DataFrame:
+        return _put(spark, build, df, name)
 
     def put_bucketed(df: DataFrame, name: str, partition: str | None = None,
                      sort: bool = False) -> DataFrame:
@@ -266,8 +306,12 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     ledger = put(enrich_with_masters(transactions, master, ckeys, rows), "ledger")
     time = put(dim_time(time_input(ledger)), "time")
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    write_fact(fact_totals(accepted_facts(ledger)), year, time.count(),
-               lambda df: put_bucketed(df, "fact", partition=PART_YEAR), lambda df: put(df, "fact_overflow"))
+    totals = fact_totals(accepted_facts(ledger))
+    if buckets:
+        write_fact(totals, year, time.count(), lambda df: put_bucketed(df, "fact", partition=PART_YEAR),
+                   lambda df: put(df, "fact_overflow"))
+    else:
+        put_fact(spark, build, totals, year, time.count(), new_hash_buckets(spark))
     put(fact_rejects(ledger), "fact_rejects")
     for name, df in extra.items():
         put(df, name)
@@ -311,12 +355,14 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
     time dimension and rejects are written to a new build; the dimensions
     and masters stay where they are, and the new manifest points to both.
 
-    Plain Parquet has no MERGE, so fact partitions are rewritten, but only
-    the years that change: those holding a key of the new rows (found with
-    a semi join against the new keys, broadcast when their count is within
-    the bound) and the years of new keys.  The other years stay in their
-    folders and ``fact_parts`` in the new build lists where each year lives.
-    With the bucketed layout the whole fact is rewritten.
+    Plain Parquet has no MERGE, so parts of the fact are rewritten, but only those
+    (year, hash bucket) parts that change: the new rows' buckets are found first (at most
+    the number of buckets), the keys stored in them are matched with the new keys (a
+    semi join, with the new keys broadcast when their count is within the bound), and
+    only the parts of matched keys and those that new keys fall in are read whole and
+    written anew.  The other parts stay in their folders, unread; ``fact_parts`` in
+    the new build lists where each lives.  With the opt-in productID layout the
+    whole fact is rewritten.
     """
     rows, _ = read_manifest(spark, path)
     locs = table_locations(spark, path)
@@ -337,30 +383,23 @@ def append_transactions(spark: SparkSession, path: str, transactions: DataFrame)
     # totals kept out of the fact so far, with wide amounts: new rows add to them as well
     first = F.struct(F.lit(0).alias("load"), F.lit(None).cast(kind).alias("a"))
     over = t["fact_overflow"].drop("reject_reason").withColumn("arrival", first)
-    parts = None
-    if not buckets and not old_spec:
-        # only the years that hold a key of the new rows, or a new key, change
-        keys = new.select(*FACT_KEY).distinct()
-        n_keys = keys.count()
-        hit = join_dim(old_fact.select(*FACT_KEY, PART_YEAR), keys, FACT_KEY, "left_semi", n_keys)
-        fresh = join_dim(collapse_fact(over.unionByName(new.select(*over.columns))), year, "timeID", "left", n_time)
-        touched = {r[0] for r in hit.select(PART_YEAR).unionByName(fresh.select(PART_YEAR))
-                   .distinct().collect()}                       # at most one row per year
-        parts = _fact_parts(spark, locs["fact"]) or {
-            r[0]: locs["fact"] for r in old_fact.select(PART_YEAR).distinct().collect()}
-        in_touched = F.col(PART_YEAR).isin([y for y in touched if y is not None])
-        if None in touched:
-            in_touched = in_touched | F.col(PART_YEAR).isNull()
-        old_fact = old_fact.where(in_touched)
-        parts.update({y: build for y in touched})
-    stored = old_fact.drop(PART_YEAR).withColumn("arrival", first)
+    parts = None if buckets or old_spec else _fact_parts(spark, locs["fact"])
+    if parts is None:
+        stored = old_fact.drop(PART_YEAR, PART_BUCKET).withColumn("arrival", first)
+    else:
+        touched = _touched_parts(spark, build, parts, old_fact.schema, new, over, year, n_time)
+        old_fact = _open_parts(spark, {p: parts[p] for p in touched if p in parts}, old_fact.schema)
+        stored = old_fact.drop(PART_YEAR, PART_BUCKET).withColumn("arrival", first)
     totals = fact_totals(over.unionByName(stored.select(*over.columns)).unionByName(new.select(*over.columns)))
-    write_fact(totals, year, n_time, lambda df: _put_bucketed(spark, build, df, "fact", buckets, PART_YEAR),
-               lambda df: _put(spark, build, df, "fact_overflow"))
-    if parts is not None:
-        spark.createDataFrame([(y, f) for y, f in parts.items()],
-                              f"{PART_YEAR} int, location string").coalesce(1) \
-            .write.mode("overwrite").parquet(f"{build}/fact_parts")
+    if parts is None and buckets:
+        write_fact(totals, year, n_time, lambda df: _put_bucketed(spark, build, df, "fact", buckets, PART_YEAR),
+                   lambda df: _put(spark, build, df, "fact_overflow"))
+    else:
+        # a part that is rewritten keeps its version and gets its folder when it is written
+        kept = {p: (None if p in touched else r["location"], r["version"])
+                for p, r in (parts or {}).items()}
+        n = next((r["buckets"] for r in (parts or {}).values()), None) or new_hash_buckets(spark)
+        put_fact(spark, build, totals, year, n_time, n, kept)
     rejects = t["fact_rejects"].unionByName(fact_rejects(ledger), allowMissingColumns=True)
     _put(spark, build, rejects, "fact_rejects")
     locs.update({"fact": build, "time": build, "fact_rejects": build, "fact_overflow": build})
@@ -391,26 +430,58 @@ def _table_name(build: str, name: str) -> str:
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _fact_parts(spark: SparkSession, loc: str) -> dict | None:
-    """{year: folder} when the fact of this build spans several folders."""
+def _fact_parts(spark: SparkSession, loc: str) -> dict[tuple, Row] | None:
+    """{(year, bucket): its row of ``fact_parts``} of a fact in hash buckets."""
     try:
-        rows = spark.read.parquet(f"{loc}/fact_parts").collect()   # one row per year
+        rows = spark.read.parquet(f"{loc}/fact_parts").collect()   # at most years x buckets
     except AnalysisException:
         return None
-    return {r[PART_YEAR]: r["location"] for r in rows}
-
-
-def _open_parts(spark: SparkSession, parts: dict) -> DataFrame:
-    """A year-partitioned fact whose partitions live in different builds:
-    one scan per year (bounded by the calendar), each tagged with its year,
-    so a filter on the year still drops the other scans."""
-    out = None
-    for year, folder in sorted(parts.items(), key=lambda kv: (kv[0] is None, kv[0] or 0)):
-        d = HIVE_NULL if year is None else year
-        df = spark.read.parquet(f"{folder}/fact/{PART_YEAR}={d}").withColumn(
-            PART_YEAR, F.lit(year).cast("int"))
-        out = df if out is None else out.unionByName(df)
-    return out
+    return {(r[PART_YEAR], r[PART_BUCKET]): r for r in rows}
+
+
+def _part_folder(part: tuple) -> str:
+    year, bucket = (HIVE_NULL if v is None else v for v in part)
+    return f"{PART_YEAR}={year}/{PART_BUCKET}={bucket}"
+
+
+def _open_parts(spark: SparkSession, parts: dict[tuple, Row], schema: StructType | None = None) -> DataFrame:
+    """The given parts of a fact that may live in different builds: one scan per build over
+    its parts in force, so filters on year and bucket prune them.  ``schema`` is needed for no parts."""
+    folders: dict[str, list[str]] = {}
+    for p, r in parts.items():
+        folders.setdefault(r["location"], []).append(f"{r['location']}/fact/{_part_folder(p)}")
+    if not folders:
+        return spark.createDataFrame([], schema)
+    if schema is None:
+        data = spark.read.parquet(next(iter(folders.values()))[0]).schema
+        schema = StructType([*data.fields, StructField(PART_YEAR, IntegerType()), StructField(PART_BUCKET, IntegerType())])
+    scans = [spark.read.schema(schema).option("basePath", f"{folder}/fact").parquet(*sorted(paths))
+             for folder, paths in sorted(folders.items())]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _touched_parts(spark: SparkSession, build: str, parts: dict[tuple, Row], schema: StructType,
+                   new: DataFrame, over: DataFrame, year: DataFrame, n_time: int) -> set[tuple]:
+    """The parts that rows ``new`` change; stored parts of other buckets are not read."""
+    if not parts:
+        return set()
+    n = next(iter(parts.values()))["buckets"]
+    pair = (PART_YEAR, PART_BUCKET)
+    keys = new.select(*FACT_KEY).distinct()
+    seen = keys.groupBy(key_bucket(n).alias("b")).count().collect()                # at most n rows
+    n_keys, hit_buckets = sum(r["count"] for r in seen), {r["b"] for r in seen}
+    stored = _open_parts(spark, {p: r for p, r in parts.items() if p[1] in hit_buckets}, schema)
+    hit = _put(spark, build, join_dim(stored.select(*FACT_KEY, *pair), keys, FACT_KEY, "left_semi", n_keys),
+               "matched_keys")
+    rows = join_dim(over, keys, FACT_KEY, "left_semi", n_keys).unionByName(new.select(*over.columns))
+    fresh = (join_dim(fact_totals(rows), year, "timeID", "left", n_time)
+             .join(hit.select(*FACT_KEY), FACT_KEY, "left_anti").withColumn(PART_BUCKET, key_bucket(n)))
+    touched = {tuple(r) for r in hit.select(*pair).unionByName(fresh.select(*pair)).distinct().collect()}
+    unknown = {p: parts[p] for p in touched if p[0] is None and p in parts}
+    if unknown:      # their rows' time may be known by now: they move to its year
+        moved = join_dim(_open_parts(spark, unknown, schema).drop(PART_YEAR), year, "timeID", "left", n_time)
+        touched |= {tuple(r) for r in moved.select(*pair).distinct().collect()}
+    return touched
 
 
 def _open_table(spark: SparkSession, loc: str, name: str, spec: str | None) -> DataFrame:

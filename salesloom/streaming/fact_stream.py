@@ -24,9 +24,10 @@ Design (no MERGE-capable table format is assumed):
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +36,8 @@ from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_wi
                                        product_master)
 from salesloom.operators.fact import collapse_fact, fact_totals, overflowed_keys
 from salesloom.operators.joins import broadcastable
+from salesloom.plans.star import (PART_BUCKET, PART_YEAR, _write_manifest, key_bucket, manifest_rows,
+                                  new_hash_buckets, put_fact, read_manifest, read_star, table_locations)
 from salesloom.schemas import WIDE_MONEY
 from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
 
@@ -55,7 +58,6 @@ def _read_masters(spark: SparkSession, dims_path: str) -> tuple[dict, dict]:
     """The two lookups and their row counts.  A written warehouse is read
     through its manifest (current build, recorded counts); a folder made by
     :func:`write_masters` has no counts."""
-    from salesloom.plans.star import read_manifest, table_locations
     try:
         rows, _ = read_manifest(spark, dims_path)
         locs = table_locations(spark, dims_path)
@@ -146,14 +148,23 @@ def read_ledger(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.parquet(f"{out_path}/ledger")
 
 
-def _compaction(spark: SparkSession, out_path: str) -> tuple[int, str] | None:
-    """(last compacted batch id, snapshot folder), or None."""
+def _compaction(spark: SparkSession, out_path: str) -> Row | None:
+    """The last compaction: ``upto``, ``folder`` (its time rows), ``buckets``, ``parts``
+    (hash bucket of the fact key -> folder of its rows) and ``rejects`` (folders), or None."""
     try:
-        r = (spark.read.parquet(f"{out_path}/compaction")
-             .agg(F.max(F.struct("upto", "at", "folder")).alias("n")).select("n.*").first())
+        return (spark.read.parquet(f"{out_path}/compaction")
+                .agg(F.max_by(F.struct("*"), F.struct("upto", "at", "folder")).alias("n")).select("n.*").first())
     except AnalysisException:
         return None
-    return int(r["upto"]), r["folder"]
+
+
+def _snapshot_facts(spark: SparkSession, parts: dict[int, str]) -> DataFrame | None:
+    """Fact rows of the given snapshot buckets: one scan per compaction that wrote some in force."""
+    folders: dict[str, list[str]] = {}
+    for bucket, folder in parts.items():
+        folders.setdefault(folder, []).append(f"{folder}/facts/{PART_BUCKET}={bucket}")
+    scans = [spark.read.parquet(*sorted(paths)) for _, paths in sorted(folders.items())]
+    return reduce(DataFrame.unionByName, scans) if scans else None
 
 
 def _sources(spark: SparkSession, out_path: str) -> tuple[DataFrame, dict | None]:
@@ -162,14 +173,14 @@ def _sources(spark: SparkSession, out_path: str) -> tuple[DataFrame, dict | None
     c = _compaction(spark, out_path)
     if c is None:
         return led, None
-    upto, folder = c
-    snap = {n: spark.read.parquet(f"{folder}/{n}") for n in ("facts", "time", "rejects")}
-    return led.where(F.col("batch_id") > F.lit(upto)), snap
+    snap = {"facts": _snapshot_facts(spark, c["parts"]), "time": spark.read.parquet(f"{c['folder']}/time"),
+            "rejects": spark.read.parquet(*c["rejects"])}
+    return led.where(F.col("batch_id") > F.lit(c["upto"])), snap
 
 
 def _fact_rows(led: DataFrame, snap: dict | None) -> DataFrame:
     rows = accepted_facts(led).drop("batch_id")
-    if snap is not None:
+    if snap is not None and snap["facts"] is not None:
         rows = snap["facts"].unionByName(rows.select(*snap["facts"].columns))
     return rows
 
@@ -218,15 +229,24 @@ def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
 
     The snapshot holds one fact row per key with the key's earliest arrival
     (so first-arrival columns stay right when later batches are added) and wide
-    totals, the first candidate per timeID, and every reject.  It goes to a new folder;
-    a row for it is added to ``compaction`` last, so a compaction that dies
-    halfway is ignored and the earlier one stays in force.  Batch folders up to ``upto`` are then skipped by
-    partition pruning.
+    totals, the first candidate per timeID, and every reject.  Its fact rows are kept by
+    hash bucket of the fact key: a compaction reads and writes only the buckets that the
+    folded batches hold keys of, and the record lists the folder of every
+    bucket; rejects are only added, and time rows (bounded by the calendar) written
+    anew.  Everything goes to a new folder and the record is added to ``compaction`` last,
+    so a compaction that dies halfway is ignored and the earlier one stays in force.  Batch folders
+    up to ``upto`` are then skipped by partition pruning.
     """
-    led, snap = _sources(spark, out_path)
-    led = led.where(F.col("batch_id") <= F.lit(upto))
+    last = _compaction(spark, out_path)
+    led = read_ledger(spark, out_path).where(F.col("batch_id") <= F.lit(upto))
+    if last:
+        led = led.where(F.col("batch_id") > F.lit(last["upto"]))
+    n = last["buckets"] if last else new_hash_buckets(spark)
+    parts = dict(last["parts"]) if last else {}
     folder = f"{out_path}/compacted/upto={upto}-{uuid.uuid4().hex[:8]}"
-    facts = (_fact_rows(led, snap).groupBy("orderID", "productID", "customerID")
+    touched = {r[0] for r in accepted_facts(led).select(key_bucket(n)).distinct().collect()}   # at most n
+    stored = _snapshot_facts(spark, {b: f for b, f in parts.items() if b in touched})
+    facts = (_fact_rows(led, {"facts": stored}).groupBy("orderID", "productID", "customerID")
              .agg(F.min_by(F.struct("supplierID", "storeID", "orderDate", "timeID"),
                            "arrival").alias("_f"),
                   F.sum(F.col("quantityOrdered").cast("bigint")).alias("quantityOrdered"),
@@ -234,13 +254,18 @@ def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
                   F.min("arrival").alias("arrival"))
              .select("orderID", "productID", "customerID", "_f.supplierID", "_f.storeID",
                      "_f.orderDate", "_f.timeID", "quantityOrdered", "totalSale", "arrival"))
-    facts.write.mode("overwrite").parquet(f"{folder}/facts")
-    time = (_time_rows(led, snap).groupBy("timeID")
+    (facts.withColumn(PART_BUCKET, key_bucket(n)).hint("rebalance", PART_BUCKET)
+     .write.mode("overwrite").partitionBy(PART_BUCKET).parquet(f"{folder}/facts"))
+    times = {"time": spark.read.parquet(f"{last['folder']}/time")} if last else None
+    time = (_time_rows(led, times).groupBy("timeID")
             .agg(F.min_by("orderTS", "arrival").alias("orderTS"), F.min("arrival").alias("arrival")))
     time.write.mode("overwrite").parquet(f"{folder}/time")
-    _reject_rows(led, snap).write.mode("overwrite").parquet(f"{folder}/rejects")
-    (spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"), F.current_timestamp().alias("at"),
-                           F.lit(folder).alias("folder"))
+    _reject_rows(led, None).write.mode("overwrite").parquet(f"{folder}/rejects")
+    rejects = [*(last["rejects"] if last else []), f"{folder}/rejects"]
+    parts.update({b: folder for b in touched})
+    (spark.createDataFrame([(upto, folder, n, parts, rejects)],
+                           "upto bigint, folder string, buckets int, parts map<int,string>, rejects array<string>")
+     .withColumn("at", F.current_timestamp())
      .coalesce(1).write.mode("append").parquet(f"{out_path}/compaction"))
 
 
@@ -292,21 +317,18 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
     stream-loaded data exactly as on a batch-loaded warehouse; rejects, overflowed
     keys and the warehouse's lookups come with it, so it can be appended to.
     """
-    from salesloom.plans.star import (PART_YEAR, _write_manifest, manifest_rows, read_star,
-                                      table_locations, write_fact)
-
     locs = {n: loc for n, loc in table_locations(spark, warehouse).items()
             if n in ("product", "supplier", "store", "customer", "staging", *MASTERS)}
     build = f"{path}/build-{uuid.uuid4().hex[:12]}"
 
-    def put(df: DataFrame, name: str, *partition: str) -> None:
-        df.write.mode("overwrite").partitionBy(*partition).parquet(f"{build}/{name}")
+    def put(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").parquet(f"{build}/{name}")
 
     put(streamed_time_dim(spark, out_path), "time")
     time = spark.read.parquet(f"{build}/time")
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    write_fact(fact_totals(_fact_rows(*_sources(spark, out_path))), year, time.count(),
-               lambda df: put(df, "fact", PART_YEAR), lambda df: put(df, "fact_overflow"))
+    put_fact(spark, build, fact_totals(_fact_rows(*_sources(spark, out_path))), year, time.count(),
+             new_hash_buckets(spark))
     put(streamed_rejects(spark, out_path), "fact_rejects")
     # the dimensions stay in the warehouse build: the manifest records where each table lives
     specs = {r["source"]: r["bucket_spec"] for r in manifest_rows(spark, warehouse)

@@ -73,7 +73,7 @@ def test_append_is_additive_and_keeps_stored_time_rows(spark, tmp_dir):
     assert [tuple(r) for r in Q.q10_store_quarterly_sales(star).collect()][0] == ("North", 1, 2019, 400.0)
 
 
-def test_appends_rewrite_only_touched_years(spark, tmp_dir):
+def test_appends_rewrite_only_touched_parts(spark, tmp_dir):
     from salesloom.plans.star import _fact_parts, append_transactions, table_locations
     from salesloom.sources.transactions import parse_transactions, read_transaction_lines
     runs = [[DEFAULT_HEADER, "1,10,1,1,6/4/2018,10:00 AM,1", "2,11,2,2,4/8/2019,3:30 PM,2"],
@@ -92,10 +92,12 @@ def test_appends_rewrite_only_touched_years(spark, tmp_dir):
     lines = lambda i: parse_transactions(read_transaction_lines(spark, f"{tmp_dir}/r{i}.csv"))
     append_transactions(spark, wh, lines(1))
     parts = _fact_parts(spark, table_locations(spark, wh)["fact"])
-    assert parts[2018] == first_build and parts[2019] != first_build and 2020 in parts
+    folders = lambda parts, year: {r.location for p, r in parts.items() if p[0] == year}
+    assert folders(parts, 2018) == {first_build} and first_build not in folders(parts, 2019) | folders(parts, 2020)
+    assert {r.version for p, r in parts.items() if p[0] == 2019} == {2} and folders(parts, 2020)
     star = append_transactions(spark, wh, lines(2))
     parts2 = _fact_parts(spark, table_locations(spark, wh)["fact"])
-    assert parts2[2019] == parts[2019] and parts2[2018] != first_build
+    assert folders(parts2, 2019) == folders(parts, 2019) and first_build not in folders(parts2, 2018)
     # same fact as one load of all runs together
     with open(f"{tmp_dir}/all.csv", "w") as f:
         f.write("\n".join([DEFAULT_HEADER] + [x for r in runs for x in r[1:]]) + "\n")
