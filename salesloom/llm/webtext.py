@@ -6,7 +6,10 @@ and share of words in links, the same two of the block before and after it, and
 what markup encloses it (article or main, navigation and the like, names in class
 or id, list or table or form parts, heading).  A small decision tree over these
 features, trained on the labelled pages of ``LABELLED``, says which blocks are
-main text.
+main text.  Class and id names count by whole words; names that say what a page has
+(``no-sidebar``), what an article is filed under (``tag-legal``) or that a frame
+holds the content (``content-sidebar-wrap``) mark nothing, nor do names of html and body,
+and a main element is out of whatever frame it stands in.
 
 Pages are read by one forward scan; markup that is cut off, unclosed or wrongly
 nested is closed where its parent closes.  Of skipped elements, those of raw text
@@ -15,7 +18,8 @@ others are read as markup, so they close with their parent, and svg and math als
 at a tag of HTML.  A head ends at its end tag, at the body or at the first tag that
 cannot stand in it; text straight in a head is text.  Defined cases: null or empty
 html and pages without main text give an empty text; repeated pages give repeated rows;
-character references are decoded as browsers do (also without semicolon); text
+character references are decoded as browsers do (also without semicolon; one that markup
+cuts in two stays as it is); long blocks with much inline markup take linear time; text
 outside any element is a block.  Every row is independent: no shuffle, and memory
 is bounded by one page.
 """
@@ -50,18 +54,41 @@ MAIN_TAGS = frozenset(["article", "main"])
 LIST_TAGS = frozenset(["li", "td", "th", "dd", "dt", "option"])
 OPTIONAL_END = frozenset(["p", "li", "td", "th", "tr", "dt", "dd", "option"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
-# Names in class and id that mark parts beside the article.
-AWAY_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|comments?|commentlist|replies|reply|respond|disqus|cookies?"
+# Words of class and id names that mark parts beside the article, and the article.
+AWAY_WORDS = re.compile(
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|comments?|commentlist|replies|reply|respond|disqus|cookies?"
     r"|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|sidebar|side|widget|nav\w*|menu|breadcrumbs?"
     r"|pagination|pager|header|masthead|footer|copyright|legal|share|sharing|social|related|recommend\w*|tags?"
-    r"|toolbar|login|signup|search|skip|discussion|reactions?)(?=$|[\s_-])", re.I)
-MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body|text)(?=$|[\s_-])", re.I)
+    r"|toolbar|login|signup|search|skip|discussion|reactions?)")
+MAIN_WORDS = frozenset("article content post entry story main body text".split())
+# Words before another that say what a page or frame has or is filed under, not what the element is.
+QUALIFIERS = frozenset("no not has have with without hide show is in".split())
+FILED_UNDER = frozenset("tag category type format status".split())
+LISTED = frozenset("list cloud links link box bar wrap container".split())
+FRAMES = frozenset("wrap wrapper container layout grid row outer inner frame".split())
+# Of an article element's own names only these say that it is no article of the page.
+NO_ARTICLE = re.compile(r"(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|replies|reply|related|recommend\w*)")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                    r"|<[!?][^>]*(?:>|\Z)|<(?=/?[a-zA-Z])[^>]*(?:>|\Z)|[^<]+|<", re.S)
 NAME = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
+
+
+def names_away(name: str, words: re.Pattern = AWAY_WORDS) -> bool:
+    """Whether one class or id name marks a part beside the article: by a whole word of it that is neither
+    qualified (no-sidebar), nor a file mark (tag-politics), nor part of a frame's name (content-sidebar-wrap)."""
+    parts = [w for w in re.split(r"[-_]+", name.lower()) if w]
+    if len(parts) > 1 and (parts[0] in FILED_UNDER and not LISTED & set(parts[1:])
+                           or FRAMES & set(parts) and MAIN_WORDS & set(parts)):
+        return False
+    return any(words.fullmatch(w) and not QUALIFIERS & set(parts[:i]) for i, w in enumerate(parts))
+
+
+def names_main(name: str) -> bool:
+    return any(w in MAIN_WORDS for w in re.split(r"[-_]+", name.lower()))
+
+
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after",
             "in_main", "away", "away_name", "main_name", "in_list", "heading", "page_header"]
 
@@ -73,16 +100,17 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     # of the open elements: main, away, away_name, main_name, in_list, heading, page_header, in a link, skipped
     state = [0.0] * 9
     pieces: list[str] = []
+    filled = False                # whether the pieces hold more than white space
     linked = 0
     block_state = state
 
     def end_block() -> None:
-        nonlocal linked, pieces
-        text = " ".join(entities.unescape("".join(pieces)).split())
+        nonlocal linked, pieces, filled
+        text = " ".join("".join(pieces).split())
         if text:
             n = len(text.split())
             found.append((text, n, min(1.0, linked / n), block_state[:7]))
-        pieces, linked = [], 0
+        pieces, linked, filled = [], 0, False
 
     def close(tag: str) -> None:
         nonlocal state
@@ -130,8 +158,10 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                     position = page.find("]]>", m.start()) + 3
                     position = position if position > 2 else len(page)
             elif text[0] != "<" or text == "<":
-                if not pieces or not "".join(pieces).strip():
+                text = entities.unescape(text)      # of this text alone: markup ends a reference
+                if not filled:
                     block_state = state
+                    filled = not text.isspace() and text != ""
                 pieces.append(text)
                 if state[7]:
                     linked += len(text.split())
@@ -190,12 +220,16 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
             continue
         stack.append((tag, state))
         state = list(state)
-        names = " ".join(v for a in NAME.findall(attributes) for v in a[1:] if v)
+        names = [n for a in NAME.findall(attributes) for v in a[1:] for n in v.split()]
         state[0] = max(state[0], float(tag in MAIN_TAGS))
         hidden = HIDDEN.search(attributes) is not None
         state[1] = max(state[1], float(tag in AWAY_TAGS or hidden))
-        state[2] = max(state[2], float(bool(names) and AWAY_NAMES.search(names) is not None))
-        state[3] = max(state[3], float(bool(names) and MAIN_NAMES.search(names) is not None))
+        if tag in ("html", "body", "main"):         # they hold the article, whatever the frame is called
+            state[2] = 0.0
+        else:
+            words = NO_ARTICLE if tag == "article" else AWAY_WORDS
+            state[2] = max(state[2], float(any(names_away(n, words) for n in names)))
+        state[3] = max(state[3], float(any(names_main(n) for n in names)))
         state[4] = float(tag in LIST_TAGS) if tag in BLOCK_TAGS and tag != "p" else state[4]
         state[5] = float(tag in HEADINGS) if tag in BLOCK_TAGS else state[5]
         state[6] = max(state[6], float(tag == "header" and not state[0]))
@@ -248,6 +282,14 @@ LABELLED: list[list[tuple[str, int]]] = [
      (f"<aside class=widget><p>{_LONG}</p></aside><form><p>{_MID}</p></form></main>", 0)],
     [(f"<nav><p>{_LONG}</p></nav>", 0), (f"<article><p><a href=/whole>{_MID}</a></p><h2>Why</h2><p>{_MID}</p></article>", 1),
      (f"<ul class=tags><li>{_MID}</li></ul>", 0)],
+    [("<div class=site-header><a href=/>Valley News</a></div>", 0),
+     (f"<div class='content-sidebar-wrap'><main class='site-main'><h1>Ice</h1><p>{_LONG}</p><p>No more.</p><p>{_MID}</p></main>", 1),
+     (f"<div class='sidebar widget-area'><p>{_MID}</p><p>Most read</p></div></div>", 0),
+     ("<div class=site-footer><p>Printed in the valley since the last war.</p></div>", 0)],
+    [("<ul class='breadcrumb'><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul>", 0),
+     (f"<div class='layout has-sidebar'><article class='post type-post status-publish tag-legal category-social'><h2>Court</h2><p>{_MID}</p>"
+      f"<ol><li>First</li><li>Second</li></ol><p>{_LONG}</p></article>", 1),
+     (f"<div id=respond><p>{_LONG}</p></div></div>", 0)],
 ]
 
 

@@ -71,3 +71,47 @@ def test_skipped_elements_lose_no_text_behind_them():
     same(f"<article><noscript><style>p{{}}</noscript><p>{story}</p></article>")
     for tag in ("script", "style", "textarea", "title"):
         same(f"{whole}<{tag}>no <p>{story}</p>")
+
+
+STORY = "It's said that the council voted on Tuesday to repair the old bridge before winter, after a long debate."
+MORE = "Nobody spoke against it, though two members left early and one of them wrote a letter."
+
+# Held-out pages in frames of common publishing systems: (markup, 1 for main text) pieces.
+HELD_OUT = [
+    [("<body class='single no-sidebar'>", 0), (f"<article><p>{STORY}</p><p>Yes.</p></article>", 1)],
+    [(f"<div class='content-sidebar-wrap'><main><p>{STORY}</p><p>{MORE}</p></main>", 1),
+     (f"<aside class='sidebar sidebar-primary'><p>{MORE}</p></aside></div>", 0)],
+    [(f"<article class='post type-post tag-politics'><h1>Bridge</h1><p>{STORY}</p></article>", 1),
+     (f"<div class='comments-area'><p>{STORY}</p></div>", 0)],
+    [("<html class='js no-touch search'><body class='left-sidebar menu-open header-fixed'><div class='site-header'><a href=/>Start</a></div>", 0),
+     (f"<div class='page with-sidebar'><div class=entry-content><p>{STORY}</p><p>{MORE}</p></div>", 1),
+     (f"<div class='entry-footer post-tags'><a href=/t>bridges</a></div><div id=sidebar><p>{MORE}</p></div></div>", 0)],
+    [("<div class='cookie-banner'><p>We use cookies on this site.</p></div>", 0),
+     (f"<div class='layout--has-header'><article class='story category-legal'><p>{STORY}</p><ul><li>One</li><li>Two</li></ul></article></div>", 1),
+     (f"<div class='related-articles'><article class='related'><p>{MORE}</p></article></div>", 0)],
+    [("<nav class=main-nav><a href=/>Home</a></nav>", 0), (f"<main class='content no-comments'><p>{MORE}</p><p>{STORY}</p></main>", 1),
+     (f"<footer class=site-footer><p>{MORE}</p></footer>", 0)],
+]
+
+
+def test_held_out_pages_in_common_frames():
+    tree, right, found, truth = W.train_tree(), 0, 0, 0
+    for pieces in HELD_OUT:
+        page = "".join(m for m, _ in pieces)
+        kinds = [k for m, k in pieces for _ in W.blocks_of(m + "</aside></article></main></div>")]
+        blocks = W.blocks_of(page)
+        assert len(blocks) == len(kinds)
+        for (_, features), kind in zip(blocks, kinds, strict=True):
+            got = W.is_main(tree, features)
+            right, found, truth = right + (got and kind), found + got, truth + kind
+    print(f"precision {right}/{found}, recall {right}/{truth}")
+    assert right == found == truth
+
+
+def test_references_stay_within_their_text_and_inline_tags_take_linear_time():
+    tree = W.train_tree()
+    assert W.main_text(f"<article><p>{STORY} AT&am<b>p;</b> T&amp;T &lt<b>x</b></p></article>", tree) == f"{STORY} AT&amp; T&T <x"
+    assert W.main_text(f"<article><p>&#32;<b>&nbsp;</b>{STORY}</p></article>", tree) == STORY
+    n = 100_000                                     # 2.7 MB in one paragraph; quadratic time would be hours
+    text = W.main_text("<article><p>" + "<b>word</b> <i> </i><b></b>" * n + "</p></article>", tree)
+    assert text == " ".join(["word"] * n)
