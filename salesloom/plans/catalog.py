@@ -20,12 +20,13 @@ from salesloom.operators.quality import (constrained, constraint_violations, fk_
 from salesloom.plans import queries as Q
 from salesloom.plans.star import load_warehouse, unreduced, warehouse_path
 from salesloom.session import shared_dir
-from salesloom.sources.tables import (customers_from_tables, event_transaction_lines, event_transactions,
+from salesloom.sources.tables import (DELIVERIES, customers_from_tables, event_delivery_lines, event_transaction_lines,
+                                      event_transactions,
                                       product_staging_from_tables, raw_lines, strict_masters,
                                       transaction_lines, transactions_from_tables)
 from salesloom.sources.transactions import parse_transactions, time_candidates, txn_rejects
-from salesloom.streaming.fact_stream import (stream_fact, streamed_fact, streamed_rejects,
-                                              streamed_time_dim)
+from salesloom.streaming.fact_stream import (input_bytes, inserted_time_dim, stream_fact, stream_time_rows, streamed_fact,
+                                              streamed_metrics, streamed_rejects, streamed_time_dim)
 
 # the provided orders span 1995-2001 (no 2019): the year-restricted queries use 1998
 TEST_YEAR = 1998
@@ -74,34 +75,74 @@ def q_collapse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.withColumn("totalSale", F.col("totalSale").cast("double"))
 
 
-def q_stream_fact(spark: SparkSession, sf_dir: str, files: int = 32,
-                  files_per_trigger: int = 8) -> DataFrame:
-    """Writes the transactions as ``files`` text files into a fresh folder of
-    the shared dir, streams them ``files_per_trigger`` files per micro-batch
-    through the loader, and returns the fact collapsed from the ledger."""
+BATCHES, LEAST_BATCH_BYTES = 16, 8 << 20
+
+
+def _new_run(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+
+
+def _load(spark: SparkSession, sf_dir: str, run: str, max_bytes: int | None = None) -> None:
+    """Drain ``run/input`` through the loader (from its checkpoint, if it ran before) against
+    the warehouse, ``max_bytes`` per trigger, or all that is there as one batch."""
+    stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out", f"{run}/checkpoint",
+                max_files=None, max_bytes=max_bytes).awaitTermination()
+
+
+def _stream_lines(spark: SparkSession, sf_dir: str, lines: DataFrame, batch_bytes: int | None = None) -> str:
+    """Write ``lines`` as text in a fresh folder and load them; returns the output folder.
+
+    The files are the tasks of the lines' own plan and a micro-batch takes ``batch_bytes``, by default a
+    sixteenth of what was written (8 MB at least), so both grow with the input.  On a cluster, set it to 1-10 GB."""
     load_warehouse(spark, sf_dir)
-    run = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    transaction_lines(spark, sf_dir).select("value").repartition(files).write.text(f"{run}/input")
-    q = stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out",
-                    f"{run}/checkpoint", max_files=files_per_trigger)
-    q.awaitTermination()
-    return streamed_fact(spark, f"{run}/out").withColumn("totalSale",
-                                                         F.col("totalSale").cast("double"))
-
-
-def _stream_events(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
-    """Stream the purchase events (as transaction text, two files per
-    trigger) through the loader against the warehouse; returns the output
-    folder."""
+    run = _new_run(spark)
+    lines.select("value").write.text(f"{run}/input")
+    _load(spark, sf_dir, run, batch_bytes or max(LEAST_BATCH_BYTES, input_bytes(spark, f"{run}/input") // BATCHES))
+    return f"{run}/out"
+
+
+def q_stream_fact(spark: SparkSession, sf_dir: str, batch_bytes: int | None = None) -> DataFrame:
+    """The fact collapsed from the ledger of the transactions streamed as text."""
+    out = _stream_lines(spark, sf_dir, transaction_lines(spark, sf_dir), batch_bytes)
+    return streamed_fact(spark, out).withColumn("totalSale", F.col("totalSale").cast("double"))
+
+
+def _stream_events(spark: SparkSession, sf_dir: str) -> str:
+    """The purchase events streamed as transaction text."""
+    return _stream_lines(spark, sf_dir, event_transaction_lines(spark, sf_dir))
+
+
+def _stream_deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """All events in ``DELIVERIES`` deliveries, each written in order of event_id and drained by a loader
+    and a time stream that start again from their checkpoints; returns the output folder."""
     load_warehouse(spark, sf_dir)
-    run = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    event_transaction_lines(spark, sf_dir).repartition(files).write.text(f"{run}/input")
-    q = stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out",
-                    f"{run}/checkpoint", max_files=2)
-    q.awaitTermination()
+    run = _new_run(spark)
+    lines = event_delivery_lines(spark, sf_dir)
+    for d in range(DELIVERIES):
+        (lines.where(F.col("delivery") == d).repartitionByRange("event_id").sortWithinPartitions("event_id")
+         .select("value").write.mode("append").text(f"{run}/input"))
+        _load(spark, sf_dir, run)
+        stream_time_rows(spark, f"{run}/out", f"{run}/time_checkpoint").awaitTermination()
     return f"{run}/out"
 
 
+def q_stream_first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of the deliveries: dates of the first arrival of each key, totals over all."""
+    out = _stream_deliveries(spark, sf_dir)
+    return streamed_fact(spark, out).withColumn("totalSale", F.col("totalSale").cast("double"))
+
+
+def q_stream_time_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time dimension of the deliveries, inserted if absent from the stream's state."""
+    return inserted_time_dim(spark, _stream_deliveries(spark, sf_dir))
+
+
+def q_stream_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loader observed while it loaded the deliveries' lines and the lines that do not parse."""
+    lines = event_delivery_lines(spark, sf_dir).select("value").unionByName(raw_lines(spark, sf_dir).select("value"))
+    return streamed_metrics(spark, _stream_lines(spark, sf_dir, lines))
+
+
 def q_stream_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _stream_events(spark, sf_dir)
     return streamed_fact(spark, out).withColumn("totalSale", F.col("totalSale").cast("double"))
@@ -151,12 +192,8 @@ def q_enrichment_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_line_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that do not parse, streamed through the loader: the quarantine by reason."""
-    load_warehouse(spark, sf_dir)
-    run = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    raw_lines(spark, sf_dir).select("value").write.text(f"{run}/input")
-    stream_fact(spark, f"{run}/input", warehouse_path(spark, sf_dir), f"{run}/out", f"{run}/checkpoint",
-                max_files=4).awaitTermination()
-    return (streamed_rejects(spark, f"{run}/out").groupBy("reject_reason")
+    out = _stream_lines(spark, sf_dir, raw_lines(spark, sf_dir))
+    return (streamed_rejects(spark, out).groupBy("reject_reason")
             .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.char_length("raw")).alias("letters")))
 
 
@@ -226,6 +263,9 @@ QUERIES: dict[str, Query] = {
     "stream_fact_events": q_stream_fact_events,
     "stream_rejects_events": q_stream_rejects_events,
     "stream_time_events": q_stream_time_events,
+    "stream_first_arrivals": q_stream_first_arrivals,
+    "stream_time_inserts": q_stream_time_inserts,
+    "stream_load_metrics": q_stream_load_metrics,
     "txn_key_repeats": q_txn_key_repeats,
     "fk_violations": q_fk_violations,
     "dim_key_violations": q_dim_key_violations,

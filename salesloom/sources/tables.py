@@ -119,6 +119,22 @@ def event_transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(value.alias("value"))
 
 
+DELIVERIES = 3
+
+
+def event_delivery_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as transaction text lines in which keys come back on other dates: orderID and
+    customerID <- user_id, productID <- the ``k`` of ``props``, timeID <- the day.  ``delivery``
+    (0 to ``DELIVERIES`` - 1) is the part of the month that the event came in, latest part first, so that
+    the first to arrive is not the earliest by date; ``event_id`` orders a delivery's lines."""
+    e = _t(spark, sf_dir, "events")
+    value = F.concat_ws(",", F.col("user_id").cast("string"), F.get_json_object("props", "$.k"),
+                        F.ceil("value").cast("int").cast("string"), F.col("user_id").cast("string"),
+                        F.date_format("ts", "M/d/yyyy"), F.date_format("ts", "h:mm a"), F.date_format("ts", "yyyyMMdd"))
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(DELIVERIES - 1))
+    return e.select((F.lit(DELIVERIES - 1) - part).cast("int").alias("delivery"), "event_id", value.alias("value"))
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines (``value``) that no loader wrote, with their ``source``: every line of the documents'
     texts, and all events as transaction text with an unrounded quantity (``events_value``) or an

@@ -23,6 +23,8 @@ from salesloom.functions.calendar import time_parts
 from salesloom.schemas import TRANSACTION_FIELDS, TRANSACTION_TS_FORMAT
 
 DEFAULT_HEADER = ",".join(TRANSACTION_FIELDS)
+#: Why the parser rejects a line, in the order in which the rules are tried.
+PARSE_REASONS = ("bad_arity", "bad_integer", "bad_timestamp")
 _INT_RE = r"^[+-]?[0-9]+$"
 
 
@@ -71,9 +73,9 @@ def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) ->
     ints_ok = None
     for c in ints.values():
         ints_ok = c.isNotNull() if ints_ok is None else (ints_ok & c.isNotNull())
-    reason = (F.when(~arity_ok, F.lit("bad_arity"))
-              .when(~ints_ok, F.lit("bad_integer"))
-              .when(ts.isNull(), F.lit("bad_timestamp")))
+    reason = (F.when(~arity_ok, F.lit(PARSE_REASONS[0]))
+              .when(~ints_ok, F.lit(PARSE_REASONS[1]))
+              .when(ts.isNull(), F.lit(PARSE_REASONS[2])))
     keep = [c for c in ("arrival",) if c in lines.columns]
     out = df.select(
         *[F.when(arity_ok, v).alias(k) for k, v in ints.items()],

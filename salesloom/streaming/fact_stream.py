@@ -2,7 +2,7 @@
 
 Design (no MERGE-capable table format is assumed):
 
-* the source is a text file stream (``maxFilesPerTrigger`` throttles it);
+* the source is a text file stream, admitted by files or by bytes per trigger;
 * every micro-batch is parsed, enriched against the product master and
   customer keys (re-read each batch, so a reloaded master is seen; a master
   above the broadcast bound is first cut down to the batch's keys by a
@@ -15,6 +15,12 @@ Design (no MERGE-capable table format is assumed):
 * the fact is :func:`collapse_fact` over the ledger.  Sums commute, so late
   or out-of-order batches need no watermark; the first-arrival columns use
   ``arrival = (batch_id, file, position in file)``;
+* every micro-batch observes its rows, rows per reject reason and time candidates in
+  that one write and leaves them in ``metrics/batch_id=N``: :func:`streamed_metrics`
+  are the load counters without a second pass over the data;
+* :func:`stream_time_rows` follows the ledger with one state row per timeID (insert if
+  absent, first arrival), so that the time dimension (:func:`inserted_time_dim`) is not
+  computed from the whole ledger again;
 * :func:`compact_ledger` folds committed batches into one snapshot so that
   readers stop re-reading the history; :func:`streamed_star` makes the
   stream-loaded fact and time dimension queryable with the catalogue;
@@ -27,19 +33,20 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.operators.dims import dim_time
-from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_with_masters,
+from salesloom.functions.calendar import time_parts
+from salesloom.operators.enrich import (REASONS, accepted_facts, customer_keys, enrich_with_masters,
                                        product_master)
 from salesloom.operators.fact import collapse_fact, fact_totals, overflowed_keys
 from salesloom.operators.joins import broadcastable
 from salesloom.plans.star import (PART_BUCKET, PART_YEAR, _write_manifest, key_bucket, manifest_rows,
                                   new_hash_buckets, put_fact, read_manifest, read_star, table_locations)
-from salesloom.schemas import WIDE_MONEY
-from salesloom.sources.transactions import DEFAULT_HEADER, parse_transactions
+from salesloom.schemas import TIME_COLUMNS, WIDE_MONEY
+from salesloom.sources.transactions import DEFAULT_HEADER, PARSE_REASONS, parse_transactions
 
 
 MASTERS = ("product_master", "customer_keys")
@@ -96,15 +103,43 @@ def batch_masters(parsed: DataFrame, masters: dict, rows: dict) -> tuple[DataFra
     return master, ckeys, out
 
 
+COUNTERS = ("read", "loaded", "time_candidates", *PARSE_REASONS, *REASONS)
+METRICS_SCHEMA = ", ".join(f"{c} bigint" for c in COUNTERS)
+
+
+def _counters() -> list:
+    """The aggregates that a load observes on its enriched rows, named as in ``COUNTERS``."""
+    reason = F.col("reject_reason")
+    return [F.count(F.lit(1)).alias("read"), F.count_if(reason.isNull()).alias("loaded"),
+            F.count_if(F.col("time_ok")).alias("time_candidates"),
+            *[F.count_if(reason == r).alias(r) for r in (*PARSE_REASONS, *REASONS)]]
+
+
+def _admitted(reader, max_files: int | None, max_bytes: int | None):
+    """The stream reader with what one trigger takes (bytes go before files)."""
+    if max_bytes is not None:
+        return reader.option("maxBytesPerTrigger", max_bytes)
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path``, from their status only."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
 def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str, out_path: str,
-                checkpoint: str, max_files: int = 1, header: str | None = DEFAULT_HEADER,
-                available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                checkpoint: str, max_files: int | None = 1, header: str | None = DEFAULT_HEADER,
+                available_now: bool = True, processing_time: str | None = None,
+                max_bytes: int | None = None) -> StreamingQuery:
     """Start the loader; returns the running :class:`StreamingQuery`.
 
     ``input_path`` is a folder of transaction text files (read as a file
-    stream, ``max_files`` per trigger) or an already built streaming
+    stream) or an already built streaming
     DataFrame of lines with a ``value`` column (its source decides the
-    throttle; arrival is then (batch, position)).
+    throttle; arrival is then (batch, position)).  A trigger admits files of ``max_bytes``
+    together where given (at least one file), else ``max_files`` files, else
+    all that are there; the batch's tasks follow from its bytes.
     ``dims_path`` holds the ``product_master`` and ``customer_keys`` lookups
     (a written warehouse, or :func:`write_masters`); they are re-read for
     every micro-batch, so a reloaded master is picked up by the next batch.  With ``available_now`` the query
@@ -114,8 +149,7 @@ def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str
     if isinstance(input_path, DataFrame):
         lines = input_path.select("value", F.lit("").alias("_file"))
     else:
-        lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
-                 .load(input_path)
+        lines = (_admitted(spark.readStream.format("text"), max_files, max_bytes).load(input_path)
                  .select("value", F.col("_metadata.file_path").alias("_file")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -131,8 +165,11 @@ def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str
         try:
             parsed = parse_transactions(b, header)
             master, ckeys, rows = batch_masters(parsed, masters, counts)
-            enriched = enrich_with_masters(parsed, master, ckeys, rows)
+            seen = Observation()
+            enriched = enrich_with_masters(parsed, master, ckeys, rows).observe(seen, *_counters())
             enriched.write.mode("overwrite").parquet(f"{out_path}/ledger/batch_id={batch_id}")
+            (spark.createDataFrame([tuple(seen.get[c] for c in COUNTERS)], METRICS_SCHEMA).coalesce(1)
+             .write.mode("overwrite").parquet(f"{out_path}/metrics/batch_id={batch_id}"))
         finally:
             if twice:
                 b.unpersist()
@@ -222,6 +259,49 @@ def streamed_time_dim(spark: SparkSession, out_path: str) -> DataFrame:
     return dim_time(_time_rows(led, snap))
 
 
+def streamed_metrics(spark: SparkSession, out_path: str) -> DataFrame:
+    """``counter, rows``: what the committed batches observed while they were written.  A
+    replayed batch replaces its counters as it replaces its rows."""
+    sums = spark.read.parquet(f"{out_path}/metrics").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    return sums.unpivot([], list(COUNTERS), "counter", "rows").where(F.col("rows").isNotNull())
+
+
+def stream_time_rows(spark: SparkSession, out_path: str, checkpoint: str, max_files: int | None = None,
+                     max_bytes: int | None = None, available_now: bool = True,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Insert-if-absent of the time dimension as a stream over the ledger's batches.
+
+    The state is one row per timeID, so bounded by the calendar, kept by Spark's state store
+    and restored from ``checkpoint``: the first candidate by (batch, file, position)
+    and the trigger that saw it.  A trigger emits only the timeIDs that it sees for the first
+    time, and ``time_rows/batch_id=N`` (overwritten by a replay) takes them; no
+    trigger reads an older ledger batch again.  A candidate that arrived before
+    the stored one but is listed later is emitted as well, and
+    :func:`inserted_time_dim` takes the earlier.  Run it on committed batches: after the loader
+    in ``available_now`` mode, or beside it on its own ``processing_time``.
+    """
+    reader = _admitted(spark.readStream.schema(read_ledger(spark, out_path).schema)
+                       .option("ignoreMissingFiles", "true"), max_files, max_bytes)
+    candidates = (reader.parquet(f"{out_path}/ledger").where(F.col("time_ok"))
+                  .select("timeID", F.struct("arrival", "orderTS", F.current_timestamp().alias("trigger")).alias("c")))
+    fresh = (candidates.groupBy("timeID").agg(F.min("c").alias("c"))
+             .where(F.col("c.trigger") == F.current_timestamp()).select("timeID", "c.arrival", "c.orderTS"))
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/time_rows/batch_id={batch_id}")
+
+    w = (fresh.writeStream.outputMode("update").foreachBatch(insert).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
+    return w.start()
+
+
+def inserted_time_dim(spark: SparkSession, out_path: str) -> DataFrame:
+    """The time dimension as :func:`stream_time_rows` has inserted it."""
+    rows = spark.read.parquet(f"{out_path}/time_rows")
+    first = rows.groupBy("timeID").agg(F.min_by("orderTS", "arrival").alias("orderTS"))
+    return first.select("timeID", *time_parts("orderTS")).select(*TIME_COLUMNS)
+
+
 def compact_ledger(spark: SparkSession, out_path: str, upto: int) -> None:
     """Fold ledger batches up to ``upto`` (a committed batch id, e.g. from
     ``query.lastProgress``) into one snapshot, so readers stop re-reading
