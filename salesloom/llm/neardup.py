@@ -329,9 +329,12 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(3, 85)) -> DataFrame:
     rows = written(sketched.select("doc_id", "n", "node"))
     full = sketched.where(F.col("node").isNotNull())
     banded = full.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
-    shared = (banded.groupBy("band").agg(F.count("*").alias("size"), pivot(0, "node")).where("size > 1")
-              .select("band", "size", F.col("p.node").alias("a")))
-    buckets = written(banded.join(shared, "band").select("band", "node", "size", "a"))
+    # band and count alone go through the shuffle of all bands; pivots are looked for among the shared ones
+    shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    met = written(banded.join(shared, "band").select("band", "node", "size"))
+    pivots = met.groupBy("band").agg(pivot(0, "node")).select("band", F.col("p.node").alias("a"))
+    buckets = written(met.join(pivots, "band").select("band", "node", "size", "a"))
+    forget(met)
     nodes = written(full.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node")
                          .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("regs").alias("regs")))
     forget(sketched)
