@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from salesloom.session import shared_dir
 
 CHUNK_BYTES = 4 << 20     # text worked on at once inside a task
+#: Spark's setting that removes a query's shuffle files when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +42,16 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a compressed table in the shared folder, read back: for wide data of
-    which later steps read few columns.  The table stays there until ``forget`` is given it."""
+    which later steps read few columns.  The table stays there until ``forget`` is given it;
+    the shuffle files that led to it go when it is complete, not when the driver's garbage is collected."""
     path = f"{shared_dir(df.sparkSession)}/llm/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._folder = path
     return out
