@@ -39,19 +39,21 @@ def read_transaction_lines(spark: SparkSession, path: str) -> DataFrame:
                                             F.monotonically_increasing_id().alias("pos"))))
 
 
-def _fields(value: Column) -> Column:
-    line = F.regexp_replace(value, r"\r$", "")
-    return F.split(F.regexp_replace(line, ",+$", ""), ",", -1)
-
-
 def _int(field: Column, type_: str) -> Column:
     return F.when(field.rlike(_INT_RE), field.try_cast(type_))
 
 
-def _strip_header(lines: DataFrame, header: str | None) -> DataFrame:
-    if header is None:
-        return lines
-    return lines.where(F.regexp_replace(F.col("value"), r"\r$", "") != F.lit(header))
+def _with_fields(lines: DataFrame, header: str | None) -> DataFrame:
+    """``lines`` but the header, with their fields in ``_f``.
+
+    The fields come from a generator (of one row, or none for the header): a filter on
+    what is parsed from them stays above it.  Pushed below a projection, it would render
+    and split the line anew for every field that it names."""
+    df = lines.withColumn("_line", F.regexp_replace("value", r"\r$", ""))
+    fields = F.array(F.split(F.regexp_replace("_line", ",+$", ""), ",", -1))
+    if header is not None:
+        fields = F.when(F.col("_line") != F.lit(header), fields)
+    return df.select("*", F.explode(fields).alias("_f")).drop("_line")
 
 
 def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) -> DataFrame:
@@ -63,7 +65,7 @@ def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) ->
     ``lines`` has the text in ``value``; an ``arrival`` column, when present,
     is carried through (it orders rows for first-arrival rules).
     """
-    df = _strip_header(lines, header).withColumn("_f", _fields(F.col("value")))
+    df = _with_fields(lines, header)
     f = [F.col("_f").getItem(i) for i in range(7)]
     ints = {"orderID": _int(f[0], "bigint"), "productID": _int(f[1], "bigint"),
             "quantityOrdered": _int(f[2], "int"), "customerID": _int(f[3], "bigint"),
@@ -103,7 +105,7 @@ def time_candidates(lines: DataFrame, header: str | None = DEFAULT_HEADER) -> Da
     must be valid; a bad orderID or productID does not matter.  Output:
     ``timeID, orderTS, arrival``.
     """
-    df = _strip_header(lines, header).withColumn("_f", _fields(F.col("value")))
+    df = _with_fields(lines, header)
     tid = _int(F.col("_f").getItem(6), "bigint")
     ts = F.try_to_timestamp(F.concat_ws(" ", F.col("_f").getItem(4), F.col("_f").getItem(5)),
                             F.lit(TRANSACTION_TS_FORMAT))

@@ -84,3 +84,11 @@ def test_time_dimension_rules(spark):
         "timeID long, orderDate date, orderTime string, Day int, Month int, Quarter int, Year int")
     merged = {r.timeID: r for r in merge_time_dim(existing, dim_time(cand)).collect()}
     assert merged[7].Year == 2018 and len(merged) == 3
+
+
+def test_a_filter_on_parsed_columns_splits_a_line_once(spark):
+    rows = lines(spark, ["1,2,3,4,1/5/2019,3:07 PM,7", DEFAULT_HEADER, "1,2,x,4,1/5/2019,3:07 PM,7", None])
+    for df, found in ((txn_rejects(parse_transactions(rows)), 1), (time_candidates(rows), 2)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+        assert df.count() == found
+    assert parse_transactions(rows, header=None).count() == 4
