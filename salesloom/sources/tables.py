@@ -139,13 +139,13 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines (``value``) that no loader wrote, with their ``source``: every line of the documents'
     texts, and all events as transaction text with an unrounded quantity (``events_value``) or an
     ISO date (``events_iso``).  Reject paths are shown on them."""
-    e = _t(spark, sf_dir, "events")
+    e = spread(_t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props"))
     ids = [F.col("event_id").cast("string"), F.get_json_object("props", "$.k")]
     rest = [F.col("user_id").cast("string"), F.date_format("ts", "M/d/yyyy"), F.date_format("ts", "h:mm a"),
             F.date_format("ts", "yyyyMMddHHmm")]
     value = F.concat_ws(",", *ids, F.col("value").cast("decimal(12,4)").cast("string"), *rest)
     iso = F.concat_ws(",", *ids, F.ceil("value").cast("int").cast("string"), rest[0], F.date_format("ts", "yyyy-MM-dd"), *rest[2:])
-    lines = _t(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    lines = spread(_t(spark, sf_dir, "documents").select("text")).select(F.explode(F.split("text", "\n", -1)).alias("value"))
     return (lines.select(F.lit("documents").alias("source"), "value")
             .unionByName(e.select(F.lit("events_value").alias("source"), value.alias("value")))
             .unionByName(e.select(F.lit("events_iso").alias("source"), iso.alias("value"))))
