@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import checkpointed, fold_of, fresh
+from salesloom.llm.common import fold_of, fresh
 from salesloom.llm.trees import fit_logistic, fit_tree, paths
 
 MAX_TRAIN = 20_000
@@ -105,23 +105,26 @@ def train(stats: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int =
     return fit([(r["y"], list(r["s"])) for r in rows])
 
 
+def sampled_model(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> tuple[float, list]:
+    """:func:`train` with statistics of the rows that it can sample only."""
+    known = labels.where(F.col("quality").isNotNull()).select("doc_id")
+    sample = (known.where(fold_of(F.col("doc_id"), folds) != held_fold).distinct()
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN))
+    sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")
+    return train(with_statistics(sampled).select("doc_id", "s"), labels, folds, held_fold)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int = 1) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``."""
-    stats = checkpointed(with_statistics(docs.select("doc_id", "text")).select("doc_id", "s"))
-    model = train(stats, labels, folds, held_fold)
-    score = score_column(F.col("s"), model)
-    return (stats.select("doc_id", (fold_of(F.col("doc_id"), folds) == held_fold).alias("held_out"),
-                         score.alias("score"))
+    """(doc_id, held_out, score, predicted) for every row of ``docs``, scored in one narrow pass."""
+    model = sampled_model(docs, labels, folds, held_fold)
+    return (with_statistics(docs.select("doc_id", "text"))
+            .select("doc_id", (fold_of(F.col("doc_id"), folds) == held_fold).alias("held_out"),
+                    score_column(F.col("s"), model).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int = 1) -> DataFrame:
     """The rows of ``docs`` (all columns) that the classifier predicts as good."""
-    known = labels.where(F.col("quality").isNotNull()).select("doc_id")
-    sample = (known.where(fold_of(F.col("doc_id"), folds) != held_fold).distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN))
-    # the fit needs statistics of the sampled rows only; scoring is one narrow pass
-    sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")
-    model = train(with_statistics(sampled).select("doc_id", "s"), labels, folds, held_fold)
+    model = sampled_model(docs, labels, folds, held_fold)
     into = fresh(docs, "stats")
     return with_statistics(docs, into).where(score_column(F.col(into), model) >= 0.5).drop(into)
