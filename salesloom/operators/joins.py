@@ -32,6 +32,15 @@ def broadcastable(rows: int | None, max_rows: int | None = None) -> bool:
     return rows is not None and rows <= limit
 
 
+ROWS_PER_TASK = 1_000_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks for ``rows`` rows, about a million each but not fewer than the cores.  Sizes in bytes do not tell
+    how many rows a shuffled partition has in memory: sorted keys compress to a byte or two."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+
+
 def join_dim(left: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
              rows: int | None = None, max_rows: int | None = None) -> DataFrame:
     """``left.join(dim, on, how)``; ``dim`` is broadcast iff ``rows`` is known

@@ -20,8 +20,13 @@ from salesloom.operators.joins import left_lookup
 from salesloom.session import materialized
 
 
-def key_violations(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """``key_cols..., rows`` for every key value seen more than once."""
+def key_violations(df: DataFrame, key_cols: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """``key_cols..., rows`` for every key value seen more than once.
+
+    ``tasks``: the number that the rows are dealt to by key (see :func:`tasks_for`), for keys of which
+    few repeat: partial counts save nothing there, and few well compressed bytes are many keys in memory."""
+    if tasks:
+        df = df.select(*key_cols).repartition(tasks, *key_cols)
     return (df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("rows"))
             .where(F.col("rows") > 1))
 
@@ -32,9 +37,15 @@ def orphan_keys(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     The columns are unpivoted and made distinct together, so ``rows`` is scanned once; the
     dimensions' keys come together as well and one anti join finds what is left.  A NULL
     key is not a violation (SQL foreign keys accept NULL)."""
+    names = F.array(*[F.lit(k) for k in dims])
+
     def pairs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        each = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys]))
-        return df.select(each.alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
+        # integers become text only once they are distinct: five keys of a row are two numbers each until then
+        whole = all(df.schema[k].dataType.typeName() in ("byte", "short", "integer", "long") for k in keys)
+        each = F.explode(F.array(*[F.struct(F.lit(list(dims).index(k)).alias("at"), F.col(k).cast("bigint" if whole else "string").alias("value"))
+                                   for k in keys]))
+        found = df.select(each.alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
+        return found.select(names[F.col("at")].alias("key"), F.col("value").cast("string").alias("value"))
 
     known = None
     for k, d in dims.items():

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from salesloom.operators.dims import dim_product, dim_store, dim_supplier, dim_time
 from salesloom.operators.enrich import accepted_facts, enrich_transactions, fact_rejects
 from salesloom.operators.fact import FACT_KEY, collapse_fact
+from salesloom.operators.joins import tasks_for
 from salesloom.operators.quality import (constrained, constraint_violations, fk_violations, key_violations,
                                          load_metrics)
 from salesloom.plans import queries as Q
@@ -163,7 +164,8 @@ def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_txn_key_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_violations(transactions_from_tables(spark, sf_dir), FACT_KEY)
+    lines = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").count()      # footers
+    return key_violations(transactions_from_tables(spark, sf_dir), FACT_KEY, tasks_for(spark, lines))
 
 
 def q_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

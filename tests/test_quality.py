@@ -60,3 +60,19 @@ def test_load_metrics(spark):
     b = spark.range(0)
     got = {r.source: r.rows for r in load_metrics({"a": a, "b": b}).collect()}
     assert got == {"a": 5, "b": 0}
+
+
+def test_key_violations_deal_rows_to_the_given_tasks(spark):
+    df = spark.range(1000).select((F.col("id") % 999).alias("k"))
+    got = key_violations(df, ["k"], tasks=5)
+    assert [tuple(r) for r in got.collect()] == [(0, 2)]
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orphans_of_whole_number_keys_become_text_after_they_are_distinct(spark):
+    rows = spark.createDataFrame([(1, 5), (1, None), (7, 9)], "a long, b int")
+    dims = {"a": spark.createDataFrame([("1",)], "a string"), "b": spark.createDataFrame([(5,)], "b long")}
+    found = orphan_keys(rows, dims)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", "7"), ("b", "9")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [at#" in plan and "as string) AS value" not in plan.split("explode(array")[1].split("\n")[0]
