@@ -36,7 +36,7 @@ from salesloom.operators.enrich import (accepted_facts, customer_keys, enrich_tr
                                        enrich_with_masters, fact_rejects, product_master)
 from salesloom.operators.fact import (FACT_KEY, collapse_fact, fact_totals, fitting, overflowed_keys,
                                       overflows)
-from salesloom.operators.joins import join_dim
+from salesloom.operators.joins import join_dim, tasks_for
 from salesloom.operators.quality import load_metrics
 from salesloom.session import shared_dir
 from salesloom.sources.seeds import accepted, csv_rejects, land, read_customers, read_products
@@ -306,7 +306,7 @@ def write_warehouse_from(spark: SparkSession, staging_in: DataFrame, customers_i
     ledger = put(enrich_with_masters(transactions, master, ckeys, rows), "ledger")
     time = put(dim_time(time_input(ledger)), "time")
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    totals = fact_totals(accepted_facts(ledger))
+    totals = fact_totals(accepted_facts(ledger), tasks=tasks_for(spark, ledger.count()))   # footers
     if buckets:
         write_fact(totals, year, time.count(), lambda df: put_bucketed(df, "fact", partition=PART_YEAR),
                    lambda df: put(df, "fact_overflow"))

@@ -42,7 +42,7 @@ from salesloom.functions.calendar import time_parts
 from salesloom.operators.enrich import (REASONS, accepted_facts, customer_keys, enrich_with_masters,
                                        product_master)
 from salesloom.operators.fact import collapse_fact, fact_totals, overflowed_keys
-from salesloom.operators.joins import broadcastable
+from salesloom.operators.joins import broadcastable, tasks_for
 from salesloom.plans.star import (PART_BUCKET, PART_YEAR, _write_manifest, key_bucket, manifest_rows,
                                   new_hash_buckets, put_fact, read_manifest, read_star, table_locations)
 from salesloom.schemas import TIME_COLUMNS, WIDE_MONEY
@@ -238,7 +238,8 @@ def _reject_rows(led: DataFrame, snap: dict | None) -> DataFrame:
 
 def streamed_fact(spark: SparkSession, out_path: str) -> DataFrame:
     """The fact table as of the batches committed so far."""
-    return collapse_fact(_fact_rows(*_sources(spark, out_path)))
+    rows = _fact_rows(*_sources(spark, out_path))
+    return collapse_fact(rows, tasks=tasks_for(spark, rows.count()))
 
 
 def streamed_overflow(spark: SparkSession, out_path: str) -> DataFrame:
@@ -407,7 +408,8 @@ def streamed_star(spark: SparkSession, warehouse: str, out_path: str, path: str)
     put(streamed_time_dim(spark, out_path), "time")
     time = spark.read.parquet(f"{build}/time")
     year = time.select("timeID", F.col("Year").alias(PART_YEAR))
-    put_fact(spark, build, fact_totals(_fact_rows(*_sources(spark, out_path))), year, time.count(),
+    rows = _fact_rows(*_sources(spark, out_path))
+    put_fact(spark, build, fact_totals(rows, tasks=tasks_for(spark, rows.count())), year, time.count(),
              new_hash_buckets(spark))
     put(streamed_rejects(spark, out_path), "fact_rejects")
     # the dimensions stay in the warehouse build: the manifest records where each table lives
