@@ -16,6 +16,8 @@ Works unchanged on a batch ``DataFrame`` and on a streaming one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,13 +51,34 @@ def _with_fields(lines: DataFrame, header: str | None) -> DataFrame:
     The fields come from a generator (of one row, or none for the header): a filter on
     what is parsed from them stays above it.  Pushed below a projection, it would render
     and split the line anew for every field that it names."""
-    df = lines.withColumn("_line", F.regexp_replace("value", r"\r$", ""))
+    bare = F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", r"\r$", "")).otherwise(F.col("value"))
+    df = lines.withColumn("_line", bare)
     fields = F.array(F.split(F.regexp_replace("_line", ",+$", ""), ",", -1))
     if header is not None:
         fields = F.when(F.col("_line") != F.lit(header), fields)
     return df.select("*", F.explode(fields).alias("_f")).drop("_line")
 
 
+#: Field number and type of the whole numbers of a line.
+_WHOLE = {"orderID": (0, "bigint"), "productID": (1, "bigint"), "quantityOrdered": (2, "int"),
+          "customerID": (3, "bigint"), "timeID": (6, "bigint")}
+
+
+def _with_values(df: DataFrame, whole: Sequence[str]) -> DataFrame:
+    """``df`` with the ``whole`` numbers and the ``orderTS`` of ``_f`` in the struct ``_v``: null
+    unless there are seven fields.
+
+    A generator again, so that each value is parsed once, not for every column and rule that
+    names it.  Texts without the signs that every date and time has never reach the timestamp parser,
+    which throws an exception for what it does not take."""
+    f = F.col("_f")
+    text = F.concat_ws(" ", f.getItem(4), f.getItem(5))
+    ts = F.when(text.contains("/") & text.contains(":"), F.try_to_timestamp(text, F.lit(TRANSACTION_TS_FORMAT)))
+    ints = [_int(f.getItem(i), t).alias(k) for k, (i, t) in _WHOLE.items() if k in whole]
+    values = F.when(F.size("_f") == 7, F.struct(*ints, ts.alias("orderTS")))
+    return df.select("*", F.explode(F.array(values)).alias("_v"))
+
+
 def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) -> DataFrame:
     """Typed transactions plus ``raw`` and ``reject_reason`` (NULL = accepted).
 
@@ -65,13 +88,10 @@ def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) ->
     ``lines`` has the text in ``value``; an ``arrival`` column, when present,
     is carried through (it orders rows for first-arrival rules).
     """
-    df = _with_fields(lines, header)
-    f = [F.col("_f").getItem(i) for i in range(7)]
-    ints = {"orderID": _int(f[0], "bigint"), "productID": _int(f[1], "bigint"),
-            "quantityOrdered": _int(f[2], "int"), "customerID": _int(f[3], "bigint"),
-            "timeID": _int(f[6], "bigint")}
+    df = _with_values(_with_fields(lines, header), list(_WHOLE))
+    ints = {k: F.col(f"_v.{k}") for k in _WHOLE}
     arity_ok = F.size("_f") == 7
-    ts = F.try_to_timestamp(F.concat_ws(" ", f[4], f[5]), F.lit(TRANSACTION_TS_FORMAT))
+    ts = F.col("_v.orderTS")
     ints_ok = None
     for c in ints.values():
         ints_ok = c.isNotNull() if ints_ok is None else (ints_ok & c.isNotNull())
@@ -80,8 +100,8 @@ def parse_transactions(lines: DataFrame, header: str | None = DEFAULT_HEADER) ->
               .when(ts.isNull(), F.lit(PARSE_REASONS[2])))
     keep = [c for c in ("arrival",) if c in lines.columns]
     out = df.select(
-        *[F.when(arity_ok, v).alias(k) for k, v in ints.items()],
-        F.when(arity_ok, ts).alias("orderTS"),
+        *[v.alias(k) for k, v in ints.items()],
+        ts.alias("orderTS"),
         F.col("value").alias("raw"),
         *keep,
         (arity_ok & ints["timeID"].isNotNull() & ts.isNotNull()).alias("time_ok"),
@@ -105,12 +125,10 @@ def time_candidates(lines: DataFrame, header: str | None = DEFAULT_HEADER) -> Da
     must be valid; a bad orderID or productID does not matter.  Output:
     ``timeID, orderTS, arrival``.
     """
-    df = _with_fields(lines, header)
-    tid = _int(F.col("_f").getItem(6), "bigint")
-    ts = F.try_to_timestamp(F.concat_ws(" ", F.col("_f").getItem(4), F.col("_f").getItem(5)),
-                            F.lit(TRANSACTION_TS_FORMAT))
+    df = _with_values(_with_fields(lines, header), ["timeID"])
+    tid, ts = F.col("_v.timeID"), F.col("_v.orderTS")
     arrival = F.col("arrival") if "arrival" in lines.columns else F.monotonically_increasing_id()
-    return (df.where((F.size("_f") == 7) & tid.isNotNull() & ts.isNotNull())
+    return (df.where(tid.isNotNull() & ts.isNotNull())
             .select(tid.alias("timeID"), ts.alias("orderTS"), arrival.alias("arrival")))
 
 

@@ -44,7 +44,7 @@ from salesloom.operators.enrich import (REASONS, accepted_facts, customer_keys,
 from salesloom.operators.fact import collapse_fact, fact_totals, overflowed_keys
 from salesloom.operators.joins import broadcastable, tasks_for
 from salesloom.plans.star import (PART_BUCKET, PART_YEAR, _write_manifest, key_bucket, manifest_rows,
-                                  new_hash_buckets, put_fact, read_manifest, read_star, table_locations)
+                                  new_hash_buckets, put_fact, read_star, table_locations)
 from salesloom.schemas import TIME_COLUMNS, WIDE_MONEY
 from salesloom.sources.transactions import DEFAULT_HEADER, PARSE_REASONS, parse_transactions
 
@@ -66,8 +66,9 @@ def _read_masters(spark: SparkSession, dims_path: str) -> tuple[dict, dict]:
     through its manifest (current build, recorded counts); a folder made by
     :func:`write_masters` has no counts."""
     try:
-        rows, _ = read_manifest(spark, dims_path)
-        locs = table_locations(spark, dims_path)
+        manifest = manifest_rows(spark, dims_path)
+        rows = {r["source"]: int(r["rows"]) for r in manifest}
+        locs = {r["source"]: r["location"] or r["build"] for r in manifest}
     except AnalysisException:
         rows, locs = {}, {n: dims_path for n in MASTERS}
     return {n: spark.read.parquet(f"{locs[n]}/{n}") for n in MASTERS}, rows
@@ -157,13 +158,12 @@ def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str
                                                  F.col("_file").alias("file"),
                                                  F.monotonically_increasing_id().alias("pos")))
         masters, counts = _read_masters(spark, dims_path)
-        # the batch is read twice only when its keys must be counted first
+        # the batch is read again only when its keys must be counted first; it is parsed once all the same
         twice = not all(broadcastable(counts.get(k)) for k in ("product", "customer"))
-        b = b.drop("_file")
+        parsed = parse_transactions(b.drop("_file"), header)
         if twice:
-            b = b.persist()
+            parsed = parsed.persist()
         try:
-            parsed = parse_transactions(b, header)
             master, ckeys, rows = batch_masters(parsed, masters, counts)
             seen = Observation()
             enriched = enrich_with_masters(parsed, master, ckeys, rows).observe(seen, *_counters())
@@ -172,7 +172,7 @@ def stream_fact(spark: SparkSession, input_path: str | DataFrame, dims_path: str
              .write.mode("overwrite").parquet(f"{out_path}/metrics/batch_id={batch_id}"))
         finally:
             if twice:
-                b.unpersist()
+                parsed.unpersist()
 
     w = (lines.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))

@@ -92,3 +92,25 @@ def test_a_filter_on_parsed_columns_splits_a_line_once(spark):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
         assert df.count() == found
     assert parse_transactions(rows, header=None).count() == 4
+
+
+def test_each_value_is_parsed_once_whatever_names_it(spark):
+    got = parse_transactions(lines(spark, ["1,2,3,4,1/5/2019,3:07 PM,7"]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("gettimestamp(") == 1 and plan.count("rlike") == 5
+
+
+def test_texts_without_the_signs_of_a_date_and_time(spark):
+    texts = ["1,2,3,4,2019-01-05,3:07 PM,7",        # no slash
+             "1,2,3,4,1/5/2019,3.07 PM,7",          # no colon
+             "1,2,3,4,,,7",
+             "1,2,3,4,1/5/2019 3:07,PM,7"]          # the two fields are joined by a space
+    got = parsed_by_raw(spark, texts)
+    assert [got[t].reject_reason for t in texts] == ["bad_timestamp"] * 3 + [None]
+    assert [got[t].time_ok for t in texts] == [False] * 3 + [True]
+    assert [r.timeID for r in time_candidates(lines(spark, texts)).collect()] == [7]
+
+
+def test_only_a_carriage_return_at_the_end_goes(spark):
+    got = parsed_by_raw(spark, ["1,2,3,4,1/5/2019,3:07 PM,7\r", "1,2,3,4,1/5/2019\r,3:07 PM,7"])
+    assert sorted(str(r.reject_reason) for r in got.values()) == ["None", "bad_timestamp"]
