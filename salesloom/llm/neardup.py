@@ -48,6 +48,7 @@ MISS = 1e-9
 SIGMAS = 6.0
 ROUNDS = 2
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21    # rows, and elements of their sets, of a block on average
+SIFT_WORDS = 1 << 20     # 64 bits each
 SLICE = 1 << 16          # shingles hashed at once
 
 
@@ -202,6 +203,20 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return joined.mapInArrow(run, "u binary, v binary")
 
 
+def sifted(df: DataFrame, ids: DataFrame, key: str, n: int) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` is not among the about ``n`` ``ids``: a join that
+    follows decides, but wide rows that it would drop need not be shuffled first.
+
+    The ids' hashes are set as bits of ``n / 4`` words (``SIFT_WORDS`` at most, so the broadcast is
+    bounded): of other keys one in sixteen passes, more beyond that bound."""
+    words = max(1, min(SIFT_WORDS, n // 4))
+    word = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(words)).alias("_word")
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(`{key}`, 2), 64L) AS INT))").alias("_bit")
+    held = ids.select(word, bit).groupBy("_word").agg(F.bit_or("_bit").alias("_held"))
+    return (df.select("*", word, bit).join(F.broadcast(held), "_word")
+            .where(F.col("_held").bitwiseAND(F.col("_bit")) != 0).select(*df.columns))
+
+
 def node_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """(node, x): the shingle hashes of the nodes ``wanted`` (node, doc_id), read again
     from the texts of those documents."""
@@ -216,7 +231,8 @@ def node_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
         return work
 
     ids = wanted.select("doc_id").distinct()
-    found = map_chunks(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "text",
+    near = sifted(docs.select("doc_id", "text"), ids, "doc_id", wanted.count())
+    found = map_chunks(near.join(ids, "doc_id", "left_semi"), "text",
                        "node binary, x binary", start)
     # rows that repeat a doc_id may give a node twice
     return found.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("x").alias("x"))

@@ -108,3 +108,16 @@ def test_components_of_chains_and_stars(spark):
     got = {r["u"]: r["v"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 100 for i in range(101, 141)}, **{i: 3 for i in [7, *range(200, 230)]}}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_sift_keeps_every_wanted_row_and_few_others(spark):
+    rows = [(i if i % 50 else None, f"text {i}") for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(
+        spark.createDataFrame(rows[:100], "doc_id bigint, text string"))
+    ids = docs.where("doc_id % 8 = 1").select("doc_id").distinct()
+    got = N.sifted(docs, ids, "doc_id", ids.count())
+    want = sorted(r.text for r in docs.join(ids, "doc_id", "left_semi").collect())
+    assert got.columns == docs.columns
+    assert sorted(r.text for r in got.join(ids, "doc_id", "left_semi").collect()) == want
+    assert len(want) <= got.count() < len(want) + 0.15 * docs.count()
+    assert N.sifted(docs, ids.where("false"), "doc_id", 0).count() == 0
