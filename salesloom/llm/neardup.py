@@ -232,7 +232,8 @@ def node_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 
     ids = wanted.select("doc_id").distinct()
     near = sifted(docs.select("doc_id", "text"), ids, "doc_id", wanted.count())
-    found = map_chunks(near.join(ids, "doc_id", "left_semi"), "text",
+    # the ids are distinct; a semi join would be pushed below the sift, onto all texts
+    found = map_chunks(near.join(ids, "doc_id").select("doc_id", "text"), "text",
                        "node binary, x binary", start)
     # rows that repeat a doc_id may give a node twice
     return found.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("x").alias("x"))

@@ -121,3 +121,12 @@ def test_sift_keeps_every_wanted_row_and_few_others(spark):
     assert sorted(r.text for r in got.join(ids, "doc_id", "left_semi").collect()) == want
     assert len(want) <= got.count() < len(want) + 0.15 * docs.count()
     assert N.sifted(docs, ids.where("false"), "doc_id", 0).count() == 0
+
+
+def test_texts_are_sifted_before_they_are_joined_with_the_wanted(spark):
+    docs = spark.createDataFrame([(i, f"a b c {i}") for i in range(40)], "doc_id bigint, text string")
+    wanted = docs.where("doc_id < 4").selectExpr("cast(doc_id as string) as n", "doc_id").selectExpr("encode(n, 'utf-8') as node", "doc_id")
+    plan = N.node_sets(docs, wanted, N.Rule(3, 85))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("(doc_id#") < plan.find("(_word#")
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "_word#" in joins[-1] and "doc_id#" in joins[-2]
